@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
@@ -33,12 +33,18 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def measured_bytes(df: DataFrame, column: str) -> int:
-    """Rough size of a narrow frame, from the lengths of its one long column."""
-    row = df.agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(column)).alias("size")
-    ).first()
-    return int(row["size"] or 0) + 48 * int(row["n"])
+def checkpointed_with_size(df: DataFrame, column: str) -> tuple[DataFrame, int]:
+    """A checkpointed narrow frame and its rough size in bytes.
+
+    The size is taken while the rows are written, from the lengths of the one
+    long column.
+    """
+    size = Observation()
+    seen = df.observe(
+        size, F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(column)).alias("length")
+    )
+    kept = checkpointed(seen)
+    return kept, int(size.get["length"] or 0) + 48 * int(size.get["n"])
 
 
 def broadcast_if_small(df: DataFrame, size: int, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:

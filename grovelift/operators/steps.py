@@ -10,6 +10,7 @@ Targets are passed as frames with at least the id column.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from grovelift.operators.sizing import (
     BROADCAST_LIMIT_BYTES,
     broadcast_if_small,
     checkpointed,
-    measured_bytes,
+    checkpointed_with_size,
 )
 from grovelift.schemas import (
     CHILDREN,
@@ -53,21 +54,18 @@ def children(
     return _absent(in_scope(rows, scope, excluded_id), target)
 
 
-def _parent_paths(
-    source: DataFrame, scope: DataFrame, excluded_id: str | None
-) -> DataFrame:
-    """Paths that in-scope children name as their parent, each once.
+def _parents_of(source: DataFrame, scoped: DataFrame) -> DataFrame:
+    """Source rows whose path is named as parent by one of the given rows.
 
-    Children are taken whether or not the target has them. A path that very
-    many children share is combined before the shuffle.
+    Parent paths are made distinct first: a path that very many children share
+    is combined before the shuffle. They are then written once, so that their
+    size is known. Few paths are broadcast and the source is not shuffled. Many
+    paths are a plain shuffle input, where AQE may split a partition of source
+    rows with one path; below an aggregate it would not.
     """
-    rows = source.select(ID, PARENT).where(F.col(PARENT).isNotNull())
-    paths = in_scope(rows, scope, excluded_id).select(F.col(PARENT).alias(PATH)).distinct()
-    # Written once: the size is then known, so that few paths can be broadcast.
-    # Many paths come as a plain shuffle input, where AQE may split a partition
-    # of rows with one path; it does not look below an aggregate.
-    paths = checkpointed(paths)
-    return broadcast_if_small(paths, measured_bytes(paths, PATH))
+    paths = scoped.where(F.col(PARENT).isNotNull()).select(F.col(PARENT).alias(PATH)).distinct()
+    paths, size = checkpointed_with_size(paths, PATH)
+    return source.join(broadcast_if_small(paths, size), PATH, "left_semi")
 
 
 def direct_parents(
@@ -75,15 +73,11 @@ def direct_parents(
 ) -> DataFrame:
     """Ids of the direct parents of in-scope children, one level up only.
 
-    The parents themselves need not be in scope.
+    Children count whether or not the target has them, and the parents
+    themselves need not be in scope.
     """
-    paths = _parent_paths(source, scope, excluded_id)
-    return (
-        source.select(ID, PATH)
-        .join(paths, PATH, "left_semi")
-        .select(ID)
-        .distinct()
-    )
+    scoped = in_scope(source.select(ID, PARENT), scope, excluded_id)
+    return _parents_of(source.select(ID, PATH), scoped).select(ID).distinct()
 
 
 def missing_parents(
@@ -105,38 +99,30 @@ def label_rows(
     """(id, step) of every row that the given steps would load, in one pass.
 
     Running the steps in order means that a row goes to the first step that
-    takes it, so the order of the `when` branches stands for the order of the
-    steps: an in-scope root goes to step 1 even if a child needs it, and an
-    in-scope row with a parent goes to step 2 if a child needs it.
+    takes it: an in-scope root to step 1 even if a child needs it, an in-scope
+    row with a parent to step 2 if a child needs it. So each row may be named
+    by several steps and keeps the lowest one.
 
     With `queued`, step 2 takes the ids in that frame instead of looking for
     parents again.
     """
     steps = set(steps)
-    # One exchange of the narrow source on the id serves both joins.
-    rows = _absent(
-        without_excluded(source.select(ID, PATH, PARENT), excluded_id), target
-    ).join(scope.withColumn("_scoped", F.lit(True)), ID, "left")
-
-    needed = F.lit(False)
+    parts = []
+    if steps - {MISSING_PARENTS} or queued is None:
+        # Read by two branches below, so written once.
+        scoped = checkpointed(in_scope(source.select(ID, PARENT), scope, excluded_id))
+        own = F.when(F.col(PARENT).isNull(), ROOTS).otherwise(CHILDREN).alias("step")
+        parts.append(scoped.select(ID, own).where(F.col("step").isin(*steps)))
     if MISSING_PARENTS in steps:
-        if queued is not None:
-            keys, key = queued.select(ID).distinct(), ID
-        else:
-            keys, key = _parent_paths(source, scope, excluded_id), PATH
-        rows = rows.join(keys.withColumn("_needed", F.lit(True)), key, "left")
-        needed = F.col("_needed").isNotNull()
-
-    scoped = F.col("_scoped").isNotNull()
-    is_root = F.col(PARENT).isNull()
-    step = (
-        F.when(F.lit(ROOTS in steps) & scoped & is_root, ROOTS)
-        .when(needed, MISSING_PARENTS)
-        .when(F.lit(CHILDREN in steps) & scoped & ~is_root, CHILDREN)
-    )
-    return (
-        rows.select(ID, step.cast("short").alias("step")).where(F.col("step").isNotNull())
+        if queued is None:
+            queued = without_excluded(source.select(ID, PATH), excluded_id)
+            queued = _parents_of(queued, scoped)
+        parts.append(queued.select(ID, F.lit(MISSING_PARENTS).alias("step")))
+    # The exchange on the id serves this aggregate and the anti join after it.
+    rows = reduce(DataFrame.unionByName, parts).groupBy(ID).agg(
+        F.min("step").cast("short").alias("step")
     )
+    return _absent(rows, target)
 
 
 def fetch_rows(source: DataFrame, keys: DataFrame, size: int | None = None) -> DataFrame:

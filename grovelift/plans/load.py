@@ -21,7 +21,6 @@ from operator import or_
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from grovelift.operators.batching import batch_log, batch_of, counted_log, number_rows
 from grovelift.operators.scope import scope_ids
@@ -34,10 +33,10 @@ from grovelift.schemas import (
     DEFAULT_EXCLUDED_ID,
     FAILED,
     FAILURE_BATCH,
+    FILE_COLUMNS,
     ID,
     MISSING_PARENTS,
     STEPS,
-    TARGET_SCHEMA,
 )
 from grovelift.sources.files import TargetTable, read_allowed, read_metadata, read_source
 from grovelift.sources.state import StateStore
@@ -72,10 +71,9 @@ class Options:
 
 @dataclass
 class _Work:
-    """Rows to load: (id, step, position), how many, and how many drawn per step."""
+    """Rows to load as (id, step, position), and the number of positions per step."""
 
     rows: DataFrame
-    found: dict[int, int]
     drawn: dict[int, int]
 
 
@@ -130,10 +128,10 @@ class _Load:
         labels = self._label(steps, held, queued)
         if queued is None:
             rows = number_rows(labels, within="step")
-            found = self._count(rows)
-            if found.get(MISSING_PARENTS):
+            drawn = self._count(rows)
+            if drawn.get(MISSING_PARENTS):
                 self._fill_queue(rows)
-            return _Work(rows, found, found)
+            return _Work(rows, drawn)
 
         labels = checkpointed(labels)
         is_queued = F.col("step") == MISSING_PARENTS
@@ -141,8 +139,7 @@ class _Load:
         rows = number_rows(labels.where(~is_queued), within="step").unionByName(
             labels.where(is_queued).join(queued, ID).select(ID, "step", place)
         )
-        found = self._count(rows)
-        return _Work(rows, found, {**found, MISSING_PARENTS: queued.count()})
+        return _Work(rows, {**self._count(rows), MISSING_PARENTS: queued.count()})
 
     def _label(self, steps: set[int], held: DataFrame, queued: DataFrame | None) -> DataFrame:
         options, config = self.options, self.config
@@ -218,14 +215,12 @@ class _Load:
         place = (self.run_id, self.attempt, chunk)
         n_keys = sum(end - start for start, end in spans.values())
         if not n_keys:
-            schema = T.StructType(
-                [
-                    *TARGET_SCHEMA.fields,
-                    T.StructField("_step", T.ShortType()),
-                    T.StructField("_batch", T.IntegerType()),
-                ]
+            none = self._source().where(F.lit(False)).select(
+                *FILE_COLUMNS,
+                F.lit(None).cast("short").alias("_step"),
+                F.lit(None).cast("int").alias("_batch"),
             )
-            self.target.write_chunk(*place, self.spark.createDataFrame([], schema))
+            self.target.write_chunk(*place, none)
             return {}
 
         position, step = F.col("position"), F.col("step")

@@ -42,6 +42,9 @@ def create_table(
         text += f" LOCATION {literal(location)}"
     spark.sql(text)
     if location and partitions:
+        # Appending no rows makes the folder if it is not there yet.
+        empty = spark.createDataFrame([], schema)
+        empty.write.mode("append").partitionBy(*partitions).parquet(location)
         spark.sql(f"MSCK REPAIR TABLE {table_path(name)}")
 
 

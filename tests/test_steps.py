@@ -84,7 +84,7 @@ def test_one_pass_over_open_steps_only(spark, tree):
     assert by_step(label_rows(source, scope, held, EXCLUDED, {3})) == {3: list("cdefin")}
     queue = id_frame(spark, ["b", "d", "gone"])
     assert by_step(label_rows(source, scope, held, EXCLUDED, {2, 3}, queue)) == {
-        2: ["b", "d"],
+        2: ["b", "d", "gone"],
         3: list("cefin"),
     }
 
