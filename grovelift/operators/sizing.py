@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
+# Keys that one task may hold in a hash table, on average over the partitions.
+HASHED_LIMIT_BYTES = 64 * 1024 * 1024
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -47,6 +49,10 @@ def checkpointed_with_size(df: DataFrame, column: str) -> tuple[DataFrame, int]:
     return kept, int(size.get["length"] or 0) + 48 * int(size.get["n"])
 
 
+def shuffle_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def broadcast_if_small(df: DataFrame, size: int, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
     """Hint a broadcast when the measured size allows it, else leave the join to shuffle."""
     return F.broadcast(df) if size <= limit else df

@@ -18,9 +18,11 @@ from pyspark.sql import functions as F
 from grovelift.operators.scope import in_scope, without_excluded
 from grovelift.operators.sizing import (
     BROADCAST_LIMIT_BYTES,
+    HASHED_LIMIT_BYTES,
     broadcast_if_small,
     checkpointed,
     checkpointed_with_size,
+    shuffle_partitions,
 )
 from grovelift.schemas import (
     CHILDREN,
@@ -130,11 +132,15 @@ def fetch_rows(source: DataFrame, keys: DataFrame, size: int | None = None) -> D
 
     This is the only place that touches the payload. Few keys (`size` is their
     measured size) are broadcast, so the source is not shuffled; the rows found
-    are then evened out, as they come from many source files. Else the hash
-    join builds on the narrow keys, so that no payload is sorted.
+    are then evened out, as they come from many source files. More keys are
+    hashed per shuffle partition, so that no payload is sorted, as long as a
+    partition of keys fits in memory; beyond that Spark's sort join spills.
     """
     few = size is not None and size <= BROADCAST_LIMIT_BYTES
-    keys = F.broadcast(keys) if few else keys.hint("shuffle_hash")
+    if few:
+        keys = F.broadcast(keys)
+    elif size is not None and size <= HASHED_LIMIT_BYTES * shuffle_partitions(source):
+        keys = keys.hint("shuffle_hash")
     extra = [c for c in keys.columns if c != ID]
     rows = source.select(*FILE_COLUMNS).join(keys, ID, "inner").select(*FILE_COLUMNS, *extra)
     return rows.hint("rebalance") if few else rows

@@ -40,7 +40,8 @@ def _file(id_, payload, name, path, parent, at, is_dir):
     )
 
 
-_TAIL = "l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-' || strftime(l_shipdate, '%Y%m%d')"
+_DAY = "date_diff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE))"
+_TAIL = f"l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-' || {_DAY}"
 _ITEM = f"'L' || l_orderkey || '-' || {_TAIL}"
 _FOLDER = "'/' || l_orderkey || '/'"
 

@@ -40,6 +40,7 @@ from grovelift.operators.sizing import checkpointed, checkpointed_with_size
 from grovelift.plans.config import active, resolved_names
 from grovelift.plans.scripts import ROOTS_SCRIPT, STEP_1_UPDATED, STEP_UPDATED, bind_script
 from grovelift.schemas import (
+    CHILDREN,
     CONFIG_KEY,
     CONFIG_SCHEMA,
     CONFIG_UPDATED,
@@ -103,26 +104,23 @@ def in_scope_rows(spark, sf_dir):
 # -- the steps
 
 
-def _roots(spark, sf_dir) -> DataFrame:
-    inputs = forest(spark, sf_dir)
-    return roots(inputs.source, _scope(inputs), inputs.target, inputs.excluded_id)
-
-
-def _children(spark, sf_dir) -> DataFrame:
-    """Step 3, which sees what the target held and what steps 1 and 2 brought."""
-    inputs = forest(spark, sf_dir)
-    source, scope, target, excluded_id = _label_args(inputs)
-    brought = label_rows(source, scope, target, excluded_id, {ROOTS, MISSING_PARENTS})
-    held = target.select(ID).unionByName(brought.select(ID))
-    return children(source, scope, held, excluded_id)
+def _label_args(inputs: Inputs):
+    return inputs.source, _scope(inputs), inputs.target, inputs.excluded_id
 
 
 def roots_pending(spark, sf_dir):
-    return _shown(_roots(spark, sf_dir).select(*FILE_COLUMNS))
+    rows = roots(*_label_args(forest(spark, sf_dir)))
+    return _shown(rows.select(*FILE_COLUMNS))
 
 
 def children_pending(spark, sf_dir):
-    return _shown(_children(spark, sf_dir).select(*FILE_COLUMNS))
+    """Step 3, which sees what the target held and what steps 1 and 2 brought."""
+    source, scope, target, excluded_id = _label_args(forest(spark, sf_dir))
+    scope = checkpointed(scope)
+    brought = label_rows(source, scope, target, excluded_id, {ROOTS, MISSING_PARENTS})
+    held = target.select(ID).unionByName(brought.select(ID))
+    rows = children(source, scope, held, excluded_id)
+    return _shown(rows.select(*FILE_COLUMNS))
 
 
 def parents(spark, sf_dir):
@@ -130,26 +128,22 @@ def parents(spark, sf_dir):
     return direct_parents(inputs.source, _scope(inputs), inputs.excluded_id)
 
 
-def _label_args(inputs: Inputs):
-    return inputs.source, _scope(inputs), inputs.target, inputs.excluded_id
-
-
 def _labels(inputs: Inputs) -> tuple[DataFrame, int]:
     return checkpointed_with_size(label_rows(*_label_args(inputs)), ID)
 
 
-def _queue_ids(spark, sf_dir) -> DataFrame:
-    """Missing parents after step 1 has run."""
+def parent_queue(spark, sf_dir):
+    """Missing parents after step 1 has run, as rows of the work queue."""
     inputs = forest(spark, sf_dir)
-    scope = _scope(inputs)
-    held = inputs.target.select(ID).unionByName(
-        roots(inputs.source, scope, inputs.target, inputs.excluded_id).select(ID)
-    )
-    return missing_parents(inputs.source, scope, held, inputs.excluded_id)
+    source, scope, target, excluded_id = _label_args(inputs)
+    scope = checkpointed(scope)
+    brought = roots(source, scope, target, excluded_id)
+    held = target.select(ID).unionByName(brought.select(ID))
+    return _queue_rows(missing_parents(source, scope, held, excluded_id))
 
 
-def parent_queue(spark, sf_dir):
-    return _queue_ids(spark, sf_dir).select(
+def _queue_rows(ids: DataFrame) -> DataFrame:
+    return ids.select(
         F.lit(RUN_ID).alias("run_id"),
         F.lit(TABLE).alias("table_name"),
         ID,
@@ -158,28 +152,42 @@ def parent_queue(spark, sf_dir):
     )
 
 
+def _ids_of(step: int, spark, sf_dir) -> DataFrame:
+    """Ids that one step loads, as a load finds them: narrow columns, one pass."""
+    steps = [s for s in STEPS if s <= step]
+    labels = label_rows(*_label_args(forest(spark, sf_dir)), steps)
+    return labels.where(F.col("step") == step).select(ID)
+
+
 def missing_parents_rows(spark, sf_dir):
-    keys, size = checkpointed_with_size(_queue_ids(spark, sf_dir), ID)
+    keys, size = checkpointed_with_size(_ids_of(MISSING_PARENTS, spark, sf_dir), ID)
     return _shown(fetch_rows(forest(spark, sf_dir).source, keys, size))
 
 
 # -- batches, queue and log
 
 
+def _first_rows(step: int, spark, sf_dir) -> DataFrame:
+    """The first batch: top ids first, then the payload of those rows only."""
+    keys = first_batch(_ids_of(step, spark, sf_dir), DEFAULT_BATCH_SIZE)
+    keys, size = checkpointed_with_size(keys, ID)
+    return _shown(fetch_rows(forest(spark, sf_dir).source, keys, size))
+
+
 def roots_first_batch(spark, sf_dir):
-    return _shown(first_batch(_roots(spark, sf_dir).select(*FILE_COLUMNS), DEFAULT_BATCH_SIZE))
+    return _first_rows(ROOTS, spark, sf_dir)
 
 
 def children_first_batch(spark, sf_dir):
-    return _shown(first_batch(_children(spark, sf_dir).select(*FILE_COLUMNS), DEFAULT_BATCH_SIZE))
+    return _first_rows(CHILDREN, spark, sf_dir)
 
 
 def queue_batch(spark, sf_dir):
-    return first_batch(_queue_ids(spark, sf_dir), DEFAULT_BATCH_SIZE)
+    return first_batch(_ids_of(MISSING_PARENTS, spark, sf_dir), DEFAULT_BATCH_SIZE)
 
 
 def queue_after_batch(spark, sf_dir):
-    queue = checkpointed(parent_queue(spark, sf_dir))
+    queue = checkpointed(_queue_rows(_ids_of(MISSING_PARENTS, spark, sf_dir)))
     return mark_processed(queue, first_batch(queue, DEFAULT_BATCH_SIZE))
 
 
@@ -188,15 +196,15 @@ def queue_unprocessed(spark, sf_dir):
 
 
 def roots_batches(spark, sf_dir):
-    return assign_batches(_roots(spark, sf_dir).select(ID), DEFAULT_BATCH_SIZE)
+    return assign_batches(_ids_of(ROOTS, spark, sf_dir), DEFAULT_BATCH_SIZE)
 
 
 def children_batches(spark, sf_dir):
-    return assign_batches(_children(spark, sf_dir).select(ID), DEFAULT_BATCH_SIZE)
+    return assign_batches(_ids_of(CHILDREN, spark, sf_dir), DEFAULT_BATCH_SIZE)
 
 
 def parent_batches(spark, sf_dir):
-    return assign_batches(_queue_ids(spark, sf_dir), DEFAULT_BATCH_SIZE)
+    return assign_batches(_ids_of(MISSING_PARENTS, spark, sf_dir), DEFAULT_BATCH_SIZE)
 
 
 def progress_log(spark, sf_dir):

@@ -53,33 +53,41 @@ def _file(
     ]
 
 
+# concat_ws is never NULL, so Spark drops the NULL tests that joins on these
+# ids and paths would add, and evaluates each id once.
+
+
+def _folder(key: str) -> Column:
+    return F.concat_ws("/", F.lit(""), key, F.lit(""))
+
+
 def order_id() -> Column:
-    return F.concat(F.lit("O"), "o_orderkey")
+    return F.concat_ws("", F.lit("O"), "o_orderkey")
 
 
 def item_tail() -> Column:
-    day = F.date_format("l_shipdate", "yyyyMMdd")
+    day = F.unix_date(F.col("l_shipdate").cast("date"))
     return F.concat_ws("-", "l_linenumber", "l_partkey", "l_suppkey", day)
 
 
 def item_id() -> Column:
-    return F.concat(F.lit("L"), "l_orderkey", F.lit("-"), item_tail())
+    return F.concat_ws("-", F.concat_ws("", F.lit("L"), "l_orderkey"), item_tail())
 
 
 def forest_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as directories, their line items as the files in them."""
-    folder = F.concat(F.lit("/"), "o_orderkey", F.lit("/"))
+    folder = _folder("o_orderkey")
     orders = table(spark, sf_dir, "orders").select(
         *_file(
             order_id(), F.col("o_orderpriority"), F.col("o_orderpriority"), folder,
             F.lit(None).cast("string"), F.col("o_orderdate"), True,
         )
     )
-    parent = F.concat(F.lit("/"), "l_orderkey", F.lit("/"))
+    parent = _folder("l_orderkey")
     items = table(spark, sf_dir, "lineitem").select(
         *_file(
             item_id(), F.col("l_returnflag"), F.col("l_returnflag"),
-            F.concat(parent, item_tail(), F.lit("/")), parent, F.col("l_shipdate"), False,
+            F.concat_ws("", parent, item_tail(), F.lit("/")), parent, F.col("l_shipdate"), False,
         )
     )
     return orders.unionByName(items)
@@ -131,7 +139,7 @@ def chain(spark: SparkSession, sf_dir: str) -> Inputs:
     id_ = F.concat_ws("-", "conv_id", "turn")
 
     def path(turn: Column) -> Column:
-        return F.concat(F.lit("/"), "conv_id", F.lit("/"), turn, F.lit("/"))
+        return F.concat_ws("/", F.lit(""), "conv_id", turn, F.lit(""))
 
     parent = F.when(F.col("turn") > 0, path(F.col("turn") - 1))
     at = F.lit("2026-01-01").cast("timestamp_ntz")

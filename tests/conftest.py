@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import itertools
+import os
 import sys
 from datetime import datetime, timedelta
 from pathlib import Path
@@ -51,7 +52,7 @@ def lake(spark):
 
 @pytest.fixture(scope="session")
 def sf_dir():
-    path = TESTDATA / "sf0.001"
+    path = TESTDATA / os.environ.get("GROVELIFT_TEST_SF", "sf0.001")
     if not path.exists():
         pytest.skip("sample tables are not here")
     return str(path)
