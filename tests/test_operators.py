@@ -1,0 +1,264 @@
+"""Batches, logs, upserts, keys, schema changes and small functions."""
+
+from datetime import datetime
+
+import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from grovelift.functions import bind_tokens, canonical_id, qualified_name
+from grovelift.operators import (
+    add_column,
+    assign_batches,
+    batch_log,
+    counted_log,
+    first_batch,
+    key_violations,
+    number_rows,
+    queue_view,
+    require_key,
+    resume_state,
+    run_started_at,
+    steps_completed,
+    upsert,
+    without_run,
+)
+from grovelift.operators.progress import mark_processed
+from grovelift.plans.config import upsert_config
+from grovelift.schemas import SCRIPT_TOKENS
+from grovelift.sources.catalog import add_table_column, create_table
+from tests.trees import id_frame, ids
+
+# -- batches
+
+
+def test_numbers_equal_a_global_window(spark):
+    rows = spark.range(0, 5000, 1, 7).select(F.md5(F.col("id").cast("string")).alias("stream_id"))
+    expected = rows.select(
+        "stream_id", F.row_number().over(Window.orderBy("stream_id")).cast("long").alias("position")
+    )
+    got = number_rows(rows)
+    assert got.count() == 5000
+    assert got.exceptAll(expected).isEmpty()
+
+
+def test_numbers_within_groups(spark):
+    rows = spark.range(0, 3000, 1, 5).select(
+        F.md5(F.col("id").cast("string")).alias("stream_id"),
+        F.when(F.col("id") < 1000, 1).when(F.col("id") < 1001, 2).otherwise(3).alias("step"),
+    )
+    window = Window.partitionBy("step").orderBy("stream_id")
+    expected = rows.withColumn("position", F.row_number().over(window).cast("long"))
+    got = number_rows(rows, within="step").select(expected.columns)
+    assert got.count() == 3000
+    assert got.exceptAll(expected).isEmpty()
+
+
+def test_numbers_of_nothing(spark):
+    assert number_rows(id_frame(spark, ["a"]).where("false")).count() == 0
+
+
+@pytest.mark.parametrize("n_rows", [0, 1, 4, 5, 6, 15])
+def test_batches_and_log_equal_the_loop(spark, n_rows):
+    """Take the next five rows by id until none is left, one query each."""
+    size = 5
+    rows = id_frame(spark, [f"id-{i:02}" for i in range(n_rows)] or ["x"])
+    rows = rows.where("stream_id <> 'x'")
+    pending, batches, log, total = ids(rows), {}, [], 0
+    number = 0
+    while True:
+        number += 1
+        taken = pending[:size]
+        pending = pending[size:]
+        total += len(taken)
+        batches |= dict.fromkeys(taken, number)
+        log.append((3, number, len(taken), total, "InProgress"))
+        if not taken:
+            break
+    log.append((3, 0, 0, total, "Completed"))
+
+    got = assign_batches(rows, size)
+    assert {r.stream_id: r.batch_number for r in got.collect()} == batches
+    made = batch_log(spark, 3, n_rows, size).drop("queue_taken").collect()
+    assert sorted(map(tuple, made)) == sorted(log)
+    assert ids(first_batch(rows, size)) == [i for i, b in sorted(batches.items()) if b == 1]
+
+
+def test_step_2_logs_no_empty_batch(spark):
+    rows = batch_log(spark, 2, 4, 2).collect()
+    assert sorted(tuple(r) for r in rows) == [
+        (2, 0, 0, 4, "Completed", 0),
+        (2, 1, 2, 2, "InProgress", 2),
+        (2, 2, 2, 4, "InProgress", 2),
+    ]
+
+
+def test_log_goes_on_after_earlier_batches(spark):
+    rows = batch_log(spark, 1, 3, 2, first=6, base=10).collect()
+    assert sorted((r.batch_number, r.rows_inserted, r.total_rows_inserted) for r in rows) == [
+        (0, 0, 13),
+        (6, 2, 12),
+        (7, 1, 13),
+        (8, 0, 13),
+    ]
+
+
+def test_counted_log_keeps_batches_without_rows(spark):
+    counts = spark.createDataFrame([(8, 1), (9, 2)], "batch_number int, rows_inserted long")
+    rows = counted_log(counts, spark, 2, 6, 2, first=7, base=5).collect()
+    assert sorted((r.batch_number, r.rows_inserted, r.total_rows_inserted) for r in rows) == [
+        (7, 0, 5),
+        (8, 1, 6),
+        (9, 2, 8),
+    ]
+    assert [r.queue_taken for r in rows] == [2, 2, 2]
+
+
+# -- state
+
+
+LOG = "run_id string, table_name string, step int, batch_number int, total_rows_inserted long, "
+LOG += "status string, run_started_at timestamp_ntz"
+
+
+def test_state_of_a_log(spark):
+    early, late = datetime(2026, 1, 1), datetime(2026, 1, 2)
+    log = spark.createDataFrame(
+        [
+            ("r", "t", 1, 1, 5, "InProgress", late),
+            ("r", "t", 1, 2, 9, "InProgress", early),
+            ("r", "t", 1, 0, 9, "Completed", early),
+            ("r", "t", 2, 999999, 0, "Failed", early),
+            ("r", "u", 1, 1, 2, "InProgress", late),
+        ],
+        LOG,
+    )
+    assert sorted(map(tuple, resume_state(log).collect())) == [
+        ("r", "t", 1, 2, 9, True),
+        ("r", "t", 2, 0, 0, False),
+        ("r", "u", 1, 1, 2, False),
+    ]
+    assert [tuple(r) for r in steps_completed(log).collect()] == [("r", "t", 1)]
+    assert sorted(map(tuple, run_started_at(log).collect())) == [
+        ("r", "t", early),
+        ("r", "u", late),
+    ]
+    assert without_run(log, "r", "t").select("table_name").collect() == [("u",)]
+
+
+def test_queue_flags(spark):
+    at = datetime(2026, 1, 1)
+    queue = spark.createDataFrame(
+        [(i, n, at, "r", "t", 1) for n, i in enumerate("abc", 1)],
+        "stream_id string, position long, created_at timestamp_ntz, run_id string, "
+        "table_name string, attempt int",
+    )
+    log = spark.createDataFrame(
+        [("r", "t", 1, 1), ("r", "t", 1, 1), ("r", "u", 1, 3)],
+        "run_id string, table_name string, attempt int, queue_taken long",
+    )
+    rows = queue_view(queue, log).orderBy("stream_id").collect()
+    assert [r.processed for r in rows] == [True, True, False]
+    assert [r.processed for r in queue_view(queue, log.where("false")).collect()] == [False] * 3
+    plain = queue.withColumn("processed", F.lit(False))
+    marked = mark_processed(plain, id_frame(spark, ["c", "c"])).orderBy("stream_id").collect()
+    assert [r.processed for r in marked] == [False, False, True]
+
+
+# -- upserts, keys, columns
+
+
+def test_upsert(spark):
+    held = spark.createDataFrame(
+        [("a", "old", "kept", 1), ("b", "old", None, 2)], "k string, v string, w string, n int"
+    )
+    given = spark.createDataFrame(
+        [("b", None, "ignored"), ("c", "new", "first")], "k string, v string, w string"
+    )
+    merged = upsert(held, given, ["k"], ["v"], {"n": F.lit(7)}, {"w": F.lit("touched")})
+    once = sorted(map(tuple, merged.collect()))
+    assert once == [("a", "old", "kept", 1), ("b", None, "touched", 2), ("c", "new", "first", 7)]
+    assert merged.schema.names == held.schema.names
+    again = upsert(held, given, ["k"], ["v"], {"n": F.lit(7)})
+    twice = upsert(again, given, ["k"], ["v"], {"n": F.lit(7)})
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, twice.collect()))
+
+
+def test_upsert_of_two_keys(spark):
+    schema = "s int, k string, body string, flag boolean"
+    held = spark.createDataFrame([(1, "x", "old", True), (2, "x", "old", True)], schema)
+    given = spark.createDataFrame([(1, "x", "new", False), (1, "y", "new", False)], schema)
+    rows = upsert(held, given, ["s", "k"], ["body"]).collect()
+    assert sorted(map(tuple, rows)) == [
+        (1, "x", "new", True),
+        (1, "y", "new", False),
+        (2, "x", "old", True),
+    ]
+
+
+def test_config_upsert_keeps_what_is_not_a_name(lake):
+    created, later = datetime(2026, 1, 1), datetime(2026, 2, 1)
+    rows = lake.config_rows("files")
+    extra = {"excluded_stream_id": F.lit("X"), "is_active": F.lit(False)}
+    upsert_config(lake.state, rows.withColumns(extra), created)
+    upsert_config(lake.state, lake.config_rows("files", "moved"), later)
+    (row,) = lake.state.read("table_config").collect()
+    assert row.metadata_table == "files_moved"
+    assert (row.excluded_stream_id, row.is_active) == ("X", False)
+    assert (row.created_at, row.updated_at) == (created, later)
+    upsert_config(lake.state, lake.config_rows("more"), later)
+    assert lake.state.read("table_config").count() == 2
+    with pytest.raises(ValueError, match="violated"):
+        upsert_config(lake.state, rows.unionAll(rows), later)
+    with pytest.raises(ValueError, match="metadata_id_column"):
+        nameless = lake.config_rows("bad").withColumn("metadata_id_column", F.lit(None))
+        upsert_config(lake.state, nameless, later)
+
+
+def test_keys(spark):
+    rows = spark.createDataFrame([("a", 1), ("a", 1), ("a", 2), (None, 3)], "k string, n int")
+    found = key_violations(rows, ["k", "n"]).collect()
+    assert sorted(map(tuple, found), key=repr) == [("a", 1, 2), (None, 3, 1)]
+    with pytest.raises(ValueError, match="files"):
+        require_key(rows, ["k", "n"], "files")
+    good = rows.distinct().where("k is not null")
+    assert require_key(good, ["k", "n"], "files") is good
+
+
+def test_added_columns(spark, lake):
+    rows = spark.range(2)
+    more = add_column(add_column(rows, "t", "string", "x"), "n", "int")
+    assert sorted(map(tuple, more.collect())) == [(0, "x", None), (1, "x", None)]
+    assert add_column(more, "t", "string", "y").collect() == more.collect()
+
+    name = f"{lake.database}.grown"
+    create_table(spark, name, rows.schema)
+    rows.write.insertInto(name)
+    assert add_table_column(spark, name, "t", "string", "it's")
+    assert not add_table_column(spark, name, "t", "string", "other")
+    assert add_table_column(spark, name, "n", "int")
+    spark.sql(f"INSERT INTO {name} VALUES (2, 'new', 5)")
+    assert sorted(map(tuple, spark.table(name).collect())) == [
+        (0, "it's", None),
+        (1, "it's", None),
+        (2, "new", 5),
+    ]
+
+
+# -- functions
+
+
+def test_one_spelling_of_guids(spark):
+    guid = "7f8d53ec-b98c-f011-b86b-005056a2dd37"
+    values = [guid, guid.upper(), "{" + guid + "}", "a", None]
+    rows = spark.createDataFrame([(v,) for v in values], "v string")
+    got = [r[0] for r in rows.select(canonical_id("v")).collect()]
+    assert got == [guid.upper()] * 3 + ["a", None]
+
+
+def test_script_text(spark):
+    rows = spark.createDataFrame([("d", "s", "t")], "a string, b string, c string")
+    name = qualified_name("a", "b", "c")
+    values = {SCRIPT_TOKENS[0]: name, "[MaxDOP]": F.lit(2)}
+    text = bind_tokens(F.lit("FROM [SourceTableFull] . [MaxDOP] [Other] $1 \\d"), values)
+    assert rows.select(text).first()[0] == "FROM d.s.t . 2 [Other] $1 \\d"

@@ -1,0 +1,214 @@
+"""What the physical plans must look like at scale, and exactness under skew."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from grovelift.operators import (
+    children,
+    fetch_rows,
+    in_scope,
+    label_rows,
+    missing_parents,
+    number_rows,
+    roots,
+    scope_ids,
+)
+from grovelift.schemas import FILE_COLUMNS, PARENT, PATH
+from grovelift.sources.files import TargetTable
+from tests.trees import TREE, id_frame, ids, metadata_frame, source_frame
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def scans(df) -> list[str]:
+    return [line for line in plan(df).splitlines() if "FileScan" in line]
+
+
+@pytest.fixture
+def conf(spark):
+    """Set options for one test."""
+    before = {}
+
+    def set_(**options):
+        for key, value in options.items():
+            key = "spark.sql." + key.replace("__", ".")
+            before.setdefault(key, spark.conf.get(key, None))
+            spark.conf.set(key, value)
+
+    yield set_
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+@pytest.fixture
+def stored(spark, lake, conf):
+    """Inputs as stored tables that are too large to broadcast."""
+    lake.put("src", source_frame(spark, TREE))
+    lake.put("meta", metadata_frame(spark, TREE))
+    conf(autoBroadcastJoinThreshold=-1, adaptive__autoBroadcastJoinThreshold=-1)
+    allowed = spark.createDataFrame([(1,), (3,)], "businessunit int")
+    target = TargetTable(spark, f"{lake.database}.tgt").create()
+    target.load_initial(source_frame(spark, TREE).where("stream_id = 'j'"))
+    scope = scope_ids(spark.table(f"{lake.database}.meta"), allowed, "file_id")
+    return spark.table(f"{lake.database}.src"), scope, target
+
+
+def test_roots_push_down_and_use_semi_and_anti_joins(stored):
+    source, scope, target = stored
+    text = plan(roots(source, scope, target.rows(), "x"))
+    assert "LeftSemi" in text and "LeftAnti" in text and "LeftOuter" not in text
+    (scan,) = [line for line in scans(roots(source, scope, target.rows(), "x")) if "name" in line]
+    pushed = scan.split("PushedFilters: [")[1].split("]")[0]
+    assert "IsNull(parent_path_locator)" in pushed and "Not(EqualTo(stream_id,x))" in pushed
+    assert "SinglePartition" not in text and "CartesianProduct" not in text
+
+
+def test_one_exchange_per_input_on_the_id(stored):
+    source, scope, target = stored
+    text = plan(children(source, scope, target.rows(), "x"))
+    # source, metadata by owner, allow-list by owner, scope by id, target by id
+    assert text.count("Exchange hashpartitioning") == 5
+    assert text.count("Exchange hashpartitioning(stream_id") == 3
+
+
+def test_key_work_never_reads_the_payload(stored, conf):
+    source, scope, target = stored
+    conf(autoBroadcastJoinThreshold="10MB")
+    for df in (
+        label_rows(source, scope, target.rows(), "x"),
+        missing_parents(source, scope, target.rows(), "x"),
+        in_scope(source, scope, "x").select("stream_id"),
+    ):
+        found = scans(df)
+        assert found
+        for line in found:
+            schema = line.split("ReadSchema:")[1]
+            assert "file_stream" not in schema and "name" not in schema
+
+
+def test_few_keys_leave_the_source_where_it_is(stored):
+    source, _, _ = stored
+    text = plan(fetch_rows(source, id_frame(source.sparkSession, ["a"]), 100))
+    assert "BroadcastHashJoin" in text
+    # evened out after the join, not before it
+    assert text.index("REBALANCE") < text.index("BroadcastHashJoin")
+
+
+def test_many_keys_sort_no_payload(stored, spark):
+    source, _, _ = stored
+    keys = id_frame(spark, ["a"])
+    text = plan(fetch_rows(source, keys, 100 * 2**20))
+    assert "ShuffledHashJoin" in text and "BuildRight" in text and "Sort [" not in text
+    # too many for the memory of a task: a join that spills
+    assert "SortMergeJoin" in plan(fetch_rows(source, keys, 2**50))
+
+
+def test_target_scan_skips_open_chunks_by_partition(stored):
+    _, _, target = stored
+    (line,) = scans(target.committed_ids("run", 1, 3))
+    partition_filter = line.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    assert "_run_id" in partition_filter and "_chunk" in partition_filter
+    assert "ReadSchema: struct<stream_id:string>" in line
+
+
+def test_numbering_has_no_window_over_the_rows(spark):
+    rows = spark.range(0, 1000, 1, 4).select(F.col("id").cast("string").alias("stream_id"))
+    text = plan(number_rows(rows))
+    assert "SinglePartition" not in text and "Window" not in text
+    assert "BroadcastHashJoin" in text
+
+
+def test_runtime_filter_reaches_the_payload_scan(stored, conf, spark, lake):
+    """Spark can drop most source rows before the shuffle when keys are selective."""
+    source, _, _ = stored
+    conf(
+        optimizer__runtime__bloomFilter__applicationSideScanSizeThreshold=0,
+        adaptive__enabled=False,
+    )
+    keys = spark.table(f"{lake.database}.meta").where("OwningBusinessUnit = 2")
+    keys = keys.select(F.col("file_id").alias("stream_id"))
+    assert "might_contain" in plan(fetch_rows(source, keys, 100 * 2**20))
+
+
+# -- skew: one parent, one owner, one id with a third of all rows
+
+N = 30_000
+
+
+def as_files(df, id_, path, parent):
+    at = F.lit("2026-01-01").cast("timestamp_ntz")
+    given = {"stream_id": id_, PATH: path, PARENT: parent, "file_stream": F.lit(b"")}
+    given["name"] = F.lit("a name")
+    return df.select(
+        *[
+            given.get(c, at if c.endswith("_time") else F.lit(False)).alias(c)
+            for c in [*FILE_COLUMNS, PARENT]
+        ]
+    )
+
+
+@pytest.fixture
+def skewed(spark):
+    """A third of all files lie in one folder, have one owner, and one id has
+    as many metadata rows as all of those."""
+    number = F.col("id")
+    folder = F.concat(F.lit("/"), F.when(number < N // 3, -1).otherwise(number), F.lit("/"))
+    numbers = spark.range(0, N, 1, 8)
+    id_ = F.md5(number.cast("string"))
+    files = as_files(numbers, id_, F.concat(folder, id_, F.lit("/")), folder)
+    folders = as_files(
+        numbers.select(folder.alias("folder")).distinct(),
+        F.concat(F.lit("dir"), "folder"), F.col("folder"), F.lit(None).cast("string"),
+    )
+    owner = F.when(number < N // 3, -1).otherwise(number).alias("OwningBusinessUnit")
+    meta = numbers.select(id_.alias("file_id"), owner)
+    copies = spark.range(0, N // 3, 1, 8).select(
+        F.md5(F.lit("0")).alias("file_id"), F.lit(-1).alias("OwningBusinessUnit")
+    )
+    meta = meta.unionByName(copies)
+    allowed = meta.select(F.col("OwningBusinessUnit").alias("businessunit")).distinct()
+    return files.unionByName(folders), scope_ids(meta, allowed, "file_id")
+
+
+def test_skewed_tree_is_whole(spark, skewed, conf):
+    source, scope = skewed
+    conf(autoBroadcastJoinThreshold=-1, adaptive__autoBroadcastJoinThreshold=-1)
+    labels = label_rows(source, scope, id_frame(spark, ["none"]))
+    counts = {r["step"]: r["count"] for r in labels.groupBy("step").count().collect()}
+    assert counts == {2: N - N // 3 + 1, 3: N}
+
+
+def test_hot_path_is_split(spark, conf, monkeypatch):
+    """Should many source rows share a path, AQE splits their partition."""
+    from grovelift.operators import steps
+
+    monkeypatch.setattr(steps, "broadcast_if_small", lambda df, size: df)
+    conf(
+        autoBroadcastJoinThreshold=-1,
+        adaptive__autoBroadcastJoinThreshold=-1,
+        shuffle__partitions=40,
+        adaptive__skewJoin__skewedPartitionThresholdInBytes="10k",
+        adaptive__advisoryPartitionSizeInBytes="20k",
+    )
+    number = F.col("id")
+    path = F.when(number % 3 == 0, F.lit("/hot/")).otherwise(number.cast("string"))
+    source = spark.range(0, 200_000, 1, 8).select(
+        F.md5(number.cast("string")).alias("stream_id"), path.alias(PATH)
+    )
+    scoped = spark.range(0, 50_000, 1, 8).select(
+        F.when(number % 3 == 0, F.lit("/hot/")).otherwise(number.cast("string")).alias(PARENT)
+    )
+    found = steps._parents_of(source, scoped).agg(F.count("stream_id"), F.max("stream_id"))
+    n_hot = len(range(0, 200_000, 3))
+    ((n_found, _),) = found.collect()
+    assert n_found == n_hot + sum(1 for n in range(50_000) if n % 3)
+    assert "skew=true" in plan(found)
+
+
+def test_ids_after_skew(spark, skewed):
+    source, scope = skewed
+    hot = in_scope(source.where(F.col(PARENT) == "/-1/"), scope)
+    assert hot.count() == N // 3
+    assert len(set(ids(hot))) == N // 3
