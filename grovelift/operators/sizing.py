@@ -49,10 +49,22 @@ def checkpointed_with_size(df: DataFrame, column: str) -> tuple[DataFrame, int]:
     return kept, int(size.get["length"] or 0) + 48 * int(size.get["n"])
 
 
-def shuffle_partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def broadcast_if_small(df: DataFrame, size: int, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
     """Hint a broadcast when the measured size allows it, else leave the join to shuffle."""
     return F.broadcast(df) if size <= limit else df
+
+
+def as_join_keys(keys: DataFrame, size: int | None) -> DataFrame:
+    """Keys of a measured size, as the side of a join with much wider rows.
+
+    Few keys are broadcast, so the other side is not shuffled. More keys are
+    hashed per shuffle partition, so that the other side is not sorted, as long
+    as a partition of keys fits in memory. Beyond that, or if nothing is known,
+    Spark's own choice can spill.
+    """
+    if size is None:
+        return keys
+    if size <= BROADCAST_LIMIT_BYTES:
+        return F.broadcast(keys)
+    partitions = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return keys.hint("shuffle_hash") if size <= HASHED_LIMIT_BYTES * partitions else keys

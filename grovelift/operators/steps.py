@@ -18,11 +18,10 @@ from pyspark.sql import functions as F
 from grovelift.operators.scope import in_scope, without_excluded
 from grovelift.operators.sizing import (
     BROADCAST_LIMIT_BYTES,
-    HASHED_LIMIT_BYTES,
+    as_join_keys,
     broadcast_if_small,
     checkpointed,
     checkpointed_with_size,
-    shuffle_partitions,
 )
 from grovelift.schemas import (
     CHILDREN,
@@ -130,17 +129,15 @@ def label_rows(
 def fetch_rows(source: DataFrame, keys: DataFrame, size: int | None = None) -> DataFrame:
     """The 14 copied columns of the rows named by `keys`, plus the other key columns.
 
-    This is the only place that touches the payload. Few keys (`size` is their
-    measured size) are broadcast, so the source is not shuffled; the rows found
-    are then evened out, as they come from many source files. More keys are
-    hashed per shuffle partition, so that no payload is sorted, as long as a
-    partition of keys fits in memory; beyond that Spark's sort join spills.
+    This is the only place that touches the payload. Rows found by few keys
+    (`size` is their measured size) are evened out after the join, as they come
+    from many source files.
     """
-    few = size is not None and size <= BROADCAST_LIMIT_BYTES
-    if few:
-        keys = F.broadcast(keys)
-    elif size is not None and size <= HASHED_LIMIT_BYTES * shuffle_partitions(source):
-        keys = keys.hint("shuffle_hash")
     extra = [c for c in keys.columns if c != ID]
-    rows = source.select(*FILE_COLUMNS).join(keys, ID, "inner").select(*FILE_COLUMNS, *extra)
+    rows = (
+        source.select(*FILE_COLUMNS)
+        .join(as_join_keys(keys, size), ID)
+        .select(*FILE_COLUMNS, *extra)
+    )
+    few = size is not None and size <= BROADCAST_LIMIT_BYTES
     return rows.hint("rebalance") if few else rows

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from grovelift.operators.batching import batch_log, batch_of, counted_log, number_rows
 from grovelift.operators.scope import scope_ids
-from grovelift.operators.sizing import checkpointed
+from grovelift.operators.sizing import as_join_keys, checkpointed
 from grovelift.operators.steps import fetch_rows, label_rows
 from grovelift.plans.config import TableConfig, load_active
 from grovelift.plans.scripts import label_by_scripts
@@ -38,7 +38,13 @@ from grovelift.schemas import (
     MISSING_PARENTS,
     STEPS,
 )
-from grovelift.sources.files import TargetTable, read_allowed, read_metadata, read_source
+from grovelift.sources.files import (
+    TargetTable,
+    data_files_of,
+    read_allowed,
+    read_metadata,
+    read_source,
+)
 from grovelift.sources.state import StateStore
 
 # Memory of one key of a fetch: an id of up to 64 characters, step and batch.
@@ -160,8 +166,8 @@ class _Load:
         scope = scope_ids(meta, self.allowed, config.metadata_id_column)
         return label_rows(source, scope, held, options.excluded_id, steps, queued)
 
-    def _source(self) -> DataFrame:
-        return read_source(self.spark, self.config.source, self.options.guid_ids)
+    def _source(self, files: list[str] | None = None) -> DataFrame:
+        return read_source(self.spark, self.config.source, self.options.guid_ids, files)
 
     @staticmethod
     def _count(rows: DataFrame) -> dict[int, int]:
@@ -233,8 +239,10 @@ class _Load:
         keys = work.rows.where(inside).select(
             ID, step.alias("_step"), batch.cast("int").alias("_batch")
         )
-        counted = Observation()
-        rows = fetch_rows(self._source(), keys, n_keys * _KEY_BYTES).observe(
+        size, counted = n_keys * _KEY_BYTES, Observation()
+        ids = as_join_keys(keys.select(ID), size)
+        files = data_files_of(self.spark, self.config.source, ids, self.options.guid_ids)
+        rows = fetch_rows(self._source(files), keys, size).observe(
             counted,
             *[F.count(F.when(F.col("_step") == s, 1)).alias(f"step_{s}") for s in spans],
         )

@@ -132,6 +132,54 @@ def test_runtime_filter_reaches_the_payload_scan(stored, conf, spark, lake):
     assert "might_contain" in plan(fetch_rows(source, keys, 100 * 2**20))
 
 
+def test_only_data_files_with_wanted_rows_are_read(spark, lake, clock):
+    from grovelift import run_table
+    from grovelift.sources import files
+
+    target = lake.add_table("files")
+    run = {"excluded_id": "x", "clock": clock}
+    run_table(lake.state, "files", lake.name("allowed"), **run)
+    late = [("o", "/7/", None, 3)]
+    lake.put("files_src", source_frame(spark, late).coalesce(1), "append")
+    lake.put("files_meta", metadata_frame(spark, late), "append")
+    spark.catalog.refreshTable(lake.name("files_src"))
+
+    source = lake.name("files_src")
+    (one,) = files.data_files_of(spark, source, id_frame(spark, ["o"]))
+    rows = files.read_source(spark, source, data_files=[one])
+    assert ids(rows) == ["o"]
+    scan = rows.select("name")
+    scan.collect()
+    assert scanned_files(scan) == 1
+    assert run_table(lake.state, "files", lake.name("allowed"), **run).rows == {1: 1, 2: 0, 3: 0}
+    assert "o" in ids(target.rows())
+
+
+def test_all_files_are_read_when_too_many_hold_rows(spark, lake, monkeypatch):
+    from grovelift.sources import files
+
+    lake.put("src", source_frame(spark, TREE).repartition(5))
+    name = lake.name("src")
+    every = id_frame(spark, [n[0] for n in TREE])
+    assert len(files.data_files_of(spark, name, every)) > 1
+    monkeypatch.setattr(files, "MAX_DATA_FILES", 1)
+    assert files.data_files_of(spark, name, every) is None
+
+
+def test_a_source_without_files_is_read_whole(spark, lake):
+    from grovelift.sources import files
+
+    spark.createDataFrame([("a", 1)], "stream_id string, n int").createOrReplaceTempView("loose")
+    assert files.data_files_of(spark, "loose", id_frame(spark, ["a"])) is None
+
+
+def scanned_files(df) -> int:
+    node = df._jdf.queryExecution().executedPlan()
+    while not node.metrics().contains("numFiles"):
+        node = node.children().head()
+    return node.metrics().get("numFiles").get().value()
+
+
 # -- skew: one parent, one owner, one id with a third of all rows
 
 N = 30_000

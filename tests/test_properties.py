@@ -1,0 +1,113 @@
+"""Random trees against a plain loop, and the sample trees' known sizes."""
+
+import itertools
+from collections import Counter
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from grovelift import run_table
+from grovelift.operators import key_violations, label_rows, scope_ids
+from grovelift.schemas import ID, PATH
+from grovelift.sources.bindings import chain, forest
+from grovelift.sources.files import TargetTable
+from tests.trees import allowed_frame, id_frame, metadata_frame, source_frame
+
+
+_numbers = itertools.count()
+
+
+def loop_load(tree, allowed, held, excluded, size):
+    """The load as a loop over batches, on plain Python values."""
+    owner = {n[0]: n[3] for n in tree}
+    by_path = {n[1]: n[0] for n in tree}
+    parent = {n[0]: n[2] for n in tree}
+    scoped = [i for i in owner if owner[i] in allowed and i != excluded]
+    target, steps, log = set(held), {}, []
+
+    def drain(step, pending):
+        number = total = 0
+        while True:
+            batch = sorted(pending())[:size]
+            if not batch and step == 2:
+                break
+            number, total = number + 1, total + len(batch)
+            log.append((step, number, len(batch), total, "InProgress"))
+            if not batch:
+                break
+            target.update(batch)
+            steps.update((i, (step, number)) for i in batch)
+        log.append((step, 0, 0, total, "Completed"))
+
+    drain(1, lambda: [i for i in scoped if parent[i] is None and i not in target])
+    queue = {by_path[parent[i]] for i in scoped if parent[i] in by_path} - target - {excluded}
+    drain(2, lambda: queue - target)
+    drain(3, lambda: [i for i in scoped if parent[i] is not None and i not in target])
+    return steps, log
+
+
+@st.composite
+def trees(draw):
+    nodes, paths = [], []
+    for number in range(draw(st.integers(1, 40))):
+        roots = [None, f"/none/{number}/"]
+        parent = draw(st.sampled_from(roots + paths))
+        path = f"{parent or '/'}{number}/"
+        owner = draw(st.sampled_from([1, 1, 2, 3, None, "-"]))
+        nodes.append((f"id{number:02}", path, parent, owner))
+        paths.append(path)
+    names = [n[0] for n in nodes]
+    held = draw(st.lists(st.sampled_from(names), unique=True, max_size=len(names) // 2))
+    excluded = draw(st.sampled_from([*names, None]))
+    return nodes, held, excluded, draw(st.integers(1, 7))
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(given_tree=trees())
+def test_labels_of_random_trees(spark, given_tree):
+    nodes, held, excluded, size = given_tree
+    steps, _ = loop_load(nodes, {1, 3}, held, excluded, size)
+    scope = scope_ids(metadata_frame(spark, nodes), allowed_frame(spark, [1, 3]), "file_id")
+    labels = label_rows(source_frame(spark, nodes), scope, id_frame(spark, [*held, "?"]), excluded)
+    assert {r.stream_id: r.step for r in labels.collect()} == {i: s for i, (s, _) in steps.items()}
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
+@given(given_tree=trees())
+def test_runs_over_random_trees(spark, lake, given_tree):
+    nodes, held, excluded, size = given_tree
+    steps, log = loop_load(nodes, {1, 3}, held, excluded, size)
+    table = f"t{next(_numbers)}"
+    target = lake.add_table(table, nodes, [1, 3], held)
+    options = {"batch_size": size, "excluded_id": excluded, "chunk_rows": 2 * size}
+    result = run_table(lake.state, table, lake.name("allowed"), **options)
+    rows = [r for r in lake.held_columns(target) if r[1]]
+    assert {i: (s, b) for i, s, b in rows} == steps and len(rows) == len(steps)
+    assert sorted(lake.log(result.run_id, table)) == sorted(log)
+    again = run_table(lake.state, table, lake.name("allowed"), **options)
+    assert not any(again.rows.values())
+    assert isinstance(target, TargetTable)
+
+
+@pytest.mark.parametrize(
+    ("sf", "forest_sizes", "chain_sizes"),
+    [
+        ("sf0.001", {1: 244, 2: 373, 3: 541}, {1: 15, 2: 33, 3: 33}),
+        ("sf0.01", {1: 2778, 2: 5986, 3: 10892}, {1: 76, 2: 203, 3: 203}),
+    ],
+)
+def test_known_sizes(spark, sf_dir, sf, forest_sizes, chain_sizes):
+    """With every tenth order and its items loaded before."""
+    folder = sf_dir.rsplit("/", 1)[0] + "/" + sf
+    order = F.split(PATH, "/")[1].cast("long")
+    for inputs, sizes in (
+        (forest(spark, folder, loaded=order % 10 == 0), forest_sizes),
+        (chain(spark, folder), chain_sizes),
+    ):
+        scope = scope_ids(inputs.metadata, inputs.allowed, inputs.id_column)
+        labels = label_rows(inputs.source, scope, inputs.target, inputs.excluded_id)
+        assert Counter(r.step for r in labels.collect()) == sizes
+        assert key_violations(inputs.source, [ID]).isEmpty()
+        assert key_violations(inputs.source, [PATH]).isEmpty()
