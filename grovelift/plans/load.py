@@ -342,7 +342,10 @@ def run_table(
     try:
         load.execute()
     except Exception as error:
-        load.log_failure(error)
+        try:
+            load.log_failure(error)
+        except Exception as second:  # the first error is the one to show
+            error.add_note(f"The failure could not be logged: {second}")
         raise
     return RunResult(run_id, table_name, load.rows)
 

@@ -19,7 +19,7 @@ def table_path(name: str) -> str:
 def literal(value: Any) -> str:
     if isinstance(value, str):
         return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-    return str(value)
+    return str(value).lower() if isinstance(value, bool) else str(value)
 
 
 def create_table(

@@ -15,6 +15,7 @@ from grovelift.operators.progress import queue_view, resume_state, run_started_a
 from grovelift.operators.sizing import checkpointed
 from grovelift.operators.upsert import upsert
 from grovelift.sources.catalog import (
+    add_table_column,
     create_table,
     drop_rows,
     overwrite_partition,
@@ -53,8 +54,16 @@ class StateStore:
     def name(self, table: str) -> str:
         return f"{self.database}.{table}"
 
+    # What rows from before a column was kept read as; other columns are NULL.
+    BACKFILL = {
+        "failure_number": 0,
+        "queue_taken": 0,
+        "use_parameterized_max_dop": False,
+        "is_active": True,
+    }
+
     def create(self, location: str | None = None) -> StateStore:
-        """Create what is missing; safe to repeat."""
+        """Create missing tables and add missing columns; safe to repeat."""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {table_path(self.database)}")
         tables = dict(self.RUN_TABLES)
         for table, (schema, _) in self.KEYED_TABLES.items():
@@ -63,6 +72,10 @@ class StateStore:
         for table, (schema, partitions) in tables.items():
             place = f"{location}/{table}" if location else None
             create_table(self.spark, self.name(table), schema, partitions, place)
+            held = self.spark.table(table_path(self.name(table))).columns
+            for f in [f for f in schema.fields if f.name not in held]:
+                kind, default = f.dataType.simpleString(), self.BACKFILL.get(f.name)
+                add_table_column(self.spark, self.name(table), f.name, kind, default)
         return self
 
     # -- keyed definition tables

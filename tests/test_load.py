@@ -1,5 +1,7 @@
 """Whole loads: results, log, resume, reset, failure."""
 
+from datetime import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -137,8 +139,7 @@ def test_settle_takes_rows_that_arrive_during_the_run(lake, run, monkeypatch):
     ]
 
 
-@pytest.mark.parametrize("chunk_rows", [None, 2])
-@pytest.mark.parametrize("fail_at", [1, 2, 3])
+@pytest.mark.parametrize("chunk_rows, fail_at", [(None, 1), (2, 1), (2, 3), (4, 3)])
 @pytest.mark.parametrize("after_write", [False, True])
 def test_crash_and_resume_equals_an_undisturbed_run(
     lake, run, monkeypatch, chunk_rows, fail_at, after_write
@@ -159,16 +160,13 @@ def test_crash_and_resume_equals_an_undisturbed_run(
 
     monkeypatch.setattr(_Load, name, failing)
     run_id = "RUN'1"
-    if chunk_rows is None and fail_at > 1:
-        run(run_id=run_id, chunk_rows=chunk_rows)
-    else:
-        with pytest.raises(RuntimeError, match="lost the driver"):
-            run(run_id=run_id, chunk_rows=chunk_rows)
-        failures = lake.state.progress(run_id, "files").where("status = 'Failed'").collect()
-        assert [(f.batch_number, f.failure_number, f.error_message) for f in failures] == [
-            (999999, 1, "lost the driver")
-        ]
+    with pytest.raises(RuntimeError, match="lost the driver"):
         run(run_id=run_id, chunk_rows=chunk_rows)
+    failures = lake.state.progress(run_id, "files").where("status = 'Failed'").collect()
+    assert [(f.batch_number, f.failure_number, f.error_message) for f in failures] == [
+        (999999, 1, "lost the driver")
+    ]
+    run(run_id=run_id, chunk_rows=chunk_rows)
     assert lake.held_columns(target) == EXPECTED_ROWS
     log = [r for r in lake.log(run_id, "files") if r[4] != "Failed"]
     assert log == EXPECTED_LOG
@@ -274,15 +272,46 @@ def test_guids_match_by_value(lake, run):
     assert ids(target.rows()) == [low.upper(), up]
 
 
+def test_an_error_that_cannot_be_logged_is_still_shown(lake, run, monkeypatch):
+    lake.add_table("files")
+
+    def failing(self, *args):
+        raise RuntimeError("first")
+
+    def failing_too(self, error):
+        raise OSError("second")
+
+    monkeypatch.setattr(_Load, "_write_rows", failing)
+    monkeypatch.setattr(_Load, "log_failure", failing_too)
+    with pytest.raises(RuntimeError, match="first") as caught:
+        run()
+    assert "second" in caught.value.__notes__[0]
+
+
+def test_state_of_an_older_layout_gets_its_new_columns(spark, lake):
+    """Rows from before a column was kept read as its default, or as NULL."""
+    old = lake.state.name("step_scripts")
+    spark.sql(f"DROP TABLE {old}")
+    spark.sql(
+        f"CREATE TABLE {old} (step_number smallint, script_kind string, script_body string, "
+        "description string, version int) USING parquet PARTITIONED BY (version)"
+    )
+    spark.sql(f"INSERT INTO {old} VALUES (1, 'BatchInsert', 'body', 'text', 1)")
+    StateStore(spark, lake.database).create().create()
+    (row,) = lake.state.read("step_scripts").collect()
+    assert (row.step_number, row.script_body, row.description) == (1, "body", "text")
+    assert (row.stage_name, row.use_parameterized_max_dop) == (None, False)
+    seed_scripts(lake.state, ["files"])
+    stages = lake.state.read("step_scripts").select("stage_name").collect()
+    assert sorted(r[0] for r in stages) == ["Children", "MissingParents", "Roots"]
+
+
 def test_a_fresh_catalog_finds_state_and_target_by_location(spark, lake, run, tmp_path):
     """Tables with a location survive a catalog that forgets them."""
     place = str(tmp_path / "state")
     StateStore(spark, "kept").create(place)
     store = StateStore(spark, "kept")
-    row = spark.range(1).select(F.lit(F.current_timestamp()).cast("timestamp_ntz").alias("reset_at"))
-    from grovelift.sources.catalog import overwrite_partition
-
-    overwrite_partition(spark, "kept.resets", {"run_id": "R", "table_name": "t", "attempt": 2}, row)
+    assert store.reset("R", "t", datetime(2026, 1, 1)) == 2
     spark.sql("DROP DATABASE kept CASCADE")
     StateStore(spark, "kept").create(place)
     assert store.attempt("R", "t") == 2
