@@ -4,6 +4,7 @@ from grovelift.operators.batching import (
     counted_log,
     first_batch,
     number_rows,
+    running_total,
 )
 from grovelift.operators.evolve import add_column
 from grovelift.operators.keys import key_violations, require_key
@@ -44,6 +45,7 @@ __all__ = [
     "resume_state",
     "roots",
     "run_started_at",
+    "running_total",
     "scope_ids",
     "steps_completed",
     "upsert",

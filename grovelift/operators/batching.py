@@ -59,6 +59,27 @@ def number_rows(
     )
 
 
+def running_total(df: DataFrame, order: str, value: str, name: str) -> DataFrame:
+    """Add the sum of `value` over this row and all before it, by `order`.
+
+    As in `number_rows`, ranges of rows are summed on their own and raised by
+    the sums of the ranges before them, so that no task sees all rows.
+    """
+    part = F.spark_partition_id().alias("_part")
+    ranged = checkpointed(df.repartitionByRange(order).select("*", part))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranged.groupBy("_part").agg(F.sum(value).alias("_sum"))
+    starts = starts.select(
+        "_part", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_start")
+    )
+    within = Window.partitionBy("_part").orderBy(order).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    return ranged.join(F.broadcast(starts), "_part").select(
+        *df.columns, (F.col("_start") + F.sum(value).over(within)).alias(name)
+    )
+
+
 def batch_of(position: Column, size: int) -> Column:
     """Number of the batch that holds a position, counting from 1."""
     return F.floor((position - 1) / F.lit(size)).cast("int") + 1
@@ -132,16 +153,16 @@ def counted_log(
 
     `batches` has (batch_number, rows_inserted) as counted in the target. Used
     when queued ids have no source row any more; batches without a row are
-    logged with 0. The window runs over one row per batch, not over the data.
+    logged with 0.
     """
     drawn = batch_log(spark, step, n_rows, size, first=first, close=False)
     counts = batches.select("batch_number", F.col("rows_inserted").alias("_n"))
-    so_far = Window.partitionBy("step").orderBy("batch_number").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    return (
-        drawn.join(counts, "batch_number", "left")
-        .withColumn("rows_inserted", F.coalesce("_n", F.lit(0)))
-        .withColumn("total_rows_inserted", F.lit(base) + F.sum("rows_inserted").over(so_far))
-        .select(drawn.columns)
+    counted = (
+        drawn.drop("total_rows_inserted")
+        .join(counts, "batch_number", "left")
+        .withColumn("rows_inserted", F.coalesce("_n", F.lit(0).cast("long")))
+        .drop("_n")
     )
+    totals = running_total(counted, "batch_number", "rows_inserted", "total_rows_inserted")
+    total = F.lit(base) + F.col("total_rows_inserted")
+    return totals.withColumn("total_rows_inserted", total).select(drawn.columns)

@@ -41,18 +41,14 @@ def without_run(rows: DataFrame, run_id: str, table_name: str) -> DataFrame:
     return rows.where((F.col("run_id") != run_id) | (F.col("table_name") != table_name))
 
 
-def queue_view(queue: DataFrame, progress: DataFrame) -> DataFrame:
-    """The work queue with its processed flag.
+def queue_view(queue: DataFrame, drawn: int) -> DataFrame:
+    """The work queue of a run with its processed flag.
 
     Batches drain the queue in order of position, so the number of rows drawn
-    so far tells for every row whether it was processed; no row is updated.
+    so far tells for every row whether it was processed; no row is updated and
+    nothing is joined.
     """
-    drawn = progress.groupBy(*RUN, "attempt").agg(F.sum("queue_taken").alias("_drawn"))
-    return (
-        queue.join(drawn, [*RUN, "attempt"], "left")
-        .withColumn("processed", F.col("position") <= F.coalesce("_drawn", F.lit(0)))
-        .select(*QUEUE_COLUMNS)
-    )
+    return queue.withColumn("processed", F.col("position") <= drawn).select(*QUEUE_COLUMNS)
 
 
 def mark_processed(queue: DataFrame, batch: DataFrame) -> DataFrame:

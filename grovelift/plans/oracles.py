@@ -168,8 +168,9 @@ FROM log
 LOG = """
 log AS (
   SELECT 'R' || o_custkey AS run_id, o_orderstatus AS table_name, o_orderdate AS run_started_at,
-         CAST(CASE WHEN o_orderpriority[1] IN ('1', '2') THEN 1
-                   WHEN o_orderpriority[1] IN ('3', '4') THEN 2 ELSE 3 END AS SMALLINT) AS step,
+         CAST(CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 1
+                   WHEN o_orderpriority IN ('3-MEDIUM', '4-NOT SPECIFIED') THEN 2
+                   ELSE 3 END AS SMALLINT) AS step,
          o_orderkey AS batch_number, CAST(floor(o_totalprice) AS BIGINT) AS total_rows_inserted,
          CASE WHEN o_totalprice > 400000 THEN 'Completed'
               WHEN o_totalprice > 350000 THEN 'Failed' ELSE 'InProgress' END AS status
@@ -259,6 +260,10 @@ ORACLES: dict[str, str] = {
     "roots_batches": _batches("step_1"),
     "children_batches": _batches("step_3"),
     "parent_batches": _batches("queue"),
+    "batch_totals": f"""
+        SELECT batch_number, count(*) AS rows_inserted,
+               CAST(sum(count(*)) OVER (ORDER BY batch_number) AS BIGINT) AS total_rows_inserted
+        FROM ({_batches("step_3")}) GROUP BY batch_number""",
     "progress_log": _forest(_PROGRESS),
     "load_labels": _forest("SELECT stream_id, CAST(step AS SMALLINT) AS step FROM loaded"),
     "chain_labels": f"""WITH {CHAIN} {STEPS}

@@ -30,6 +30,7 @@ from grovelift.operators import (
     resume_state,
     roots,
     run_started_at,
+    running_total,
     scope_ids,
     steps_completed,
     upsert,
@@ -207,6 +208,13 @@ def parent_batches(spark, sf_dir):
     return assign_batches(_ids_of(MISSING_PARENTS, spark, sf_dir), DEFAULT_BATCH_SIZE)
 
 
+def batch_totals(spark, sf_dir):
+    """Rows of each batch of step 3 as counted, and the running total."""
+    counts = children_batches(spark, sf_dir).groupBy("batch_number")
+    counts = counts.agg(F.count(F.lit(1)).alias("rows_inserted"))
+    return running_total(counts, "batch_number", "rows_inserted", "total_rows_inserted")
+
+
 def progress_log(spark, sf_dir):
     """The log of a whole load; only one count per step reaches the driver."""
     labels = label_rows(*_label_args(forest(spark, sf_dir)))
@@ -257,9 +265,10 @@ def chain_labels(spark, sf_dir):
 
 
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    price, priority = F.col("o_totalprice"), F.substring("o_orderpriority", 1, 1)
+    price, priority = F.col("o_totalprice"), F.col("o_orderpriority")
     status = F.when(price > 400000, "Completed").when(price > 350000, "Failed")
-    step = F.when(priority.isin("1", "2"), 1).when(priority.isin("3", "4"), 2).otherwise(3)
+    step = F.when(priority.isin("1-URGENT", "2-HIGH"), 1)
+    step = step.when(priority.isin("3-MEDIUM", "4-NOT SPECIFIED"), 2).otherwise(3)
     return table(spark, sf_dir, "orders").select(
         F.concat(F.lit("R"), "o_custkey").alias("run_id"),
         F.col("o_orderstatus").alias("table_name"),
@@ -451,6 +460,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "roots_batches": roots_batches,
     "children_batches": children_batches,
     "parent_batches": parent_batches,
+    "batch_totals": batch_totals,
     "progress_log": progress_log,
     "load_labels": load_labels,
     "chain_labels": chain_labels,

@@ -134,11 +134,10 @@ class StateStore:
         return rows.select(*S.PROGRESS_COLUMNS)
 
     def queue(self, run_id: str, table_name: str) -> DataFrame:
-        attempt = self.attempt(run_id, table_name)
-        return queue_view(
-            self._run_rows("work_queue", run_id, table_name, attempt),
-            self._run_rows("progress", run_id, table_name, attempt),
-        )
+        """The work queue of a run of a table, with its processed flag."""
+        run = (run_id, table_name, self.attempt(run_id, table_name))
+        _, drawn, _ = self.commit_marks(*run)
+        return queue_view(self._run_rows("work_queue", *run), drawn)
 
     def started_at(self, run_id: str, table_name: str, attempt: int) -> datetime | None:
         row = run_started_at(self._run_rows("progress", run_id, table_name, attempt)).first()

@@ -19,6 +19,7 @@ from grovelift.operators import (
     require_key,
     resume_state,
     run_started_at,
+    running_total,
     steps_completed,
     upsert,
     without_run,
@@ -114,6 +115,17 @@ def test_counted_log_keeps_batches_without_rows(spark):
     assert [r.queue_taken for r in rows] == [2, 2, 2]
 
 
+def test_running_total_equals_a_global_window(spark):
+    rows = spark.range(0, 4000, 1, 6).select(
+        F.xxhash64("id").alias("at"), (F.col("id") % 11).alias("n")
+    )
+    window = Window.orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    expected = rows.withColumn("total", F.sum("n").over(window))
+    got = running_total(rows, "at", "n", "total")
+    assert got.count() == 4000
+    assert got.exceptAll(expected).isEmpty()
+
+
 # -- state
 
 
@@ -153,13 +165,9 @@ def test_queue_flags(spark):
         "stream_id string, position long, created_at timestamp_ntz, run_id string, "
         "table_name string, attempt int",
     )
-    log = spark.createDataFrame(
-        [("r", "t", 1, 1), ("r", "t", 1, 1), ("r", "u", 1, 3)],
-        "run_id string, table_name string, attempt int, queue_taken long",
-    )
-    rows = queue_view(queue, log).orderBy("stream_id").collect()
+    rows = queue_view(queue, 2).orderBy("stream_id").collect()
     assert [r.processed for r in rows] == [True, True, False]
-    assert [r.processed for r in queue_view(queue, log.where("false")).collect()] == [False] * 3
+    assert [r.processed for r in queue_view(queue, 0).collect()] == [False] * 3
     plain = queue.withColumn("processed", F.lit(False))
     marked = mark_processed(plain, id_frame(spark, ["c", "c"])).orderBy("stream_id").collect()
     assert [r.processed for r in marked] == [False, False, True]

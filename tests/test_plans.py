@@ -166,6 +166,22 @@ def test_all_files_are_read_when_too_many_hold_rows(spark, lake, monkeypatch):
     assert files.data_files_of(spark, name, every) is None
 
 
+def test_files_with_odd_names_are_found_again(spark, lake):
+    from grovelift.sources import files
+
+    odd = ["a b", "50%", "x=y", "ü/é", "p+q", "#1", "%20"]
+    rows = source_frame(spark, TREE).withColumn("day", F.lit(None).cast("string"))
+    for number, name in enumerate(odd):
+        part = rows.limit(1).withColumn("stream_id", F.lit(f"s{number}"))
+        part = part.withColumn("day", F.lit(name))
+        mode = "append" if number else "overwrite"
+        part.write.mode(mode).partitionBy("day").saveAsTable(f"{lake.database}.odd")
+    name, keys = lake.name("odd"), id_frame(spark, [f"s{n}" for n in range(len(odd))])
+    found = files.data_files_of(spark, name, keys)
+    assert len(found) == len(odd)
+    assert ids(files.read_source(spark, name, data_files=found)) == ids(keys)
+
+
 def test_a_source_without_files_is_read_whole(spark, lake):
     from grovelift.sources import files
 
