@@ -108,14 +108,21 @@ def label_rows(
     parents again.
     """
     steps = set(steps)
+    look_for_parents = MISSING_PARENTS in steps and queued is None
     parts = []
-    if steps - {MISSING_PARENTS} or queued is None:
-        # Read by two branches below, so written once.
-        scoped = checkpointed(in_scope(source.select(ID, PARENT), scope, excluded_id))
+    if look_for_parents or steps - {MISSING_PARENTS}:
+        rows = source.select(ID, PARENT)
+        if ROOTS not in steps:
+            rows = rows.where(F.col(PARENT).isNotNull())
+        elif not look_for_parents and CHILDREN not in steps:
+            rows = rows.where(F.col(PARENT).isNull())
+        scoped = in_scope(rows, scope, excluded_id)
+        if look_for_parents:  # read by two branches, so written once
+            scoped = checkpointed(scoped)
         own = F.when(F.col(PARENT).isNull(), ROOTS).otherwise(CHILDREN).alias("step")
         parts.append(scoped.select(ID, own).where(F.col("step").isin(*steps)))
     if MISSING_PARENTS in steps:
-        if queued is None:
+        if look_for_parents:
             queued = without_excluded(source.select(ID, PATH), excluded_id)
             queued = _parents_of(queued, scoped)
         parts.append(queued.select(ID, F.lit(MISSING_PARENTS).alias("step")))
