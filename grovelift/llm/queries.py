@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from grovelift.llm.common import table
+from grovelift.llm.neardup import near_duplicates
 from grovelift.llm.sharding import sharded_documents
 from grovelift.llm.topk import embedding_topk
 
@@ -17,6 +18,10 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharded_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
 def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_topk(table(spark, sf_dir, "embeddings"))
 
@@ -25,11 +30,43 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op2_sharding,
+        op5_minhash,
         op7_exact_topk,
     )
 }
 
 ORACLES: dict[str, str] = {
+    "op5_minhash": r"""
+        WITH RECURSIVE words AS MATERIALIZED (
+          SELECT doc_id, [x FOR x IN string_split_regex(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                             'abcdefghijklmnopqrstuvwxyz'),
+                   '[\x20\x09-\x0D]+') IF x <> ''] AS w
+          FROM documents
+        ), sets AS MATERIALIZED (
+          SELECT doc_id, list_distinct(CASE
+                   WHEN len(w) >= 3
+                   THEN [w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]
+                         FOR i IN range(1, len(w) - 1)]
+                   WHEN len(w) > 0 THEN [array_to_string(w, ' ')]
+                   ELSE [] END) AS items
+          FROM words
+        ), items AS MATERIALIZED (
+          SELECT doc_id, len(items) AS n, unnest(items) AS item FROM sets
+        ), links AS MATERIALIZED (
+          SELECT a.doc_id AS x, b.doc_id AS y
+          FROM items AS a JOIN items AS b ON a.item = b.item AND a.doc_id <> b.doc_id
+          GROUP BY a.doc_id, b.doc_id, a.n, b.n
+          HAVING count(*) * 100 >= (a.n + b.n - count(*)) * 85
+        ), reach AS (
+          SELECT doc_id, doc_id AS other FROM sets
+          UNION
+          SELECT reach.doc_id, links.y FROM reach JOIN links ON reach.other = links.x
+        ), least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+        SELECT doc_id, len(items)::BIGINT AS n_shingles, component_id,
+               doc_id = component_id AS kept
+        FROM sets JOIN least USING (doc_id)
+    """,
     "op7_exact_topk": """
         WITH v AS MATERIALIZED (
           SELECT vec_id, [floor(64 * x::DOUBLE) FOR x IN embedding] AS e
