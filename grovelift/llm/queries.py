@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from grovelift.llm.common import table
+from grovelift.llm.langid import identify_languages
 from grovelift.llm.neardup import near_duplicates
 from grovelift.llm.sharding import sharded_documents
 from grovelift.llm.topk import embedding_topk
@@ -26,12 +27,17 @@ def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_topk(table(spark, sf_dir, "embeddings"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op2_sharding,
         op5_minhash,
         op7_exact_topk,
+        op9_language_id,
     )
 }
 
