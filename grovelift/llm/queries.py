@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from grovelift.llm.common import table
 from grovelift.llm.langid import identify_languages
 from grovelift.llm.neardup import near_duplicates
+from grovelift.llm.packing import pack_documents
 from grovelift.llm.sharding import sharded_documents
 from grovelift.llm.topk import embedding_topk
 
@@ -27,6 +28,10 @@ def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_topk(table(spark, sf_dir, "embeddings"))
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(table(spark, sf_dir, "documents"))
 
@@ -37,6 +42,7 @@ QUERIES: dict[str, Query] = {
         op2_sharding,
         op5_minhash,
         op7_exact_topk,
+        op8_packing,
         op9_language_id,
     )
 }
