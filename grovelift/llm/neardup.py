@@ -35,7 +35,7 @@ PERCENT = 80
 SKETCH = 64
 MISS = 1e-7
 # Pairs left in the lists, per list entry, that are tested without more pivots.
-LEFT_PER_ENTRY = 4
+LEFT_PER_ENTRY = 32
 # Ids of this number at most are broadcast (8 bytes each) to spare a shuffle of texts.
 BROADCAST_IDS = 1_000_000
 

@@ -10,8 +10,10 @@ from grovelift.llm.common import table
 from grovelift.llm.langid import identify_languages
 from grovelift.llm.neardup import near_duplicates
 from grovelift.llm.packing import pack_documents
+from grovelift.llm.quality import classify_quality
 from grovelift.llm.sharding import sharded_documents
 from grovelift.llm.topk import embedding_topk
+from grovelift.llm.toxicity import classify_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +22,10 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharded_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
@@ -36,14 +42,20 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(table(spark, sf_dir, "documents"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op2_sharding,
+        op3_toxicity,
         op5_minhash,
         op7_exact_topk,
         op8_packing,
         op9_language_id,
+        op10_quality,
     )
 }
 
