@@ -31,10 +31,10 @@ HELD_OUT_FOLD, FOLDS = 0, 5
 # Labelled rows per class that are learnt from.
 SAMPLE_PER_CLASS = 5_000
 LEXICON_SIZE = 4_000
-# Texts of a class that must hold a term, and its least log-odds.
-LEAST_TEXTS = 4
-LEAST_ODDS = 2.0
-STEM = 5
+# Least log-odds of a term and least value of its G-test; chance terms stay far below.
+LEAST_ODDS = 1.5
+LEAST_G = 30.0
+STEMS = (4, 5)
 NEAR = 4
 TREES, DEPTH = 20, 4
 CALIBRATION_SHARE = 4
@@ -53,8 +53,10 @@ FEATURES = (
     "word_hits",
     "word_density",
     "word_weight",
+    "strongest_word",
     "stem_hits",
     "stem_density",
+    "strongest_stem",
     "disguised_hits",
     "second_person_density",
     "near_second_person",
@@ -104,7 +106,7 @@ def _term_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             words |= {p for p in map(plain, words) if p}
             held = counts[y.as_py()]
             held.update(("word", w) for w in words if w)
-            held.update({("stem", w[:STEM]) for w in words if len(w) > STEM})
+            held.update({("stem", w[:n]) for w in words for n in STEMS if len(w) > n})
             if len(counts[0]) + len(counts[1]) > _HELD_TERMS:
                 yield out()
                 for c in counts:
@@ -120,9 +122,16 @@ def learn_lexicons(sample: DataFrame) -> dict[str, dict[str, float]]:
     counts = sample.select("text", "y").mapInArrow(_term_batches, schema)
     counts = counts.groupBy("kind", "term").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
     odds = F.log((F.col("toxic") + 0.5) / (toxic + 1.0)) - F.log((F.col("other") + 0.5) / (other + 1.0))
-    ranked = counts.where(F.col("toxic") >= LEAST_TEXTS).withColumn("odds", odds)
-    ranked = ranked.where(F.col("odds") >= LEAST_ODDS)
-    ranked = ranked.orderBy(F.desc(F.col("odds") * F.sqrt("toxic")), "kind", "term")
+    held = F.col("toxic") + F.col("other")
+    share = max(1, toxic) / max(1, toxic + other)
+    # 0 * log(0) counts as 0.
+    g = sum(
+        2 * F.col(c) * F.log(F.greatest(c, F.lit(1e-9)) / (held * p))
+        for c, p in (("toxic", share), ("other", max(1e-9, 1 - share)))
+    )
+    ranked = counts.withColumns({"odds": odds, "g": g})
+    ranked = ranked.where((F.col("odds") >= LEAST_ODDS) & (F.col("g") >= LEAST_G))
+    ranked = ranked.orderBy(F.desc("g"), "kind", "term")
     lexicons: dict[str, dict[str, float]] = {"word": {}, "stem": {}}
     for r in ranked.limit(LEXICON_SIZE).collect():
         lexicons[r["kind"]][r["term"]] = r["odds"]
@@ -139,9 +148,10 @@ def features_of(text: str | None, words: dict[str, float], stems: dict[str, floa
     found = list(map(words.get, tokens))
     hits = [i for i, w in enumerate(found) if w is not None]
     weight = sum(found[i] for i in hits)
-    stem_at = [i for i, t in enumerate(tokens) if t[:STEM] in stems and len(t) > STEM]
+    short, long = STEMS
+    stem_at = [i for i, t in enumerate(tokens) if t[:short] in stems or t[:long] in stems]
     mixed = [i for i, t in enumerate(tokens) if t and not t.isalpha() and any(map(str.isalpha, t))]
-    disguised = [i for i in mixed if (p := plain(tokens[i])) in words or p and p[:STEM] in stems]
+    disguised = [i for i in mixed if (p := plain(tokens[i])) in words or p and p[:long] in stems]
     persons = np.array([i for i, t in enumerate(tokens) if t in SECOND_PERSON])
     suspects = np.array(sorted({*hits, *stem_at, *disguised}))
     near = 0
@@ -160,8 +170,10 @@ def features_of(text: str | None, words: dict[str, float], stems: dict[str, floa
         math.log1p(len(hits)),
         len(hits) / n,
         weight / n,
+        max((found[i] for i in hits), default=0.0),
         math.log1p(len(stem_at)),
         len(stem_at) / n,
+        max((stems.get(tokens[i][:k], 0.0) for i in stem_at for k in STEMS), default=0.0),
         math.log1p(len(disguised)),
         len(persons) / n,
         math.log1p(near),
