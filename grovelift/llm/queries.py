@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from grovelift.llm.ann import embedding_neighbours
 from grovelift.llm.common import table
 from grovelift.llm.langid import identify_languages
 from grovelift.llm.neardup import near_duplicates
@@ -30,6 +31,10 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
 
+def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_neighbours(table(spark, sf_dir, "embeddings"))
+
+
 def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_topk(table(spark, sf_dir, "embeddings"))
 
@@ -52,6 +57,7 @@ QUERIES: dict[str, Query] = {
         op2_sharding,
         op3_toxicity,
         op5_minhash,
+        op6_nearest_neighbours,
         op7_exact_topk,
         op8_packing,
         op9_language_id,
