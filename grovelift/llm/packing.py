@@ -30,6 +30,7 @@ CAPACITY = 1024
 UNIT = 8
 END_ID = 0
 ROWS_PER_BUCKET = 200_000
+LEAST_BUCKETS = 32
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 _PIECES_PER_BATCH = 50_000
@@ -106,8 +107,8 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, unit: int = UNIT) -
     schema = f"{kind} int, firsts array<long>, shares array<long>, sequences array<long>"
     runs = spark.createDataFrame(table, schema)
 
-    n_buckets = -(-sum(demand.values()) // ROWS_PER_BUCKET)
-    dealt = kept.withColumn(bucket, F.pmod(F.xxhash64(row), F.lit(max(1, n_buckets))))
+    n_buckets = max(LEAST_BUCKETS, -(-sum(demand.values()) // ROWS_PER_BUCKET))
+    dealt = kept.withColumn(bucket, F.pmod(F.xxhash64(row), F.lit(n_buckets)))
     earlier = Window.partitionBy(kind).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     before = (
         dealt.groupBy(kind, bucket)
