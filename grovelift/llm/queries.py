@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from grovelift.llm.ann import embedding_neighbours
 from grovelift.llm.common import table
 from grovelift.llm.langid import identify_languages
+from grovelift.llm.licenses import oracle_sql as license_sql
+from grovelift.llm.licenses import scan_licenses
 from grovelift.llm.neardup import near_duplicates
 from grovelift.llm.packing import pack_documents
 from grovelift.llm.quality import classify_quality
+from grovelift.llm.sentencepiece_codec import encoded_digests
 from grovelift.llm.sharding import sharded_documents
 from grovelift.llm.topk import embedding_topk
 from grovelift.llm.toxicity import classify_toxicity
@@ -19,6 +22,10 @@ from grovelift.llm.toxicity import classify_toxicity
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoded_digests(table(spark, sf_dir, "documents"))
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharded_documents(table(spark, sf_dir, "documents"))
 
@@ -27,6 +34,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
@@ -54,8 +65,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op1_sentencepiece,
         op2_sharding,
         op3_toxicity,
+        op4_license_scan,
         op5_minhash,
         op6_nearest_neighbours,
         op7_exact_topk,
@@ -66,6 +79,7 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op4_license_scan": license_sql(),
     "op5_minhash": r"""
         WITH RECURSIVE words AS MATERIALIZED (
           SELECT doc_id, [x FOR x IN string_split_regex(
