@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -20,6 +21,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def with_text(rows: DataFrame, kept: list[str]) -> DataFrame:
+    """`row`, a struct of the kept columns, and `text`: no kept name can clash with others."""
+    return rows.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), "text")
+
+
+def with_columns(rows: DataFrame, **types: T.DataType) -> T.StructType:
+    """The schema of `row` followed by columns of these types."""
+    return T.StructType([rows.schema["row"], *(T.StructField(c, t) for c, t in types.items())])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -22,10 +22,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from grovelift.llm.common import checkpointed, fold
+from grovelift.llm.common import checkpointed, fold, with_columns, with_text
 
-MODEL_WORDS = 50_000
+MODEL_WORDS = 100_000
 MODEL_NGRAMS = 50_000
 NGRAM = 4
 LANGUAGES = 200
@@ -117,7 +118,9 @@ class LanguageModel:
         self.words = {w: i for i, w in enumerate(words)}
         self.grams = {g: i for i, g in enumerate(grams)}
         self.word_scores, self.gram_scores = word_scores, gram_scores
-        self.cache: dict[str, np.ndarray] = {}
+        # Unknown words seen lately: their row of scores, or None if nothing of them is known.
+        self.seen: dict[str, int | None] = {}
+        self.seen_scores = np.zeros((_CACHED_WORDS, max(1, len(langs))), np.float32)
 
     def unknown_word(self, word: str) -> np.ndarray | None:
         """The mean score of the longest known n-grams; None if no character is known."""
@@ -127,32 +130,33 @@ class LanguageModel:
                 return self.gram_scores[found].mean(axis=0)
         return None
 
-    def _cached(self, word: str) -> np.ndarray | None:
-        try:
-            return self.cache[word]
-        except KeyError:
-            if len(self.cache) >= _CACHED_WORDS:
-                self.cache.clear()
-            scores = self.cache[word] = self.unknown_word(word)
-            return scores
+    def _unknown_rows(self, words: list[str]) -> list[int]:
+        if len(self.seen) + len(words) > _CACHED_WORDS:
+            self.seen.clear()
+        fresh = {w for w in words if w not in self.seen}
+        if len(fresh) > _CACHED_WORDS:  # a text with more unknown words than fit
+            self.seen_scores = np.zeros((len(fresh), len(self.langs)), np.float32)
+        for word in fresh:
+            scores = self.unknown_word(word)
+            at = len(self.seen)
+            self.seen[word] = None if scores is None else at
+            if scores is not None:
+                self.seen_scores[at] = scores
+        return [i for i in map(self.seen.get, words) if i is not None]
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """The language and, from 0 to 1, how far its mean word is likelier there."""
         words = words_of(text) if text else []
         if not words or not self.langs:
             return UNDETERMINED, 0.0
-        found = [self.words.get(w, -1) for w in words]
-        index = np.array(found)
-        known = index[index >= 0]
+        found = list(map(self.words.get, words))
+        known = [i for i in found if i is not None]
         total = self.word_scores[known].sum(axis=0, dtype=np.float64)
         n = len(known)
         if n < len(words):
-            for word, i in zip(words, found, strict=True):
-                if i < 0:
-                    scores = self._cached(word)
-                    if scores is not None:
-                        total += scores
-                        n += 1
+            rows = self._unknown_rows([w for w, i in zip(words, found, strict=True) if i is None])
+            total += self.seen_scores[rows].sum(axis=0, dtype=np.float64)
+            n += len(rows)
         if not n:
             return UNDETERMINED, 0.0
         mean = total / n * math.log(10)
@@ -201,18 +205,23 @@ def _predict_batches(shared):
             found = [model.predict(t.as_py()) for t in batch.column("text")]
             names = pa.array([f[0] for f in found], pa.string())
             scores = pa.array([f[1] for f in found], pa.float64())
-            columns = [batch.column(c) for c in batch.schema.names if c != "text"]
-            kept = [c for c in batch.schema.names if c != "text"]
-            yield pa.RecordBatch.from_arrays([*columns, names, scores], [*kept, "lang_pred", "score"])
+            columns = [batch.column("row"), names, scores]
+            yield pa.RecordBatch.from_arrays(columns, ["row", "lang_pred", "score"])
 
     return run
 
 
-def predict_languages(documents: DataFrame, model: LanguageModel) -> DataFrame:
-    """doc_id, lang_pred and score of every row, from its whole text alone."""
+def predict_languages(documents: DataFrame, model: LanguageModel, kept: list[str]) -> DataFrame:
+    """`row` (a struct of the kept columns), lang_pred and score, from the whole text alone."""
     shared = documents.sparkSession.sparkContext.broadcast(model.parts)
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(_predict_batches(shared), "doc_id long, lang_pred string, score double")
+    rows = with_text(documents, kept)
+    schema = with_columns(rows, lang_pred=T.StringType(), score=T.DoubleType())
+    return rows.mapInArrow(_predict_batches(shared), schema)
+
+
+def fit_on_folds(documents: DataFrame) -> LanguageModel:
+    """Learn from the two of three folds of the ids that are not held out."""
+    return fit_languages(documents.where(fold("doc_id", FOLDS) != HELD_OUT_FOLD))
 
 
 def identify_languages(documents: DataFrame) -> DataFrame:
@@ -224,8 +233,6 @@ def identify_languages(documents: DataFrame) -> DataFrame:
     are taken in alphabetical order. A row without doc_id is learnt from and
     predicted like others; repeated rows count as often as they occur.
     """
-    learning = documents.where(fold("doc_id", FOLDS) != HELD_OUT_FOLD)
-    predicted = predict_languages(documents, fit_languages(learning))
-    return predicted.select(
-        "doc_id", (fold("doc_id", FOLDS) == HELD_OUT_FOLD).alias("held_out"), "lang_pred", "score"
-    )
+    predicted = predict_languages(documents, fit_on_folds(documents), ["doc_id"])
+    held_out = fold(F.col("row.doc_id"), FOLDS) == HELD_OUT_FOLD
+    return predicted.select("row.doc_id", held_out.alias("held_out"), "lang_pred", "score")

@@ -24,8 +24,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from grovelift.llm.common import checkpointed, fold
+from grovelift.llm.common import checkpointed, fold, with_columns, with_text
 
 HELD_OUT_FOLD, FOLDS = 0, 5
 # Labelled rows per class that are learnt from.
@@ -186,24 +187,25 @@ def features_of(text: str | None, words: dict[str, float], stems: dict[str, floa
     ]
 
 
-def _feature_batches(shared, kept: list[str]):
+def _feature_batches(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicons = shared.value
         for batch in batches:
             rows = [features_of(t.as_py(), lexicons["word"], lexicons["stem"]) for t in batch.column("text")]
             matrix = np.array(rows, np.float64).reshape(-1, len(FEATURES))
-            columns = [batch.column(c) for c in kept]
-            columns += [pa.array(matrix[:, j]) for j in range(len(FEATURES))]
-            yield pa.RecordBatch.from_arrays(columns, [*kept, *FEATURES])
+            columns = [batch.column("row"), *(pa.array(matrix[:, j]) for j in range(len(FEATURES)))]
+            yield pa.RecordBatch.from_arrays(columns, ["row", *FEATURES])
 
     return run
 
 
-def featured(rows: DataFrame, lexicons: dict, kept: dict[str, str]) -> DataFrame:
-    """The `kept` columns (name: type) and the features of `text`."""
-    shared = rows.sparkSession.sparkContext.broadcast(lexicons)
-    schema = ", ".join(f"{c} {t}" for c, t in [*kept.items(), *((f, "double") for f in FEATURES)])
-    return rows.select(*kept, "text").mapInArrow(_feature_batches(shared, list(kept)), schema)
+def featured(documents: DataFrame, lexicons: dict, kept: list[str]) -> DataFrame:
+    """`row` (a struct of the kept columns) and the features of the whole text."""
+    shared = documents.sparkSession.sparkContext.broadcast(lexicons)
+    rows = with_text(documents, kept)
+    return rows.mapInArrow(
+        _feature_batches(shared), with_columns(rows, **dict.fromkeys(FEATURES, T.DoubleType()))
+    )
 
 
 class ToxicityModel:
@@ -213,17 +215,20 @@ class ToxicityModel:
         self.lexicons, self.trees, self.calibration = lexicons, trees, calibration
         self.constant = constant
 
-    def score(self, documents: DataFrame) -> DataFrame:
-        """doc_id and the chance, by its whole text alone, that a document is toxic."""
-        rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    def score(self, documents: DataFrame, kept: list[str]) -> DataFrame:
+        """`row` (a struct of the kept columns) and the chance that a document is toxic.
+
+        The score is a function of the whole text alone.
+        """
         if self.trees is None:
-            return rows.select("doc_id", F.lit(self.constant).alias("score"))
-        margins = _with_margin(featured(rows, self.lexicons, {"doc_id": "long"}), self.trees)
+            rows = with_text(documents, kept)
+            return rows.select("row", F.lit(float(self.constant)).alias("score"))
+        margins = _with_margin(featured(documents, self.lexicons, kept), self.trees)
         fitted = self.calibration.transform(margins)
         # Between equal chances a slight slope keeps the order of the margins.
         chance = F.least(F.lit(1.0), F.greatest(F.lit(0.0), "calibrated"))
         slope = 1 / (1 + F.exp(-F.col("margin")))
-        return fitted.select("doc_id", (0.99 * chance + 0.01 * slope).alias("score"))
+        return fitted.select("row", (0.99 * chance + 0.01 * slope).alias("score"))
 
 
 def _with_margin(rows: DataFrame, trees) -> DataFrame:
@@ -256,15 +261,15 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, per_class: int = SAMPL
     # Lexicons are learnt on other texts than the trees, which else would trust them too far.
     split = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2))
     lexicons = learn_lexicons(sample.where("part > 0").where(split == 0))
-    rows = checkpointed(featured(sample, lexicons, {"doc_id": "long", "y": "int", "part": "long"}))
+    rows = checkpointed(featured(sample, lexicons, ["y", "part"]))
     assembled = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(
-        rows.where("part > 0").withColumn("label", F.col("y").cast("double"))
+        rows.where("row.part > 0").withColumn("label", F.col("row.y").cast("double"))
     )
     weights = assembled.select("features", "label")
     trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7, cacheNodeIds=False)
     trees = trees.fit(weights)
-    margins = _with_margin(rows.where("part = 0"), trees)
-    points = margins.select("margin", F.col("y").cast("double").alias("label"))
+    margins = _with_margin(rows.where("row.part = 0"), trees)
+    points = margins.select("margin", F.col("row.y").cast("double").alias("label"))
     isotonic = IsotonicRegression(featuresCol="margin", labelCol="label", predictionCol="calibrated")
     return ToxicityModel(lexicons, trees, isotonic.fit(points))
 
@@ -278,10 +283,10 @@ def classify_toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
     labels of one class only every text has that class, with none the score is
     0. Repeated rows have equal scores; rows without doc_id are scored too.
     """
-    scored = fit_toxicity(documents, labels).score(documents)
+    scored = fit_toxicity(documents, labels).score(documents, ["doc_id"])
     return scored.select(
-        "doc_id",
-        (fold("doc_id", FOLDS) == HELD_OUT_FOLD).alias("held_out"),
+        "row.doc_id",
+        (fold(F.col("row.doc_id"), FOLDS) == HELD_OUT_FOLD).alias("held_out"),
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
