@@ -2,27 +2,27 @@
 
 from __future__ import annotations
 
-import tempfile
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
-# Keys that one task may hold in a hash table, on average over the partitions.
+# Memory of one 64-bit hash in the table of a broadcast.
+HASH_BYTES = 24
+# Keys of one task's hash table, on average over the partitions.
 HASHED_LIMIT_BYTES = 64 * 1024 * 1024
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder that the cluster names in `spark.checkpoint.dir`."""
+    """Use the folder named in `spark.checkpoint.dir`, else one in the warehouse.
+
+    Both are shared by the driver and all executors.
+    """
     context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="grovelift-checkpoints-")
-    context.setCheckpointDir(folder)
+    if context.getCheckpointDir() is None:
+        own = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", own))
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -35,36 +35,52 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def checkpointed_with_size(df: DataFrame, column: str) -> tuple[DataFrame, int]:
-    """A checkpointed narrow frame and its rough size in bytes.
-
-    The size is taken while the rows are written, from the lengths of the one
-    long column.
-    """
+def checkpointed_with_size(df: DataFrame, column: str) -> tuple[DataFrame, Size]:
+    """A checkpointed narrow frame and its size, taken while the rows are written."""
     size = Observation()
     seen = df.observe(
         size, F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(column)).alias("length")
     )
     kept = checkpointed(seen)
-    return kept, int(size.get["length"] or 0) + 48 * int(size.get["n"])
+    rows = int(size.get["n"])
+    return kept, Size(rows, int(size.get["length"] or 0) + 48 * rows)
 
 
-def broadcast_if_small(df: DataFrame, size: int, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
+def broadcast_if_small(df: DataFrame, size: Size, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
     """Hint a broadcast when the measured size allows it, else leave the join to shuffle."""
-    return F.broadcast(df) if size <= limit else df
+    return F.broadcast(df) if size.bytes <= limit else df
+
+
+@dataclass(frozen=True)
+class Size:
+    """Measured rows and bytes of a narrow frame."""
+
+    rows: int
+    bytes: int
+
+
+def measured(df: DataFrame, column: str | Column) -> Size:
+    """Rows of a narrow frame, and its bytes by the lengths of its one long column."""
+    row = df.agg(F.count(F.lit(1)), F.sum(F.octet_length(column))).first()
+    return Size(row[0], int(row[1] or 0) + 48 * row[0])
 
 
-def as_join_keys(keys: DataFrame, size: int | None) -> DataFrame:
-    """Keys of a measured size, as the side of a join with much wider rows.
+def join_by_keys(wide: DataFrame, keys: DataFrame, column: str, size: Size | None) -> DataFrame:
+    """Rows of a wide frame joined with keys, without a shuffle of unwanted wide rows.
 
-    Few keys are broadcast, so the other side is not shuffled. More keys are
-    hashed per shuffle partition, so that the other side is not sorted, as long
-    as a partition of keys fits in memory. Beyond that, or if nothing is known,
-    Spark's own choice can spill.
+    Few keys are broadcast. Of more keys 64-bit hashes are broadcast first, so
+    that only wanted rows, but for rare collisions, reach the shuffle of the
+    exact join. Keys too many for that, or of unknown size, are joined as Spark
+    chooses; its runtime filters still apply.
     """
     if size is None:
-        return keys
-    if size <= BROADCAST_LIMIT_BYTES:
-        return F.broadcast(keys)
+        return wide.join(keys, column)
+    if size.bytes <= BROADCAST_LIMIT_BYTES:
+        return wide.join(F.broadcast(keys), column)
+    if size.rows * HASH_BYTES <= BROADCAST_LIMIT_BYTES:
+        hashes = keys.select(F.xxhash64(column).alias("_hash")).distinct()
+        same = F.xxhash64(wide[column]) == F.col("_hash")
+        wide = wide.join(F.broadcast(hashes), same, "left_semi")
     partitions = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return keys.hint("shuffle_hash") if size <= HASHED_LIMIT_BYTES * partitions else keys
+    fits = size.bytes <= HASHED_LIMIT_BYTES * partitions
+    return wide.join(keys.hint("shuffle_hash") if fits else keys, column)

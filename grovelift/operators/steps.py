@@ -18,10 +18,11 @@ from pyspark.sql import functions as F
 from grovelift.operators.scope import in_scope, without_excluded
 from grovelift.operators.sizing import (
     BROADCAST_LIMIT_BYTES,
-    as_join_keys,
+    Size,
     broadcast_if_small,
     checkpointed,
     checkpointed_with_size,
+    join_by_keys,
 )
 from grovelift.schemas import (
     CHILDREN,
@@ -133,7 +134,7 @@ def label_rows(
     return _absent(rows, target)
 
 
-def fetch_rows(source: DataFrame, keys: DataFrame, size: int | None = None) -> DataFrame:
+def fetch_rows(source: DataFrame, keys: DataFrame, size: Size | None = None) -> DataFrame:
     """The 14 copied columns of the rows named by `keys`, plus the other key columns.
 
     This is the only place that touches the payload. Rows found by few keys
@@ -141,10 +142,7 @@ def fetch_rows(source: DataFrame, keys: DataFrame, size: int | None = None) -> D
     from many source files.
     """
     extra = [c for c in keys.columns if c != ID]
-    rows = (
-        source.select(*FILE_COLUMNS)
-        .join(as_join_keys(keys, size), ID)
-        .select(*FILE_COLUMNS, *extra)
-    )
-    few = size is not None and size <= BROADCAST_LIMIT_BYTES
+    rows = join_by_keys(source.select(*FILE_COLUMNS), keys, ID, size)
+    rows = rows.select(*FILE_COLUMNS, *extra)
+    few = size is not None and size.bytes <= BROADCAST_LIMIT_BYTES
     return rows.hint("rebalance") if few else rows

@@ -22,9 +22,10 @@ from operator import or_
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from grovelift.functions import canonical_value
 from grovelift.operators.batching import batch_log, batch_of, counted_log, number_rows
 from grovelift.operators.scope import scope_ids
-from grovelift.operators.sizing import as_join_keys, checkpointed
+from grovelift.operators.sizing import checkpointed, measured
 from grovelift.operators.steps import fetch_rows, label_rows
 from grovelift.plans.config import TableConfig, load_active
 from grovelift.plans.scripts import label_by_scripts
@@ -40,15 +41,12 @@ from grovelift.schemas import (
 )
 from grovelift.sources.files import (
     TargetTable,
-    data_files_of,
     read_allowed,
     read_metadata,
     read_source,
 )
 from grovelift.sources.state import StateStore
 
-# Memory of one key of a fetch: an id of up to 64 characters, step and batch.
-_KEY_BYTES = 128
 _LOG_ROWS_PER_FILE = 1_000_000
 
 
@@ -67,12 +65,13 @@ class Options:
     chunk_rows: int | None = None
     scripted: bool = False
     settle: bool = False
-    guid_ids: bool = True
+    guid_ids: bool = False
     clock: Callable[[], datetime] = datetime.now
 
     def __post_init__(self):
         if self.batch_size < 1:
             raise ValueError("batch_size must be at least 1")
+        self.excluded_id = canonical_value(self.excluded_id)
 
 
 @dataclass
@@ -166,8 +165,8 @@ class _Load:
         scope = scope_ids(meta, self.allowed, config.metadata_id_column)
         return label_rows(source, scope, held, options.excluded_id, steps, queued)
 
-    def _source(self, files: list[str] | None = None) -> DataFrame:
-        return read_source(self.spark, self.config.source, self.options.guid_ids, files)
+    def _source(self) -> DataFrame:
+        return read_source(self.spark, self.config.source, self.options.guid_ids)
 
     @staticmethod
     def _count(rows: DataFrame) -> dict[int, int]:
@@ -239,15 +238,17 @@ class _Load:
         keys = work.rows.where(inside).select(
             ID, step.alias("_step"), batch.cast("int").alias("_batch")
         )
-        size, counted = n_keys * _KEY_BYTES, Observation()
-        ids = as_join_keys(keys.select(ID), size)
-        files = data_files_of(self.spark, self.config.source, ids, self.options.guid_ids)
-        rows = fetch_rows(self._source(files), keys, size).observe(
+        counted = Observation()
+        rows = fetch_rows(self._source(), keys, measured(keys, ID)).observe(
             counted,
             *[F.count(F.when(F.col("_step") == s, 1)).alias(f"step_{s}") for s in spans],
         )
         self.target.write_chunk(*place, rows)
-        return {s: counted.get[f"step_{s}"] for s in spans}
+        written = {s: counted.get[f"step_{s}"] for s in spans}
+        for s, (start, end) in spans.items():
+            if written[s] > end - start:  # not logged, so not committed
+                raise ValueError(f"step {s}: the source holds several rows with one id")
+        return written
 
     # -- the progress log
 
@@ -323,8 +324,9 @@ def run_table(
     never loaded (None for none); `chunk_rows`, rows per commit, if a run should
     be resumable within a step, at the price of one source scan per chunk;
     `scripted` to take the steps from the stored scripts; `settle` to look again
-    until no new rows arrive; `guid_ids=False` if ids already have one spelling;
-    `clock`.
+    until no new rows arrive; `guid_ids` if ids in the tables have several
+    spellings of one GUID; `clock`. The excluded id and the run id are taken by
+    value, in any spelling of a GUID.
 
     Two runs of the same table must not run at the same time.
     """
@@ -332,7 +334,7 @@ def run_table(
     config = load_active(state, table_name)
     if reset and run_id is None:
         raise ValueError("a reset needs the id of the run to reset")
-    run_id = run_id or str(uuid.uuid4()).upper()
+    run_id = canonical_value(run_id) or str(uuid.uuid4()).upper()
     attempt = state.attempt(run_id, table_name)
     started_at = state.started_at(run_id, table_name, attempt) or settings.clock()
     if reset:
@@ -359,5 +361,5 @@ def run_all(
     **options,
 ) -> list[RunResult]:
     """Load several tables under one run id, each to completion before the next."""
-    run_id = run_id or str(uuid.uuid4()).upper()
+    run_id = canonical_value(run_id) or str(uuid.uuid4()).upper()
     return [run_table(state, n, allowed, run_id=run_id, **options) for n in table_names]

@@ -25,9 +25,8 @@ from grovelift.sources.bindings import (
 )
 
 _COLUMNS = ", ".join(FILE_COLUMNS)
-_TIMES = ["creation_time", "last_write_time", "last_access_time"]
-_FLAGS = ["is_directory", "is_offline", "is_hidden", "is_readonly", "is_archive", "is_system"]
-_FLAGS += ["is_temporary"]
+_TIMES = [c for c in FILE_COLUMNS if c.endswith("_time")]
+_FLAGS = [c for c in FILE_COLUMNS if c.startswith("is_")]
 
 
 def _file(id_, payload, name, path, parent, at, is_dir):
@@ -62,7 +61,7 @@ files AS (
   WHERE r_name = '{FOREST_REGION}'
 ), held AS (
   SELECT {_COLUMNS} FROM files WHERE creation_time < TIMESTAMP '{LOADED_BEFORE}'
-), excluded AS (SELECT '{FOREST_EXCLUDED}' AS id)
+)
 """
 
 _CHAIN_PATH = "'/' || conv_id || '/' || turn || '/'"
@@ -77,48 +76,61 @@ files AS (
   SELECT '{CHAIN_OWNER}' AS unit
 ), held AS (
   SELECT {_COLUMNS} FROM files WHERE false
-), excluded AS (SELECT '' AS id)
+)
 """
 
-# Each step reads what the target held and what the steps before it brought.
-STEPS = """
-, scoped AS (
-  SELECT f.* FROM files f
+# Each step reads what the target held and what the steps before it brought. The
+# steps work on narrow rows, each computed once; other columns are added at the end.
+
+
+def _steps(excluded: str) -> str:
+    return f"""
+, narrow AS MATERIALIZED (
+  SELECT stream_id, name, path_locator, parent_path_locator FROM files
+), held_1 AS MATERIALIZED (SELECT stream_id FROM held),
+scoped AS MATERIALIZED (
+  SELECT f.* FROM narrow f
   JOIN meta m ON m.file_id = f.stream_id
   JOIN allowed a ON a.unit = m.unit
-  WHERE f.stream_id <> (SELECT id FROM excluded)
-), step_1 AS (
-  SELECT s.* FROM scoped s LEFT JOIN held h ON h.stream_id = s.stream_id
+  WHERE f.stream_id <> '{excluded}'
+), step_1 AS MATERIALIZED (
+  SELECT s.stream_id FROM scoped s LEFT JOIN held_1 h ON h.stream_id = s.stream_id
   WHERE s.parent_path_locator IS NULL AND h.stream_id IS NULL
-), held_2 AS (
-  SELECT stream_id FROM held UNION ALL SELECT stream_id FROM step_1
-), parents AS (
+), held_2 AS MATERIALIZED (
+  SELECT stream_id FROM held_1 UNION ALL SELECT stream_id FROM step_1
+), parents AS MATERIALIZED (
   SELECT DISTINCT p.stream_id FROM scoped s
-  JOIN files p ON p.path_locator = s.parent_path_locator
-  WHERE s.parent_path_locator IS NOT NULL
-), queue AS (
-  SELECT p.stream_id FROM parents p
-  WHERE p.stream_id <> (SELECT id FROM excluded)
-    AND NOT EXISTS (SELECT 1 FROM held_2 h WHERE h.stream_id = p.stream_id)
-), step_2 AS (
-  SELECT f.* FROM files f JOIN queue q ON q.stream_id = f.stream_id
-), held_3 AS (
+  JOIN narrow p ON p.path_locator = s.parent_path_locator
+), queue AS MATERIALIZED (
+  SELECT p.stream_id FROM parents p LEFT JOIN held_2 h ON h.stream_id = p.stream_id
+  WHERE p.stream_id <> '{excluded}' AND h.stream_id IS NULL
+), step_2 AS (SELECT stream_id FROM queue),
+held_3 AS MATERIALIZED (
   SELECT stream_id FROM held_2 UNION ALL SELECT stream_id FROM step_2
-), step_3 AS (
-  SELECT s.* FROM scoped s LEFT JOIN held_3 h ON h.stream_id = s.stream_id
+), step_3 AS MATERIALIZED (
+  SELECT s.stream_id FROM scoped s LEFT JOIN held_3 h ON h.stream_id = s.stream_id
   WHERE s.parent_path_locator IS NOT NULL AND h.stream_id IS NULL
-), loaded AS (
+), loaded AS MATERIALIZED (
   SELECT 1 AS step, stream_id FROM step_1
   UNION ALL SELECT 2, stream_id FROM step_2
   UNION ALL SELECT 3, stream_id FROM step_3
 ), target AS (
-""" + " UNION ALL ".join(
-    f"SELECT {_COLUMNS} FROM {t}" for t in ("held", "step_1", "step_2", "step_3")
-) + "\n)"
+  SELECT {_COLUMNS} FROM held
+  UNION ALL
+  SELECT {_COLUMNS} FROM files JOIN loaded USING (stream_id)
+)"""
 
 
 def _forest(select: str) -> str:
-    return f"WITH {FOREST} {STEPS} {select}"
+    return f"WITH {FOREST} {_steps(FOREST_EXCLUDED)} {select}"
+
+
+def _chain(select: str) -> str:
+    return f"WITH {CHAIN} {_steps('')} {select}"
+
+
+def _rows(step: str) -> str:
+    return f"SELECT {_COLUMNS} FROM files JOIN {step} USING (stream_id)"
 
 
 _B = DEFAULT_BATCH_SIZE
@@ -130,7 +142,7 @@ def _batches(step: str) -> str:
 
 
 def _first(step: str) -> str:
-    return _forest(f"SELECT {_COLUMNS} FROM {step} ORDER BY stream_id LIMIT {_B}")
+    return _forest(f"{_rows(step)} ORDER BY stream_id LIMIT {_B}")
 
 
 _QUEUE = f"""
@@ -245,11 +257,11 @@ ORACLES: dict[str, str] = {
     "scope_keys": f"""WITH {FOREST}
         SELECT DISTINCT file_id AS stream_id FROM meta m JOIN allowed a ON a.unit = m.unit""",
     "in_scope": _forest("SELECT stream_id, name, path_locator, parent_path_locator FROM scoped"),
-    "roots_pending": _forest(f"SELECT {_COLUMNS} FROM step_1"),
-    "children_pending": _forest(f"SELECT {_COLUMNS} FROM step_3"),
+    "roots_pending": _forest(_rows("step_1")),
+    "children_pending": _forest(_rows("step_3")),
     "direct_parents": _forest("SELECT stream_id FROM parents"),
     "parent_queue": _forest(_QUEUE.format(processed="false")),
-    "missing_parents_rows": _forest(f"SELECT {_COLUMNS} FROM step_2"),
+    "missing_parents_rows": _forest(_rows("step_2")),
     "roots_first_batch": _first("step_1"),
     "children_first_batch": _first("step_3"),
     "queue_batch": _forest(f"SELECT stream_id FROM queue ORDER BY stream_id LIMIT {_B}"),
@@ -266,13 +278,12 @@ ORACLES: dict[str, str] = {
         FROM ({_batches("step_3")}) GROUP BY batch_number""",
     "progress_log": _forest(_PROGRESS),
     "load_labels": _forest("SELECT stream_id, CAST(step AS SMALLINT) AS step FROM loaded"),
-    "chain_labels": f"""WITH {CHAIN} {STEPS}
-        SELECT stream_id, CAST(step AS SMALLINT) AS step FROM loaded""",
+    "chain_labels": _chain("SELECT stream_id, CAST(step AS SMALLINT) AS step FROM loaded"),
     "migrated_target": _forest("SELECT * FROM target"),
     "migrated_two_tables": f"""
-        SELECT *, '{TABLE}' AS table_name FROM (WITH {FOREST} {STEPS} SELECT * FROM target)
+        SELECT *, '{TABLE}' AS table_name FROM ({_forest("SELECT * FROM target")})
         UNION ALL
-        SELECT *, '{CHAIN_TABLE}' FROM (WITH {CHAIN} {STEPS} SELECT * FROM target)""",
+        SELECT *, '{CHAIN_TABLE}' FROM ({_chain("SELECT * FROM target")})""",
     "resume_state": f"""WITH {LOG}
         SELECT run_id, table_name, step,
                coalesce(max(batch_number) FILTER ({_OPEN}), 0) AS batch_number,

@@ -19,7 +19,6 @@ from grovelift.operators import (
     add_column,
     assign_batches,
     batch_log,
-    children,
     direct_parents,
     fetch_rows,
     first_batch,
@@ -37,7 +36,7 @@ from grovelift.operators import (
     without_run,
 )
 from grovelift.operators.progress import mark_processed
-from grovelift.operators.sizing import checkpointed, checkpointed_with_size
+from grovelift.operators.sizing import Size, checkpointed, checkpointed_with_size
 from grovelift.plans.config import active, resolved_names
 from grovelift.plans.scripts import ROOTS_SCRIPT, STEP_1_UPDATED, STEP_UPDATED, bind_script
 from grovelift.schemas import (
@@ -110,18 +109,17 @@ def _label_args(inputs: Inputs):
 
 
 def roots_pending(spark, sf_dir):
-    rows = roots(*_label_args(forest(spark, sf_dir)))
-    return _shown(rows.select(*FILE_COLUMNS))
+    inputs = forest(spark, sf_dir)
+    narrow = inputs.source.select(ID, PARENT)
+    keys = roots(narrow, _scope(inputs), inputs.target, inputs.excluded_id).select(ID)
+    keys, size = checkpointed_with_size(keys, ID)
+    return _shown(fetch_rows(inputs.source, keys, size))
 
 
 def children_pending(spark, sf_dir):
     """Step 3, which sees what the target held and what steps 1 and 2 brought."""
-    source, scope, target, excluded_id = _label_args(forest(spark, sf_dir))
-    scope = checkpointed(scope)
-    brought = label_rows(source, scope, target, excluded_id, {ROOTS, MISSING_PARENTS})
-    held = target.select(ID).unionByName(brought.select(ID))
-    rows = children(source, scope, held, excluded_id)
-    return _shown(rows.select(*FILE_COLUMNS))
+    keys, size = checkpointed_with_size(_ids_of(CHILDREN, spark, sf_dir), ID)
+    return _shown(fetch_rows(forest(spark, sf_dir).source, keys, size))
 
 
 def parents(spark, sf_dir):
@@ -129,7 +127,7 @@ def parents(spark, sf_dir):
     return direct_parents(inputs.source, _scope(inputs), inputs.excluded_id)
 
 
-def _labels(inputs: Inputs) -> tuple[DataFrame, int]:
+def _labels(inputs: Inputs) -> tuple[DataFrame, Size]:
     return checkpointed_with_size(label_rows(*_label_args(inputs)), ID)
 
 

@@ -92,3 +92,10 @@ def drop_rows(spark: SparkSession, name: str, partition: Mapping[str, Any]) -> N
     """Remove all partitions below a prefix of the partition columns."""
     spec = ", ".join(f"{quoted(k)} = {literal(v)}" for k, v in partition.items())
     spark.sql(f"TRUNCATE TABLE {table_path(name)} PARTITION ({spec})")
+
+
+def drop_partition(spark: SparkSession, name: str, partition: Mapping[str, Any]) -> None:
+    """Remove one partition, its files and its entry in the catalog."""
+    drop_rows(spark, name, partition)
+    spec = ", ".join(f"{quoted(k)} = {literal(v)}" for k, v in partition.items())
+    spark.sql(f"ALTER TABLE {table_path(name)} DROP IF EXISTS PARTITION ({spec})")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,52 +18,26 @@ from grovelift.schemas import (
 from grovelift.sources.catalog import create_table, overwrite_partition, table_path
 
 INITIAL_RUN = "initial"
-MAX_DATA_FILES = 10_000
-_DATA_FILE = "_metadata.file_path"
 
 
 def _id(column: str, guid_ids: bool):
     return (canonical_id(column) if guid_ids else F.col(column)).alias(column)
 
 
-def read_source(
-    spark: SparkSession, name: str, guid_ids: bool = True, data_files: list[str] | None = None
-) -> DataFrame:
-    """Source rows with their parent path, of all data files or of the given ones.
+def read_source(spark: SparkSession, name: str, guid_ids: bool = False) -> DataFrame:
+    """Source rows with their parent path.
 
-    Unused columns are pruned by the plan.
+    Unused columns are pruned by the plan. With `guid_ids` ids are read in one
+    spelling, at the price that conditions on them do not reach the files.
     """
     rows = spark.table(table_path(name))
-    if data_files is not None:
-        rows = rows.where(F.col(_DATA_FILE).isin(data_files))
     return rows.select(
         *[_id(c, guid_ids) if c == ID else F.col(c) for c in [*FILE_COLUMNS, PARENT]]
     )
 
 
-def data_files_of(
-    spark: SparkSession, name: str, ids: DataFrame, guid_ids: bool = True
-) -> list[str] | None:
-    """The data files of the source that hold the given ids, or None for "all".
-
-    Reading ids only, this spares a load that brings few rows, such as those of
-    recently added files, from reading the payload of every other file. Only
-    file names reach the driver. If they are too many, or the source does not
-    consist of files, the load reads all of it.
-    """
-    try:
-        rows = spark.table(table_path(name)).select(
-            _id(ID, guid_ids), F.col(_DATA_FILE).alias("data_file")
-        )
-    except AnalysisException:
-        return None
-    found = rows.join(ids, ID, "left_semi").select("data_file").distinct()
-    names = [r[0] for r in found.limit(MAX_DATA_FILES + 1).collect()]
-    return names if len(names) <= MAX_DATA_FILES else None
-
-
 def read_metadata(
-    spark: SparkSession, name: str, id_column: str, guid_ids: bool = True
+    spark: SparkSession, name: str, id_column: str, guid_ids: bool = False
 ) -> DataFrame:
     return spark.table(table_path(name)).select(_id(id_column, guid_ids), OWNER)
 
@@ -100,7 +73,7 @@ class TargetTable:
         create_table(self.spark, self.name, schema, self.PARTITIONS, location)
         return self
 
-    def load_initial(self, rows: DataFrame, guid_ids: bool = True) -> None:
+    def load_initial(self, rows: DataFrame, guid_ids: bool = False) -> None:
         """Take over rows that were in the target before the first run."""
         rows = rows.select(
             *[_id(c, guid_ids) if c == ID else F.col(c) for c in FILE_COLUMNS],

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from grovelift import schemas as S
+from grovelift.functions import canonical_value
 from grovelift.operators.keys import require_key
 from grovelift.operators.progress import queue_view, resume_state, run_started_at
 from grovelift.operators.sizing import checkpointed
@@ -17,6 +18,7 @@ from grovelift.operators.upsert import upsert
 from grovelift.sources.catalog import (
     add_table_column,
     create_table,
+    drop_partition,
     drop_rows,
     overwrite_partition,
     partition_values,
@@ -102,11 +104,16 @@ class StateStore:
         merged = upsert(self.read(table), rows, keys, update_cols, defaults, on_update)
         merged = checkpointed(merged)
         required = [f.name for f in schema.fields if not f.nullable]
+        missing = merged.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in required]).first()
         for column in required:
-            if not merged.where(F.col(column).isNull()).isEmpty():
+            if missing[column]:
                 raise ValueError(f"rows for {table}: {column} must have a value")
-        version = {_VERSION: self._version(table) + 1}
-        overwrite_partition(self.spark, self.name(table), version, merged)
+        version = self._version(table) + 1
+        overwrite_partition(self.spark, self.name(table), {_VERSION: version}, merged)
+        # The version before stays for readers that are still at it.
+        for value in partition_values(self.spark, self.name(table), _VERSION):
+            if int(value) < version - 1:
+                drop_partition(self.spark, self.name(table), {_VERSION: int(value)})
 
     # -- progress, queue, reset
 
@@ -129,12 +136,14 @@ class StateStore:
 
     def progress(self, run_id: str, table_name: str) -> DataFrame:
         """The log of a run of a table, with the columns that callers read."""
+        run_id = canonical_value(run_id)
         attempt = self.attempt(run_id, table_name)
         rows = self._run_rows("progress", run_id, table_name, attempt)
         return rows.select(*S.PROGRESS_COLUMNS)
 
     def queue(self, run_id: str, table_name: str) -> DataFrame:
         """The work queue of a run of a table, with its processed flag."""
+        run_id = canonical_value(run_id)
         run = (run_id, table_name, self.attempt(run_id, table_name))
         _, drawn, _ = self.commit_marks(*run)
         return queue_view(self._run_rows("work_queue", *run), drawn)

@@ -50,7 +50,7 @@ def run(lake, clock):
 
 
 @pytest.mark.parametrize(
-    "options", [{}, {"chunk_rows": 2}, {"chunk_rows": 4}, {"settle": True}, {"guid_ids": False}]
+    "options", [{}, {"chunk_rows": 2}, {"chunk_rows": 4}, {"settle": True}, {"guid_ids": True}]
 )
 def test_hand_made_tree(lake, run, options):
     target = lake.add_table("files")
@@ -266,12 +266,65 @@ def test_guids_match_by_value(lake, run):
         [(low.upper(), 1), ("{" + up.lower() + "}", 1)], "file_id string, OwningBusinessUnit int"
     )
     lake.put("files_meta", swapped)
-    assert run(excluded_id=low.upper()).rows[1] == 1
+    assert run(excluded_id="{" + low + "}", guid_ids=True).rows[1] == 1
     assert ids(target.rows()) == [up]
-    assert run(excluded_id=None).rows[1] == 1
+    assert run(excluded_id=None, guid_ids=True).rows[1] == 1
     assert ids(target.rows()) == [low.upper(), up]
 
 
+@pytest.mark.parametrize("scripted", [False, True])
+@pytest.mark.parametrize("spelling", [str.lower, str.upper, lambda v: "{" + v.lower() + "}"])
+def test_the_excluded_id_counts_by_value(lake, run, scripted, spelling):
+    guid = "7F8D53EC-B98C-F011-B86B-00000000000A"
+    target = lake.add_table("files", [(guid, "/1/", None, 1), ("r", "/2/", None, 1)], held=[])
+    if scripted:
+        seed_scripts(lake.state, ["files"])
+    assert run(excluded_id=spelling(guid), scripted=scripted).rows == {1: 1, 2: 0, 3: 0}
+    assert ids(target.rows()) == ["r"]
+
+
+def test_the_run_id_counts_by_value(lake, run):
+    lake.add_table("files")
+    guid = "5C0FFEE0-0000-4000-8000-00000000000A"
+    first = run(run_id=guid.lower())
+    assert first.run_id == guid
+    log = lake.log(guid, "files")
+    assert run(run_id="{" + guid + "}").rows == {1: 0, 2: 0, 3: 0}
+    assert lake.log(guid.lower(), "files") == log
+    assert run(run_id=guid.lower(), reset=True).run_id == guid
+    assert lake.state.attempt(guid, "files") == 2
+
+
+def test_ids_that_differ_in_case_only_stay_apart(lake, run):
+    other = "not-a-guid-but-of-the-same-length-xx"
+    tree = [(other, "/1/", None, 1), (other.upper(), "/2/", None, 1)]
+    target = lake.add_table("files", tree, held=[])
+    assert run(excluded_id=None, guid_ids=True).rows[1] == 2
+    assert ids(target.rows()) == sorted([other, other.upper()])
+
+
+def test_a_source_with_a_repeated_id_raises_before_the_commit(lake, run):
+    tree = [("a", "/1/", None, 1), ("a", "/1/", None, 1), ("b", "/2/", None, 1)]
+    lake.add_table("files", tree, held=[])
+    with pytest.raises(ValueError, match="several rows with one id"):
+        run(run_id="R")
+    assert {row[4] for row in lake.log("R", "files")} == {"Failed"}
+
+
+def test_old_versions_of_definitions_go(lake):
+    for _ in range(4):
+        upsert_config(lake.state, lake.config_rows("files"), datetime(2026, 1, 1))
+    name = lake.state.name("table_config")
+    assert lake.spark.sql(f"SHOW PARTITIONS {name}").count() == 2
+    assert lake.state.read("table_config").count() == 1
+
+
+def test_a_required_value_must_be_there(lake):
+    rows = lake.config_rows("files").withColumn("source_table", F.lit(None).cast("string"))
+    with pytest.raises(ValueError, match="source_table must have a value"):
+        upsert_config(lake.state, rows, datetime(2026, 1, 1))
+
+
 def test_an_error_that_cannot_be_logged_is_still_shown(lake, run, monkeypatch):
     lake.add_table("files")
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from grovelift.functions import bind_tokens, canonical_id, qualified_name
+from grovelift.functions import bind_tokens, canonical_id, canonical_value, qualified_name
 from grovelift.operators import (
     add_column,
     assign_batches,
@@ -258,10 +258,13 @@ def test_added_columns(spark, lake):
 
 def test_one_spelling_of_guids(spark):
     guid = "7f8d53ec-b98c-f011-b86b-005056a2dd37"
-    values = [guid, guid.upper(), "{" + guid + "}", "a", None]
+    other = "not-a-guid-but-of-the-same-length-xx"
+    values = [guid, guid.upper(), "{" + guid + "}", other, other.upper(), "{" + other, "a", None]
+    assert len(other) == len(guid)
     rows = spark.createDataFrame([(v,) for v in values], "v string")
     got = [r[0] for r in rows.select(canonical_id("v")).collect()]
-    assert got == [guid.upper()] * 3 + ["a", None]
+    assert got == [guid.upper()] * 3 + values[3:]
+    assert [canonical_value(v) for v in values] == got
 
 
 def test_script_text(spark):

@@ -13,8 +13,9 @@ from grovelift.operators import (
     roots,
     scope_ids,
 )
+from grovelift.operators.sizing import BROADCAST_LIMIT_BYTES, Size, measured
 from grovelift.schemas import FILE_COLUMNS, PARENT, PATH
-from grovelift.sources.files import TargetTable
+from grovelift.sources.files import TargetTable, read_source
 from tests.trees import TREE, id_frame, ids, metadata_frame, source_frame
 
 
@@ -68,8 +69,8 @@ def test_roots_push_down_and_use_semi_and_anti_joins(stored):
 def test_one_exchange_per_input_on_the_id(stored):
     source, scope, target = stored
     text = plan(children(source, scope, target.rows(), "x"))
-    # source, metadata by owner, allow-list by owner, scope by id, target by id
-    assert text.count("Exchange hashpartitioning") == 5
+    # source, scope and target by id; the distinct allow-list, which is then broadcast
+    assert text.count("Exchange hashpartitioning") == 4
     assert text.count("Exchange hashpartitioning(stream_id") == 3
 
 
@@ -90,7 +91,7 @@ def test_key_work_never_reads_the_payload(stored, conf):
 
 def test_few_keys_leave_the_source_where_it_is(stored):
     source, _, _ = stored
-    text = plan(fetch_rows(source, id_frame(source.sparkSession, ["a"]), 100))
+    text = plan(fetch_rows(source, id_frame(source.sparkSession, ["a"]), Size(1, 100)))
     assert "BroadcastHashJoin" in text
     # evened out after the join, not before it
     assert text.index("REBALANCE") < text.index("BroadcastHashJoin")
@@ -99,10 +100,10 @@ def test_few_keys_leave_the_source_where_it_is(stored):
 def test_many_keys_sort_no_payload(stored, spark):
     source, _, _ = stored
     keys = id_frame(spark, ["a"])
-    text = plan(fetch_rows(source, keys, 100 * 2**20))
+    text = plan(fetch_rows(source, keys, Size(2**21, 100 * 2**20)))
     assert "ShuffledHashJoin" in text and "BuildRight" in text and "Sort [" not in text
     # too many for the memory of a task: a join that spills
-    assert "SortMergeJoin" in plan(fetch_rows(source, keys, 2**50))
+    assert "SortMergeJoin" in plan(fetch_rows(source, keys, Size(2**40, 2**50)))
 
 
 def test_target_scan_skips_open_chunks_by_partition(stored):
@@ -129,71 +130,44 @@ def test_runtime_filter_reaches_the_payload_scan(stored, conf, spark, lake):
     )
     keys = spark.table(f"{lake.database}.meta").where("OwningBusinessUnit = 2")
     keys = keys.select(F.col("file_id").alias("stream_id"))
-    assert "might_contain" in plan(fetch_rows(source, keys, 100 * 2**20))
-
-
-def test_only_data_files_with_wanted_rows_are_read(spark, lake, clock):
-    from grovelift import run_table
-    from grovelift.sources import files
-
-    target = lake.add_table("files")
-    run = {"excluded_id": "x", "clock": clock}
-    run_table(lake.state, "files", lake.name("allowed"), **run)
-    late = [("o", "/7/", None, 3)]
-    lake.put("files_src", source_frame(spark, late).coalesce(1), "append")
-    lake.put("files_meta", metadata_frame(spark, late), "append")
-    spark.catalog.refreshTable(lake.name("files_src"))
-
-    source = lake.name("files_src")
-    (one,) = files.data_files_of(spark, source, id_frame(spark, ["o"]))
-    rows = files.read_source(spark, source, data_files=[one])
-    assert ids(rows) == ["o"]
-    scan = rows.select("name")
-    scan.collect()
-    assert scanned_files(scan) == 1
-    assert run_table(lake.state, "files", lake.name("allowed"), **run).rows == {1: 1, 2: 0, 3: 0}
-    assert "o" in ids(target.rows())
-
-
-def test_all_files_are_read_when_too_many_hold_rows(spark, lake, monkeypatch):
-    from grovelift.sources import files
-
-    lake.put("src", source_frame(spark, TREE).repartition(5))
-    name = lake.name("src")
-    every = id_frame(spark, [n[0] for n in TREE])
-    assert len(files.data_files_of(spark, name, every)) > 1
-    monkeypatch.setattr(files, "MAX_DATA_FILES", 1)
-    assert files.data_files_of(spark, name, every) is None
-
-
-def test_files_with_odd_names_are_found_again(spark, lake):
-    from grovelift.sources import files
-
-    odd = ["a b", "50%", "x=y", "ü/é", "p+q", "#1", "%20"]
-    rows = source_frame(spark, TREE).withColumn("day", F.lit(None).cast("string"))
-    for number, name in enumerate(odd):
-        part = rows.limit(1).withColumn("stream_id", F.lit(f"s{number}"))
-        part = part.withColumn("day", F.lit(name))
-        mode = "append" if number else "overwrite"
-        part.write.mode(mode).partitionBy("day").saveAsTable(f"{lake.database}.odd")
-    name, keys = lake.name("odd"), id_frame(spark, [f"s{n}" for n in range(len(odd))])
-    found = files.data_files_of(spark, name, keys)
-    assert len(found) == len(odd)
-    assert ids(files.read_source(spark, name, data_files=found)) == ids(keys)
-
-
-def test_a_source_without_files_is_read_whole(spark, lake):
-    from grovelift.sources import files
-
-    spark.createDataFrame([("a", 1)], "stream_id string, n int").createOrReplaceTempView("loose")
-    assert files.data_files_of(spark, "loose", id_frame(spark, ["a"])) is None
-
-
-def scanned_files(df) -> int:
-    node = df._jdf.queryExecution().executedPlan()
-    while not node.metrics().contains("numFiles"):
-        node = node.children().head()
-    return node.metrics().get("numFiles").get().value()
+    assert "might_contain" in plan(fetch_rows(source, keys, Size(2**21, 100 * 2**20)))
+
+
+def test_ids_reach_the_files_through_read_source(spark, lake, stored):
+    _, scope, target = stored
+    source = read_source(spark, lake.name("src"))
+    (scan,) = [line for line in scans(roots(source, scope, target.rows(), "x")) if "name" in line]
+    pushed = scan.split("PushedFilters: [")[1].split("]")[0]
+    assert "Not(EqualTo(stream_id,x))" in pushed and "IsNotNull(stream_id)" in pushed
+
+
+def test_no_exchange_of_unwanted_payload(spark, lake, stored):
+    """With 300,000 keys the payload is cut down by broadcast hashes before it is shuffled."""
+    source = read_source(spark, lake.name("src"))
+    keys = spark.range(300_000).select(F.col("id").cast("string").alias("stream_id"))
+    size = measured(keys, "stream_id")
+    size = Size(size.rows, max(size.bytes, BROADCAST_LIMIT_BYTES + 1))
+    lines = plan(fetch_rows(source, keys, size)).splitlines()
+    depth = {i: len(line) - len(line.lstrip(" :+-")) for i, line in enumerate(lines)}
+    (scan,) = [i for i, line in enumerate(lines) if "FileScan" in line and "file_stream" in line]
+    above, at = [], depth[scan]
+    for i in range(scan - 1, -1, -1):
+        if depth[i] < at:
+            above.append(lines[i])
+            at = depth[i]
+    kinds = [i for i, line in enumerate(above) if "BroadcastHashJoin" in line and "LeftSemi" in line]
+    exchanges = [i for i, line in enumerate(above) if "Exchange" in line]
+    assert kinds and exchanges and kinds[0] < exchanges[0]
+
+
+def test_a_small_allow_list_without_statistics_is_broadcast(spark, lake, conf):
+    lake.put("meta", metadata_frame(spark, TREE))
+    conf(autoBroadcastJoinThreshold=-1, adaptive__autoBroadcastJoinThreshold=-1)
+    allowed = spark.createDataFrame([(1,), (3,), (3,)], "businessunit int")
+    text = plan(scope_ids(spark.table(f"{lake.database}.meta"), allowed, "file_id"))
+    assert "BroadcastHashJoin" in text and "hashpartitioning(OwningBusinessUnit" not in (
+        text.split("BroadcastExchange")[0]
+    )
 
 
 # -- skew: one parent, one owner, one id with a third of all rows

@@ -13,6 +13,7 @@ from grovelift.operators import (
     roots,
     scope_ids,
 )
+from grovelift.operators.sizing import Size
 from grovelift.schemas import FILE_COLUMNS
 from tests.trees import (
     ALLOWED,
@@ -98,7 +99,7 @@ def test_without_an_excluded_id(spark, tree):
 def test_fetch_copies_14_columns(spark, tree):
     source, _ = tree
     keys = id_frame(spark, ["a", "m", "gone"]).withColumn("_step", F.lit(1))
-    for size in (10, 10**12):
+    for size in (None, Size(3, 10), Size(3, 10**9), Size(10**9, 10**9), Size(10**9, 10**12)):
         rows = fetch_rows(source, keys, size)
         assert rows.columns == [*FILE_COLUMNS, "_step"]
         got = sorted(tuple(r)[:-1] for r in rows.collect())
