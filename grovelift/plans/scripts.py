@@ -175,8 +175,9 @@ def label_by_scripts(
             )
         else:
             ids = bind_script(spark, step_script(state, step), seen, args)
-        # The next script reads these ids as part of its target.
-        ids = checkpointed(ids.select(ID))
+        # The next script reads these ids as part of its target. The new name gives a
+        # new attribute: what Spark infers about the old one does not outlast the cut.
+        ids = checkpointed(ids.select(F.col(ID).alias("_found"))).select(F.col("_found").alias(ID))
         held = held.select(ID).unionByName(ids)
         part = ids.withColumn("step", F.lit(step).cast("short"))
         labelled = part if labelled is None else labelled.unionByName(part)
