@@ -87,16 +87,17 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _labelled_sample(documents: DataFrame, labels: DataFrame, label: str, per_class: int) -> list:
-    """Up to so many learning rows per class, with short enough texts, by a hash of the id."""
+    """Up to so many learning rows per class by a hash of the id, less those with long texts."""
     known = labels.where(F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(label).alias("y"))
     known = known.where(fold("doc_id", FOLDS) != HELD_OUT_FOLD)
-    texts = documents.select("doc_id", "text").where(F.octet_length("text") <= SAMPLE_BYTES)
-    rows = texts.join(known, "doc_id").withColumn("place", F.xxhash64("doc_id"))
-    sample = []
-    for value in (0, 1):
-        one = rows.where(F.col("y") == value).orderBy("place", "doc_id", "text").limit(per_class)
-        sample += [(r["text"], value) for r in one.select("text").collect()]
-    return sample
+    known = known.withColumn("place", F.xxhash64("doc_id"))
+    ids = [known.where(F.col("y") == y).orderBy("place", "doc_id").limit(per_class) for y in (0, 1)]
+    # The ids of the sample are at most 2 * per_class, so no text is shuffled.
+    wanted = F.broadcast(ids[0].unionByName(ids[1]))
+    rows = documents.select("doc_id", "text").join(wanted, "doc_id")
+    rows = rows.where(F.octet_length("text") <= SAMPLE_BYTES).select("place", "doc_id", "text", "y")
+    found = rows.dropDuplicates(["doc_id"]).orderBy("place", "doc_id").collect()
+    return [(r["text"], r["y"]) for r in found]
 
 
 def fit_quality(documents: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> tuple:
