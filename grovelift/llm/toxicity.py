@@ -245,7 +245,7 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, per_class: int) ->
     ids = [known.where(F.col("y") == y).orderBy("place", "doc_id").limit(per_class) for y in (0, 1)]
     # The ids of the sample are at most 2 * per_class.
     wanted = F.broadcast(ids[0].unionByName(ids[1]))
-    rows = documents.select("doc_id", "text").join(wanted, "doc_id")
+    rows = documents.select("doc_id", "text").join(wanted, "doc_id").dropDuplicates(["doc_id"])
     part = F.pmod("place", F.lit(CALIBRATION_SHARE))
     return checkpointed(rows.select("doc_id", "text", "y", part.alias("part")))
 
