@@ -90,7 +90,7 @@ def canonical_lines(text: Column) -> Column:
     for spelling, form in SPELLINGS:
         plain = F.replace(plain, F.lit(spelling), F.lit(form))
     lines = F.split(F.regexp_replace(plain, _OTHER, " "), "\n")
-    lines = F.transform(lines, F.trim)
+    lines = F.transform(lines, lambda x: F.trim(x))
     return F.filter(lines, lambda x: (x != "") & ~x.rlike(COPYRIGHT_LINE))
 
 

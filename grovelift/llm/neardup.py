@@ -7,13 +7,16 @@
    enough to list the rarest values, as many as would have to be missed for the
    overlap to fall below that. Values that very many unlike documents share are
    the last in that order and are hardly ever listed.
-3. Within an inverted list the most central member, a pivot, is paired with all
+3. In each inverted list the most central member, a pivot, is paired with all
    others. Pairs are filtered by set size and by the similarity that the
    sketch of the union estimates, and then confirmed on the full sets.
-4. Members of a list that are in one component by now need no pair. If few
-   pairs between components are left in the lists, all of them are tested; else
-   there are rounds with twice as many pivots each. So a list of n near copies
-   takes about n pairs, and still no link between components is left out.
+4. Each node has a home, the pivot it met most often. Two similar nodes of one
+   home p share a value outside p, or else all they share lies in p. The
+   first kind meets in lists of the values that p lacks, rarest first; for the
+   second the parts of both that lie in p must be large for their sizes, which
+   few pairs not yet connected satisfy. Similar nodes of different homes meet in
+   the lists of step 2. So n near copies of a text, similar enough to it or not,
+   take about n pairs, and still no link between components is left out.
 """
 
 from __future__ import annotations
@@ -34,8 +37,6 @@ WORDS = 5
 PERCENT = 80
 SKETCH = 64
 MISS = 1e-7
-# Pairs left in the lists, per list entry, that are tested without more pivots.
-LEFT_PER_ENTRY = 32
 # Ids of this number at most are broadcast (8 bytes each) to spare a shuffle of texts.
 BROADCAST_IDS = 1_000_000
 
@@ -117,99 +118,149 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(shared * 100 >= union * percent).select("a", "b").distinct()
 
 
-def _lists(sketches: DataFrame, k: int, least: int) -> DataFrame:
-    """Inverted lists (value, node, n, central) over the rarest values of each sketch."""
-    entries = sketches.select("node", "n", F.size("sketch").alias("size"), F.explode("sketch").alias("value"))
+def _rarest(entries: DataFrame) -> DataFrame:
+    """Inverted lists of the rarest values of each node.
+
+    `entries` has a row per value with the node's number of values (`size`) and
+    how many of them a partner must share (`need`). Two nodes that do share so
+    many have one among their `size - need + 1` rarest in common. In the lists,
+    `rest` is how many values of the node do not come before this one: if it is
+    the first one that two nodes share, they share no more than that.
+    """
     held = entries.groupBy("value").agg(F.count(F.lit(1)).alias("held")).where(F.col("held") > 1)
     shared = entries.join(held, "value")
     own = Window.partitionBy("node")
-    need = F.greatest(F.lit(1), F.floor(F.col("size") * least / k))
     # Values of the node alone come first in the order; they have no list.
     alone = F.col("size") - F.count(F.lit(1)).over(own)
-    return (
-        shared.withColumn("room", F.col("size") - need + 1 - alone)
+    lists = (
+        shared.withColumn("room", F.col("size") - F.col("need") + 1 - alone)
         .withColumn("central", F.sum("held").over(own))
         .withColumn("place", F.row_number().over(own.orderBy("held", "value")))
+        .withColumn("rest", F.col("size") - alone - F.col("place") + 1)
         .where(F.col("place") <= F.col("room"))
-        .select("value", "node", "n", "central")
+        .drop("size", "held", "room", "place")
     )
+    length = lists.groupBy("value").agg(F.count(F.lit(1)).alias("length"))
+    return checkpointed(lists.join(length.where(F.col("length") > 1), "value").drop("length"))
 
 
-def _pivots(lists: DataFrame, number: int) -> DataFrame:
-    """The most central members of each list; long lists are cut by a salt first."""
-    best = F.max(F.struct("central", "node", "n")).alias("best")
-    if number == 1:
-        return lists.groupBy("value").agg(best).select("value", "best.*")
-    order = [F.desc("central"), F.desc("node")]
-    salted = lists.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(64)))
-    for keys in (["value", "salt"], ["value"]):
-        place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-        salted = salted.withColumn("place", place).where(F.col("place") <= number)
-    return salted.select("value", "central", "node", "n")
-
+def _cross_pairs(lists: DataFrame, nodes: DataFrame, kind: str, percent: int, need) -> DataFrame:
+    """Pairs of a list that differ in `kind` and are in different components.
 
-def _star_pairs(lists: DataFrame, pivots: DataFrame, percent: int) -> DataFrame:
-    hubs = pivots.select("value", F.col("node").alias("y"), F.col("n").alias("m"))
-    paired = lists.select("value", F.col("node").alias("x"), "n").join(hubs, "value")
-    return _ordered(paired.where((F.col("x") != F.col("y")) & _sizes_fit(percent)))
-
-
-def _cross_pairs(open_lists: DataFrame, minority: DataFrame, percent: int) -> DataFrame:
-    few = minority.select("value", F.col("node").alias("y"), F.col("n").alias("m"), F.col("part").alias("other"))
-    paired = open_lists.select("value", F.col("node").alias("x"), "n", "part").join(few, "value")
-    return _ordered(paired.where((F.col("part") != F.col("other")) & _sizes_fit(percent)))
+    Only members outside the most frequent kind of their list are paired with
+    its members, so a list of one kind gives nothing. `need` tells how many
+    values members x and y must share; pairs that cannot, if this list is the
+    first that has both, are left out.
+    """
+    members = lists.join(nodes.select("node", "part", F.col(kind).alias("kind")), "node")
+    counts = members.groupBy("value", "kind").agg(F.count(F.lit(1)).alias("c"))
+    tops = counts.groupBy("value").agg(
+        F.max(F.struct("c", "kind")).alias("top"), F.count(F.lit(1)).alias("kinds")
+    )
+    members = members.join(tops.where(F.col("kinds") > 1), "value")
+    few = members.where(F.col("kind") != F.col("top.kind"))
+    few = few.select("value", F.struct(*[c for c in few.columns if c != "value"]).alias("b"))
+    paired = members.alias("a").join(few, "value")
+    differ = (F.col("a.part") != F.col("b.part")) & (F.col("a.kind") != F.col("b.kind"))
+    enough = F.least("a.rest", "b.rest") >= need
+    paired = paired.where(differ & enough & _sizes_fit(percent, "a.n", "b.n"))
+    return _ordered(paired.select(F.col("a.node").alias("x"), F.col("b.node").alias("y")))
+
+
+def _size_band(size):
+    return F.floor(F.log(size) / F.log(F.lit(1.02))).cast("int")
+
+
+def _inside_pairs(relative: DataFrame, percent: int) -> DataFrame:
+    """Unconnected pairs of one home whose parts inside it are large enough for both."""
+    # Shared shingles must be at least percent / (100 + percent) of both sizes together.
+    reach = F.floor(F.col("inside") * (100 + percent) / percent) - F.col("n")
+    able = relative.withColumn("reach", reach).where(F.col("reach") * 100 >= F.col("n") * percent)
+    # The larger of a pair asks for sizes that it can reach, at most its own.
+    bands = F.sequence(
+        _size_band(F.greatest(F.lit(1), F.floor(F.col("n") * percent / 100))),
+        _size_band(F.least("n", "reach")),
+    )
+    asking = able.select("home", "part", F.col("node").alias("x"), "n", "reach", F.explode(bands).alias("band"))
+    asked = able.select(
+        "home",
+        F.col("part").alias("other"),
+        F.col("node").alias("y"),
+        F.col("n").alias("m"),
+        F.col("reach").alias("other_reach"),
+        _size_band(F.col("n")).alias("band"),
+    )
+    fit = (F.col("m") <= F.col("reach")) & (F.col("n") <= F.col("other_reach"))
+    paired = asking.join(asked, ["home", "band"])
+    return _ordered(paired.where((F.col("part") != F.col("other")) & fit & _sizes_fit(percent)))
 
 
 def linked_nodes(sketches: DataFrame, sets_of, percent: int, k: int) -> DataFrame | None:
     """(node, component) of every node linked with another; None if no list has two."""
     least = least_overlap(k, percent)
-    lists = _lists(sketches, k, least)
-    length = lists.groupBy("value").agg(F.count(F.lit(1)).alias("length")).where(F.col("length") > 1)
-    lists = checkpointed(lists.join(length, "value").drop("length"))
+    size = F.size("sketch")
+    need = F.greatest(F.lit(1), F.floor(size * least / k))
+    lists = _rarest(
+        sketches.select("node", "n", size.alias("size"), need.alias("need"), F.explode("sketch").alias("value"))
+    )
     active = sketches.join(lists.select("node").distinct(), "node", "left_semi")
-    active = checkpointed(active.select("node", "digest", "doc_id", "sketch"))
+    active = checkpointed(active.select("node", "digest", "doc_id", "n", "sketch"))
     if active.isEmpty():
         return None
     sets = checkpointed(sets_of(active))
 
-    number, links, tested, parts = 1, None, None, None
-    open_lists = lists.withColumn("part", F.col("node"))
-    final = False
-    while True:
-        if final:
-            pairs = _cross_pairs(open_lists, minority, percent)
-        else:
-            pairs = _star_pairs(open_lists, _pivots(open_lists, number), percent)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = checkpointed(pairs)
-        found = _confirmed(_estimated(pairs, active, k, least), sets, percent)
-        links = checkpointed(found if links is None else links.unionByName(found))
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        parts = components(links)
-        if final:
-            return parts
-        # Lists whose members are not all in one component.
-        labelled = lists.join(parts, "node", "left").select(
-            "value", "node", "n", "central", F.coalesce("component", "node").alias("part")
-        )
-        counts = labelled.groupBy("value", "part").agg(F.count(F.lit(1)).alias("c"))
-        mixed = counts.groupBy("value").agg(
-            F.max(F.struct("c", "part")).alias("top"),
-            F.sum("c").alias("all"),
-            F.sum(F.col("c") * F.col("c")).alias("square"),
-        )
-        mixed = mixed.where(F.col("all") * F.col("all") > F.col("square"))
-        open_lists = checkpointed(labelled.join(mixed, "value"))
-        left, entries = open_lists.agg(
-            F.sum((F.col("all") * F.col("all") - F.col("square")) / (2 * F.col("all"))),
-            F.count(F.lit(1)),
-        ).first()
-        if not entries:
-            return parts
-        minority = open_lists.where(F.col("part") != F.col("top.part"))
-        final = left <= LEFT_PER_ENTRY * entries
-        number *= 2
+    pivots = lists.groupBy("value").agg(F.max(F.struct("central", "node", "n")).alias("best"))
+    hubs = pivots.select("value", F.col("best.node").alias("y"), F.col("best.n").alias("m"))
+    met = lists.select("value", F.col("node").alias("x"), "n").join(hubs, "value")
+    # How often each node meets each pivot.
+    met = checkpointed(met.groupBy("x", "n", "y", "m").agg(F.count(F.lit(1)).alias("times")))
+    tested = checkpointed(_ordered(met.where((F.col("x") != F.col("y")) & _sizes_fit(percent))))
+    links = checkpointed(_confirmed(_estimated(tested, active, k, least), sets, percent))
+
+    homes = met.groupBy(F.col("x").alias("node")).agg(F.max(F.struct("times", "y")).alias("most"))
+    homes = homes.select("node", F.col("most.y").alias("home"))
+    nodes = checkpointed(
+        active.select("node", "n")
+        .join(homes, "node")
+        .join(components(links), "node", "left")
+        .select("node", "n", "home", F.coalesce("component", "node").alias("part"))
+    )
+    apart = _cross_pairs(lists, nodes, "home", percent, F.least("a.need", "b.need"))
+
+    # Of each node what its home lacks, unless all of the home is one component.
+    open_homes = nodes.groupBy("home").agg(F.min("part").alias("p"), F.max("part").alias("q"))
+    open_homes = open_homes.where(F.col("p") != F.col("q")).select("home")
+    relative = (
+        nodes.where(F.col("node") != F.col("home"))
+        .join(open_homes, "home")
+        .join(sets, "node")
+        .join(sets.select(F.col("node").alias("home"), F.col("items").alias("base")), "home")
+        .select("node", "n", "home", "part", F.array_except("items", "base").alias("extra"))
+        .withColumn("inside", F.col("n") - F.size("extra"))
+    )
+    relative = checkpointed(relative)
+    size = F.size("extra")
+    need = F.greatest(F.lit(1), F.ceil(F.col("n") * percent / 100) - F.col("inside"))
+    entries = relative.where(need <= size).select(
+        "node",
+        "n",
+        "home",
+        "inside",
+        size.alias("size"),
+        need.alias("need"),
+        F.explode("extra").alias("value"),
+    )
+    outside = _rarest(entries.withColumn("value", F.xxhash64("home", "value")).drop("home"))
+    # What two sets of these sizes must share, less what they can share within the home.
+    shared = F.ceil((F.col("a.n") + F.col("b.n")) * percent / (100 + percent))
+    missing = shared - F.least("a.inside", "b.inside")
+    outside = _cross_pairs(outside, nodes, "part", percent, missing)
+    inside = _inside_pairs(relative.drop("extra"), percent)
+
+    more = apart.unionByName(outside).unionByName(inside).distinct()
+    more = checkpointed(more.join(tested, ["a", "b"], "left_anti"))
+    found = _confirmed(_estimated(more, active, k, least), sets, percent)
+    return components(checkpointed(links.unionByName(found)))
 
 
 def near_duplicates(
