@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from grovelift.llm.common import checkpointed, fold, with_columns, with_text
 
-MODEL_WORDS = 100_000
+MODEL_WORDS = 50_000
 MODEL_NGRAMS = 50_000
 NGRAM = 4
 LANGUAGES = 200
@@ -90,12 +90,26 @@ def _count_ngrams(longest: int):
 
 
 def _most_frequent(counts: DataFrame, number: int) -> dict[str, dict[str, int]]:
-    """The terms with the highest totals, each with its count per language."""
-    per_term = counts.groupBy("term").agg(
-        F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by")
-    )
-    rows = per_term.orderBy(F.desc("total"), "term").limit(number).collect()
-    return {r["term"]: r["by"] for r in rows}
+    """At most so many terms with the highest totals, each with its count per language.
+
+    A histogram over steps of about one percent gives the least total that is
+    kept, so no more than these terms ever reach the driver.
+    """
+    step = F.floor(F.log2("total") * 64)
+    totals = counts.groupBy("term").agg(F.sum("n").alias("total"))
+    steps = totals.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("terms")).collect()
+    held, least = 0, None
+    for r in sorted(steps, reverse=True):
+        held += r["terms"]
+        if held > number:
+            break
+        least = r["step"]
+    if least is None:
+        return {}
+    by = F.map_from_entries(F.collect_list(F.struct("lang", "n")))
+    per_term = counts.groupBy("term").agg(F.sum("n").alias("total"), by.alias("by"))
+    rows = per_term.where(step >= least).select("term", "by").collect()
+    return {r["term"]: r["by"] for r in sorted(rows, key=lambda r: r["term"])}
 
 
 def _scores(terms: dict[str, dict[str, int]], langs: list[str], totals: list[int]) -> np.ndarray:
@@ -173,8 +187,8 @@ def fit_languages(
 ) -> LanguageModel:
     """Learn from text and lang of all given documents that have both.
 
-    The model holds so many words and n-grams, by total frequency, and the
-    `LANGUAGES` languages with most words. Equal totals are taken in term order.
+    The model holds at most so many words and n-grams, by total frequency, and
+    the `LANGUAGES` languages with most words.
     """
     given = documents.select("text", "lang").where(F.col("text").isNotNull() & F.col("lang").isNotNull())
     schema = "lang string, term string, n long"
