@@ -6,7 +6,9 @@ rates of obfuscation. The lexicons are learnt by log-odds from labelled texts,
 the trees are Spark's own, and their margins are calibrated by an isotonic fit.
 
 Lexicons, trees and calibration are learnt from bounded samples of labelled
-rows; scoring is one pass over the texts.
+rows. Trees and calibration weigh a sampled row by the labelled rows of its class
+that it stands for, so a score means the same at any size. Scoring is one pass
+over the texts.
 """
 
 from __future__ import annotations
@@ -238,20 +240,33 @@ def _with_margin(rows: DataFrame, trees) -> DataFrame:
 
 
 def labelled_sample(documents: DataFrame, labels: DataFrame, per_class: int) -> DataFrame:
-    """(doc_id, text, y, part) of up to so many learning rows per class, by a hash of the id."""
+    """(doc_id, text, y, part, weight) of up to so many learning rows per class, by a hash of the id.
+
+    The weight is the number of labelled learning rows of the class over those taken.
+    """
     known = labels.where(F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("y"))
     known = known.where(fold("doc_id", FOLDS) != HELD_OUT_FOLD)
     known = known.withColumn("place", F.xxhash64("doc_id"))
-    ids = [known.where(F.col("y") == y).orderBy("place", "doc_id").limit(per_class) for y in (0, 1)]
+    sizes = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    ids = [
+        known.where(F.col("y") == y)
+        .orderBy("place", "doc_id")
+        .limit(per_class)
+        .withColumn("weight", F.lit(max(1.0, sizes.get(y, 0) / per_class)))
+        for y in (0, 1)
+    ]
     # The ids of the sample are at most 2 * per_class.
     wanted = F.broadcast(ids[0].unionByName(ids[1]))
     rows = documents.select("doc_id", "text").join(wanted, "doc_id").dropDuplicates(["doc_id"])
     part = F.pmod("place", F.lit(CALIBRATION_SHARE))
-    return checkpointed(rows.select("doc_id", "text", "y", part.alias("part")))
+    return checkpointed(rows.select("doc_id", "text", "y", part.alias("part"), "weight"))
 
 
 def fit_toxicity(documents: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> ToxicityModel:
-    """Learn from at most `per_class` labelled texts of each class, on the learning folds."""
+    """Learn from at most `per_class` labelled texts of each class, on the learning folds.
+
+    The classes count by their shares among all labelled learning rows.
+    """
     sample = labelled_sample(documents, labels, per_class)
     classes = {r[0] for r in sample.select("y").distinct().collect()}
     learn, check = sample.where("part > 0"), sample.where("part = 0")
@@ -261,16 +276,22 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, per_class: int = SAMPL
     # Lexicons are learnt on other texts than the trees, which else would trust them too far.
     split = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2))
     lexicons = learn_lexicons(sample.where("part > 0").where(split == 0))
-    rows = checkpointed(featured(sample, lexicons, ["y", "part"]))
+    rows = checkpointed(featured(sample, lexicons, ["y", "part", "weight"]))
     assembled = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(
         rows.where("row.part > 0").withColumn("label", F.col("row.y").cast("double"))
     )
-    weights = assembled.select("features", "label")
-    trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7, cacheNodeIds=False)
+    weights = assembled.select("features", "label", F.col("row.weight").alias("weight"))
+    trees = GBTClassifier(
+        maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7, cacheNodeIds=False, weightCol="weight"
+    )
     trees = trees.fit(weights)
     margins = _with_margin(rows.where("row.part = 0"), trees)
-    points = margins.select("margin", F.col("row.y").cast("double").alias("label"))
-    isotonic = IsotonicRegression(featuresCol="margin", labelCol="label", predictionCol="calibrated")
+    points = margins.select(
+        "margin", F.col("row.y").cast("double").alias("label"), F.col("row.weight").alias("weight")
+    )
+    isotonic = IsotonicRegression(
+        featuresCol="margin", labelCol="label", predictionCol="calibrated", weightCol="weight"
+    )
     return ToxicityModel(lexicons, trees, isotonic.fit(points))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from grovelift.llm.langid import LanguageModel, fit_languages, identify_languages, ngrams_of
 from grovelift.llm.quality import Compressors, classify_quality, isotonic, pieces_of
-from grovelift.llm.toxicity import FEATURES, classify_toxicity, features_of, plain, tokens_of
+from grovelift.llm.toxicity import FEATURES, classify_toxicity, features_of, fit_toxicity, plain, tokens_of
 from tests.llm.conftest import auc, fold_of
 
 ODD = [(900, None), (901, ""), (902, "12 34 !?"), (903, "x" * 200_000), (904, "ü"), (None, "the and")]
@@ -93,6 +93,15 @@ def test_toxicity_of_odd_texts(larger, documents):
     assert len([r for r in found if r.doc_id == 900]) >= 2
 
 
+def test_toxicity_keeps_the_true_shares_when_the_sample_is_capped(spark, documents):
+    """Texts that cannot be told apart score with the share of toxic ones, also beyond the cap."""
+    rows = documents([(i, "the same words in every text") for i in range(3000)])
+    labels = spark.createDataFrame([(i, 1, int(i % 10 == 0)) for i in range(3000)], "doc_id long, quality int, toxic int")
+    model = fit_toxicity(rows, labels, per_class=200)
+    (score,) = {r.score for r in model.score(rows.limit(5), ["doc_id"]).collect()}
+    assert 0.05 < score < 0.16
+
+
 def test_features():
     words, stems = {"fool": 3.0}, {"dumm": 2.0}
 
