@@ -9,7 +9,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from grovelift.llm.langid import LanguageModel, fit_languages, identify_languages, ngrams_of
-from grovelift.llm.quality import Compressors, classify_quality, isotonic, pieces_of
+from grovelift.llm.quality import (
+    SAMPLE_BYTES,
+    Compressors,
+    classify_quality,
+    fit_quality,
+    isotonic,
+    pieces_of,
+    score_quality,
+)
 from grovelift.llm.toxicity import FEATURES, classify_toxicity, features_of, fit_toxicity, plain, tokens_of
 from tests.llm.conftest import auc, fold_of
 
@@ -144,6 +152,23 @@ def test_quality_of_odd_texts(larger, documents):
     assert scores[900] == scores[901]
 
 
+def test_quality_keeps_the_true_shares_when_the_sample_is_capped(spark, documents):
+    """Texts that cannot be told apart score with the share of good ones, also beyond the cap."""
+    rows = documents([(i, "the same words in every text") for i in range(3000)])
+    labels = spark.createDataFrame([(i, int(i % 10 > 0), 0) for i in range(3000)], "doc_id long, quality int, toxic int")
+    model = fit_quality(rows, labels, per_class=90)
+    (score,) = {r.score for r in score_quality(rows.limit(5), model).collect()}
+    assert 0.8 < score < 0.96
+
+
+def test_quality_is_calibrated_on_long_texts_too(spark, documents):
+    long = "some words over and over " * (SAMPLE_BYTES // 20)
+    rows = documents([(i, long) for i in range(60)])
+    labels = spark.createDataFrame([(i, int(i % 4 > 0), 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    _, _, points, chances = fit_quality(rows, labels)
+    assert 0.6 < np.interp(0.0, points, chances) < 0.9
+
+
 def test_pieces_hold_the_whole_text():
     text = "äöü" * 5000
     assert b"".join(pieces_of(text)).decode() == text
