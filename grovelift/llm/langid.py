@@ -7,8 +7,10 @@ any is known, down to single characters. A text scores with the mean over its
 words.
 
 Word and n-gram counts cover all learning documents: partial counts are made
-per task and added up by a grouped sum. The model keeps the most frequent
-words and n-grams, a stated number of each, so its size is bounded.
+per task and added up by a grouped sum. Each language has the same share of the
+words and n-grams that the model keeps, its most frequent ones, and what some
+languages leave of theirs goes to the others. All single characters are kept, so
+the words of any learnt script score.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,13 +31,13 @@ from grovelift.llm.common import checkpointed, fold, with_columns, with_text
 MODEL_WORDS = 50_000
 MODEL_NGRAMS = 50_000
 NGRAM = 4
-LANGUAGES = 200
 PENALTY = -7.0
 UNDETERMINED = "und"
 HELD_OUT_FOLD, FOLDS = 1, 3
 # Distinct (language, word) pairs that a task holds before it passes counts on.
 _HELD_COUNTS = 400_000
 _CACHED_WORDS = 200_000
+_BUCKETS = 64
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -89,26 +91,60 @@ def _count_ngrams(longest: int):
     return run
 
 
+def _share(sizes: list[int], number: int) -> int:
+    """The greatest share for which no more than `number` terms are taken, 1 at least."""
+    left, share = number, number
+    for i, size in enumerate(sorted(sizes)):
+        share = left // (len(sizes) - i)
+        if size > share:
+            break
+        left -= size
+    return max(1, share)
+
+
 def _most_frequent(counts: DataFrame, number: int) -> dict[str, dict[str, int]]:
-    """At most so many terms with the highest totals, each with its count per language.
+    """The most frequent terms of each language, each with its count in all languages.
 
-    A histogram over steps of about one percent gives the least total that is
-    kept, so no more than these terms ever reach the driver.
+    A histogram per language over steps of about one percent gives the step at
+    which its share ends. Terms above it are kept, and within it those with the
+    highest counts, then the first in order.
     """
-    step = F.floor(F.log2("total") * 64)
-    totals = counts.groupBy("term").agg(F.sum("n").alias("total"))
-    steps = totals.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("terms")).collect()
-    held, least = 0, None
-    for r in sorted(steps, reverse=True):
-        held += r["terms"]
-        if held > number:
-            break
-        least = r["step"]
-    if least is None:
+    spark = counts.sparkSession
+    stepped = counts.withColumn("step", F.floor(F.log2("n") * 64).cast("int"))
+    steps = stepped.groupBy("lang", "step").agg(F.count(F.lit(1)).alias("terms")).collect()
+    by_lang: dict[str, list[tuple[int, int]]] = defaultdict(list)
+    for r in steps:
+        by_lang[r["lang"]].append((r["step"], r["terms"]))
+    if not by_lang:
         return {}
+    share = _share([sum(n for _, n in held) for held in by_lang.values()], number)
+    ends = []  # of each language the last step and how many of its terms are taken
+    for lang, held in by_lang.items():
+        room = share
+        for last, n in sorted(held, reverse=True):
+            taken = min(n, room)
+            room -= taken
+            if not room:
+                break
+        ends.append((lang, last, taken))
+    # One row per language.
+    ends = F.broadcast(spark.createDataFrame(ends, "lang string, last int, taken int"))
+    stepped = stepped.join(ends, "lang").where("step >= last")
+    # The first of each bucket, then of the buckets, so that no task gets a whole step.
+    order = [F.desc("n"), F.col("term")]
+    bucket = F.pmod(F.xxhash64("term"), F.lit(_BUCKETS))
+    tied = stepped.where("step = last").withColumn("bucket", bucket)
+    for keys in (["lang", "bucket"], ["lang"]):
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        tied = tied.withColumn("place", place).where("place <= taken")
+    chosen = stepped.where("step > last").select("term").unionByName(tied.select("term"))
+    # At most `number` terms, or one per language.
+    return _all_terms(counts.join(F.broadcast(chosen.distinct()), "term", "left_semi"))
+
+
+def _all_terms(counts: DataFrame) -> dict[str, dict[str, int]]:
     by = F.map_from_entries(F.collect_list(F.struct("lang", "n")))
-    per_term = counts.groupBy("term").agg(F.sum("n").alias("total"), by.alias("by"))
-    rows = per_term.where(step >= least).select("term", "by").collect()
+    rows = counts.groupBy("term").agg(by.alias("by")).collect()
     return {r["term"]: r["by"] for r in sorted(rows, key=lambda r: r["term"])}
 
 
@@ -187,22 +223,23 @@ def fit_languages(
 ) -> LanguageModel:
     """Learn from text and lang of all given documents that have both.
 
-    The model holds at most so many words and n-grams, by total frequency, and
-    the `LANGUAGES` languages with most words.
+    The model holds at most so many words and n-grams, an equal share per
+    language, besides all single characters. All languages are held.
     """
     given = documents.select("text", "lang").where(F.col("text").isNotNull() & F.col("lang").isNotNull())
     schema = "lang string, term string, n long"
     summed = given.mapInArrow(_count_words, schema).groupBy("lang", "term").agg(F.sum("n").alias("n"))
     words = checkpointed(summed)
-    sizes = words.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang")
-    sizes = {r["lang"]: r["n"] for r in sizes.limit(LANGUAGES).collect()}
+    sizes = words.groupBy("lang").agg(F.sum("n").alias("n"))
+    sizes = {r["lang"]: r["n"] for r in sizes.collect()}
     langs = sorted(sizes)
     grams = words.mapInArrow(_count_ngrams(longest), schema)
     grams = checkpointed(grams.groupBy("lang", "term").agg(F.sum("n").alias("n")))
     lengths = grams.groupBy("lang", F.char_length("term").alias("length")).agg(F.sum("n").alias("n"))
     gram_sizes = {(r["lang"], r["length"]): r["n"] for r in lengths.collect()}
     top_words = _most_frequent(words, model_words)
-    top_grams = _most_frequent(grams, model_ngrams)
+    single = F.char_length("term") == 1
+    top_grams = _all_terms(grams.where(single)) | _most_frequent(grams.where(~single), model_ngrams)
     word_scores = _scores(top_words, langs, [sizes[x] for x in langs])
     gram_scores = np.zeros((len(top_grams), len(langs)), np.float32)
     kinds = np.array([len(g) for g in top_grams])

@@ -75,6 +75,24 @@ def test_words_first_then_shorter_ngrams(documents):
     assert again.predict("mouse souris ous") == model.predict("mouse souris ous")
 
 
+def test_a_rare_language_keeps_its_share_of_the_model(documents):
+    """One language with nearly all tokens, one in a script of its own, more words than fit."""
+    rows = [(i, " ".join(f"{a}{b}{c}" for a in "abcdef" for b in "ghijkl" for c in "mnop") + " und", "de") for i in range(40)]
+    rows += [(100, "мир дом лес", "ru")]
+    model = fit_languages(documents(rows), model_words=20, model_ngrams=20)
+    assert set("мирдолес") <= set(model.grams) and {"мир", "дом", "лес"} <= set(model.words)
+    assert 10 < len(model.words) <= 20
+    assert model.predict("мир")[0] == "ru" and model.predict("сел")[0] == "ru"
+    assert model.predict("und")[0] == "de"
+
+
+def test_ties_at_the_end_of_a_share_are_filled(documents):
+    """Of words that all occur once as many are taken as fit."""
+    rows = [(1, " ".join(a + b for a in "abcdefgh" for b in "ijklmnop"), "en")]
+    model = fit_languages(documents(rows), model_words=10)
+    assert sorted(model.words) == ["ai", "aj", "ak", "al", "am", "an", "ao", "ap", "bi", "bj"]
+
+
 def test_toxicity_held_out(larger):
     found = classify_toxicity(larger("documents"), larger("labels"))
     found = found.join(larger("labels"), "doc_id").toPandas()
