@@ -37,7 +37,7 @@ from grovelift.schemas import (
 
 
 def _absent(rows: DataFrame, target: DataFrame) -> DataFrame:
-    return rows.join(target.select(ID).distinct(), ID, "left_anti")
+    return rows.join(target.select(ID), ID, "left_anti")
 
 
 def roots(

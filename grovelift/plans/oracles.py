@@ -45,13 +45,13 @@ _ITEM = f"'L' || l_orderkey || '-' || {_TAIL}"
 _FOLDER = "'/' || l_orderkey || '/'"
 
 FOREST = f"""
-files AS (
+files AS MATERIALIZED (
   {_file("'O' || o_orderkey", "o_orderpriority", "o_orderpriority", "'/' || o_orderkey || '/'",
          "CAST(NULL AS VARCHAR)", "o_orderdate", True)} FROM orders
   UNION ALL
   {_file(_ITEM, "l_returnflag", "l_returnflag", f"{_FOLDER} || {_TAIL} || '/'", _FOLDER,
          "l_shipdate", False)} FROM lineitem
-), meta AS (
+), meta AS MATERIALIZED (
   SELECT 'O' || o_orderkey AS file_id, c_nationkey AS unit
   FROM orders JOIN customer ON c_custkey = o_custkey
   UNION ALL
@@ -104,7 +104,7 @@ scoped AS MATERIALIZED (
 ), queue AS MATERIALIZED (
   SELECT p.stream_id FROM parents p LEFT JOIN held_2 h ON h.stream_id = p.stream_id
   WHERE p.stream_id <> '{excluded}' AND h.stream_id IS NULL
-), step_2 AS (SELECT stream_id FROM queue),
+), step_2 AS MATERIALIZED (SELECT stream_id FROM queue),
 held_3 AS MATERIALIZED (
   SELECT stream_id FROM held_2 UNION ALL SELECT stream_id FROM step_2
 ), step_3 AS MATERIALIZED (
@@ -130,7 +130,7 @@ def _chain(select: str) -> str:
 
 
 def _rows(step: str) -> str:
-    return f"SELECT {_COLUMNS} FROM files JOIN {step} USING (stream_id)"
+    return f"SELECT {_COLUMNS} FROM files WHERE stream_id IN (SELECT stream_id FROM {step})"
 
 
 _B = DEFAULT_BATCH_SIZE

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from grovelift import TableConfig, run_all, run_table
-from grovelift.plans.config import load_active
+from grovelift.plans.config import load_active, upsert_config
 from grovelift.plans.load import _Load
 from grovelift.plans.scripts import seed_scripts
 from grovelift.sources.state import StateStore
