@@ -17,6 +17,7 @@ holds a third of all rows is scanned by many tasks.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,12 +38,35 @@ COLUMN_BLOCK = 16
 # with the square of this.
 EPSILON = 2.5
 _FIRST_ROWS = 64
+# Rows whose products with all centroids are held at once.
+_STRIP = 256
+_FOUND = "query_id long, vec_id long, score double"
+# Further than the rounding of a cosine of unit vectors.
+_ROUNDING = 1e-9
 
 
 def unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def _strips(x: np.ndarray) -> Iterator[slice]:
+    return (slice(i, i + _STRIP) for i in range(0, len(x), _STRIP))
+
+
+def _nearest(x: np.ndarray, centroids: np.ndarray) -> np.ndarray:
+    """The list of each vector; strip by strip, so that no matrix grows with both sides."""
+    out = np.zeros(len(x), np.int64)
+    for strip in _strips(x):
+        out[strip] = np.argmax(x[strip] @ centroids.T, axis=1)
+    return out
+
+
+def cosines(rows: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Cosines with `q`, each summed within its own row in one order: equal rows give equal values."""
+    lengths = np.sqrt((rows * rows).sum(axis=1)) * np.sqrt((q * q).sum())
+    return (rows * q).sum(axis=1) / lengths
+
+
 def rotation(dim: int, seed: int = 0) -> np.ndarray:
     """A random rotation of the space, the same in every task."""
     q, r = np.linalg.qr(np.random.default_rng(seed).standard_normal((dim, dim)))
@@ -55,7 +79,7 @@ def fit_centroids(sample: np.ndarray, n_lists: int, rounds: int = 8, seed: int =
     distinct = np.unique(sample, axis=0)
     centroids = distinct[rng.permutation(len(distinct))[:n_lists]]
     for _ in range(rounds):
-        nearest = np.argmax(sample @ centroids.T, axis=1)
+        nearest = _nearest(sample, centroids)
         sums = np.zeros_like(centroids)
         np.add.at(sums, nearest, sample)
         norms = np.linalg.norm(sums, axis=1)
@@ -78,7 +102,7 @@ def tuned_probes(sample: np.ndarray, centroids: np.ndarray, k: int) -> int:
     if k < 1:
         return 1
     best = np.argpartition(-near, k - 1, axis=1)[:, :k]
-    home = np.argmax(sample @ centroids.T, axis=1)[best]
+    home = _nearest(sample, centroids)[best]
     order = np.argsort(-(asked @ centroids.T), axis=1, kind="stable")
     place = np.argsort(order, axis=1)
     needed = np.take_along_axis(place, home, axis=1) + 1
@@ -95,7 +119,7 @@ def _assign(shared):
         centroids = shared.value
         for batch in batches:
             x = unit(_matrix(batch.column("vector"), centroids.shape[1]))
-            nearest = np.argmax(x @ centroids.T, axis=1).astype(np.int32)
+            nearest = _nearest(x, centroids).astype(np.int32)
             columns = [batch.column("vec_id"), batch.column("vector"), pa.array(nearest)]
             yield pa.RecordBatch.from_arrays(columns, ["vec_id", "vector", "list"])
 
@@ -109,24 +133,26 @@ def _probe(shared, probes: int, least_rows: int):
         centroids, sizes = shared.value
         for batch in batches:
             x = unit(_matrix(batch.column("vector"), centroids.shape[1]))
-            order = np.argsort(-(x @ centroids.T), axis=1, kind="stable")
-            held = np.cumsum(sizes[order], axis=1)
-            n = np.maximum(probes, (held < least_rows).sum(axis=1) + 1)
-            taken = np.arange(order.shape[1])[None, :] < n[:, None]
-            row, place = np.nonzero(taken & (sizes[order] > 0))
-            index = pa.array(row)
-            columns = [batch.column("query_id").take(index), batch.column("vector").take(index)]
-            lists = pa.array(order[row, place].astype(np.int32))
-            yield pa.RecordBatch.from_arrays([*columns, lists], ["query_id", "vector", "list"])
+            for strip in _strips(x):
+                order = np.argsort(-(x[strip] @ centroids.T), axis=1, kind="stable")
+                held = np.cumsum(sizes[order], axis=1)
+                n = np.maximum(probes, (held < least_rows).sum(axis=1) + 1)
+                taken = np.arange(order.shape[1])[None, :] < n[:, None]
+                row, place = np.nonzero(taken & (sizes[order] > 0))
+                index = pa.array(row + strip.start)
+                columns = [batch.column(c).take(index) for c in ("query_id", "vector")]
+                lists = pa.array(order[row, place].astype(np.int32))
+                yield pa.RecordBatch.from_arrays([*columns, lists], ["query_id", "vector", "list"])
 
     return run
 
 
 def nearest_in_list(q, x, rotated_q, rotated_x, ids, own: int, k: int):
-    """(rows, cosines) of the k best rows of a list for one query, best first.
+    """Rows of a list among which the k nearest to one query are, but for abandoned ones.
 
     The first rows are measured in full, the others block by block of columns
-    against the k-th distance that those gave.
+    against the k-th distance that those gave. Rows as near as the k-th, within
+    rounding, are all returned: the exact measure and the ids tell them apart.
     """
     others = np.flatnonzero(ids != own)
     first, rest = others[:_FIRST_ROWS], others[_FIRST_ROWS:]
@@ -145,8 +171,9 @@ def nearest_in_list(q, x, rotated_q, rotated_x, ids, own: int, k: int):
             rest, partial = rest[alive], partial[alive]
     rows = np.concatenate([first, rest])
     cosine = np.concatenate([cosine, x[rest] @ q])
-    best = np.lexsort((ids[rows], -cosine))[:k]
-    return rows[best], cosine[best]
+    if len(rows) <= k:
+        return rows
+    return rows[cosine >= np.partition(cosine, len(rows) - k)[len(rows) - k] - _ROUNDING]
 
 
 def _scan(k: int):
@@ -162,10 +189,10 @@ def _scan(k: int):
             x, q = unit(raw), unit(asked)
             rotated_x, rotated_q = x @ turn, q @ turn
             for i, own in enumerate(queries["query_id"].to_numpy()):
-                rows, _ = nearest_in_list(q[i], x, rotated_q[i], rotated_x, ids, own, k)
-                dots = raw[rows] @ asked[i]
-                exact = dots / (np.linalg.norm(raw[rows], axis=1) * np.linalg.norm(asked[i]))
-                out.append((np.full(len(rows), own), ids[rows], exact))
+                rows = nearest_in_list(q[i], x, rotated_q[i], rotated_x, ids, own, k)
+                exact = cosines(raw[rows], asked[i])
+                best = np.lexsort((ids[rows], -exact))[:k]
+                out.append((np.full(len(best), own), ids[rows][best], exact[best]))
         if not out:
             out = [(np.zeros(0), np.zeros(0), np.zeros(0))]
         query_id, vec_id, score = (np.concatenate(c) for c in zip(*out, strict=True))
@@ -191,9 +218,10 @@ def nearest_neighbours(candidates: DataFrame, queries: DataFrame, k: int = K) ->
     columns are ignored. Candidates are all rows but those with the query's own
     id; a repeated row may be found repeatedly, and of queries with one id the
     smallest vector is used. Ties go to the smaller vec_id. Rows without id,
-    and vectors that are null, zero or not finite throughout, take no part, nor
-    do vectors of another length than most have. With fewer than k candidates
-    all are returned, with none there are no rows.
+    and vectors that are null, zero or not finite throughout, take no part.
+    Vectors meet vectors of their own length only; each length has an index of
+    its own. With fewer than k candidates all are returned, with none there are
+    no rows.
     """
     spark = candidates.sparkSession
     length = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
@@ -202,15 +230,25 @@ def nearest_neighbours(candidates: DataFrame, queries: DataFrame, k: int = K) ->
     def taken(rows: DataFrame) -> DataFrame:
         return rows.where(usable).select("vec_id", F.col("vector").cast("array<double>").alias("vector"))
 
-    vectors = taken(candidates)
+    vectors, asked = taken(candidates), taken(queries)
+    asked = asked.groupBy(F.col("vec_id").alias("query_id")).agg(F.min("vector").alias("vector"))
     dims = vectors.groupBy(F.size("vector").alias("dim")).agg(F.count(F.lit(1)).alias("n"))
-    usual = dims.orderBy(F.desc("n"), "dim").first()
-    found = "query_id long, vec_id long, score double"
-    if usual is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    dim, total = usual["dim"], usual["n"]
-    vectors = vectors.where(F.size("vector") == dim)
+    found = [spark.createDataFrame([], _FOUND)]
+    for row in dims.orderBy("dim").collect():  # one row per length
+        same = F.size("vector") == row["dim"]
+        found.append(_found_in_lists(vectors.where(same), asked.where(same), row["n"], k))
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return (
+        reduce(DataFrame.unionByName, found[1:] or found)
+        .withColumn("rank", F.row_number().over(order))
+        .where(F.col("rank") <= k)
+        .select("query_id", "rank", "vec_id", "score")
+    )
+
 
+def _found_in_lists(vectors: DataFrame, asked: DataFrame, total: int, k: int) -> DataFrame:
+    """query_id, vec_id and score of the k best of every chunk probed; vectors of one length."""
+    spark = vectors.sparkSession
     # A sample by a hash of the id, at most SAMPLE vectors.
     sample = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("vector").collect()
     sample = unit(np.array([r[0] for r in sample], dtype=np.float64))
@@ -224,8 +262,6 @@ def nearest_neighbours(candidates: DataFrame, queries: DataFrame, k: int = K) ->
     counts = indexed.groupBy("list").agg(F.count(F.lit(1)).alias("n"))
     for r in counts.collect():  # at most MOST_LISTS rows
         sizes[r["list"]] = r["n"]
-    asked = taken(queries).where(F.size("vector") == dim)
-    asked = asked.groupBy(F.col("vec_id").alias("query_id")).agg(F.min("vector").alias("vector"))
     probes = tuned_probes(sample, centroids, k)
     shared_sizes = spark.sparkContext.broadcast((centroids, sizes))
     schema = "query_id long, vector array<double>, list int"
@@ -246,13 +282,7 @@ def nearest_neighbours(candidates: DataFrame, queries: DataFrame, k: int = K) ->
     keys = ("list", "c", "q")
     left = dealt(probed, "q", "n_q", "c", "n_c").select("query_id", "vector", *keys)
     right = dealt(indexed, "c", "n_c", "q", "n_q").select("vec_id", "vector", *keys)
-    pairs = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_scan(k), found)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (
-        pairs.withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", "score")
-    )
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_scan(k), _FOUND)
 
 
 def embedding_neighbours(embeddings: DataFrame, every: int = 50, k: int = K) -> DataFrame:

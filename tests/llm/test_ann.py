@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from grovelift.llm.ann import (
     embedding_neighbours,
@@ -47,7 +48,8 @@ def test_scan_abandons_and_still_finds_the_nearest():
     assert np.allclose(turn @ turn.T, np.eye(64))
     hits = 0
     for i in range(0, 3000, 100):
-        rows, _ = nearest_in_list(x[i], x, x[i] @ turn, x @ turn, ids, i, 5)
+        rows = nearest_in_list(x[i], x, x[i] @ turn, x @ turn, ids, i, 5)
+        assert len(rows) == 5
         hits += len(set(rows) & set(exact(ids, x, i, x[i], 5)[0]))
     assert hits / 150 >= 0.97
 
@@ -68,6 +70,33 @@ def test_common_vector_and_ties(spark):
     assert all(r.score == pytest.approx(1.0) for r in got)
 
 
+@pytest.mark.parametrize("dim", [64, 100, 128])
+def test_ties_of_many_copies(spark, dim):
+    """Copies have equal scores in every chunk and list, so the smallest ids win."""
+    rng = np.random.default_rng(dim)
+    common = rng.standard_normal(dim).tolist()
+    rows = [(i, common) for i in range(350)]
+    rows += [(1000 + i, rng.standard_normal(dim).tolist()) for i in range(300)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    got = nearest_neighbours(df, df.where("vec_id in (0, 7, 300)")).collect()
+    for asked in (0, 7, 300):
+        own = sorted((r.rank, r.vec_id, r.score) for r in got if r.query_id == asked)
+        assert [i for _, i, _ in own] == [i for i in range(7) if i != asked][:5]
+        assert len({s for *_, s in own}) == 1
+
+
+def test_each_length_is_searched_by_itself(spark):
+    rng = np.random.default_rng(1)
+    rows = [(i, rng.standard_normal(4 if i % 3 else 9).tolist()) for i in range(60)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = nearest_neighbours(df, df.where("vec_id < 4"), 3).collect()
+    for asked in range(4):
+        same = [(i, v) for i, v in rows if len(v) == len(rows[asked][1])]
+        ids, x = np.array([i for i, _ in same]), np.array([v for _, v in same])
+        best, _ = exact(ids, x, asked, np.array(rows[asked][1]), 3)
+        assert [r.vec_id for r in sorted(got) if r.query_id == asked] == best
+
+
 def test_few_and_unusable_rows(spark):
     rows = [
         (1, [1.0, 0.0]),
@@ -83,6 +112,11 @@ def test_few_and_unusable_rows(spark):
     df = spark.createDataFrame(rows, SCHEMA)
     got = sorted(nearest_neighbours(df, df.where("vec_id in (1, 3, 6)"), 5).collect())
     assert [(r.query_id, r.rank, r.vec_id) for r in got] == [(1, 1, 2), (1, 2, 2), (1, 3, 7)]
+    # clashing names of other columns are ignored
+    for name in ("query_id", "list", "c", "q", "n_c", "rank", "score"):
+        df = df.withColumn(name, F.lit("x"))
+    again = nearest_neighbours(df, df.where("vec_id in (1, 3, 6)"), 5).collect()
+    assert sorted(again) == got
 
 
 def test_empty(spark):
