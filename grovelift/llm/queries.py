@@ -119,8 +119,10 @@ ORACLES: dict[str, str] = {
             AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
         ), scored AS (
           SELECT q.vec_id AS query_id, v.vec_id,
-                 list_inner_product(q.e, v.e)::BIGINT AS score
+                 CASE WHEN len(q.e) = 0 THEN 0 ELSE list_inner_product(q.e, v.e) END::BIGINT
+                   AS score
           FROM v AS q JOIN v ON q.vec_id % 20 = 0 AND q.vec_id <> v.vec_id
+                            AND len(q.e) = len(v.e)
         ), ranked AS (
           SELECT *, row_number() OVER (
             PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank

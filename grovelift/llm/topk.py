@@ -34,7 +34,8 @@ _STRIP = 128
 
 def _matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
     lists = column.combine_chunks()
-    return lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
+    flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    return flat.reshape(len(lists), dim)
 
 
 def _columns(dim: int, nodes: int) -> list[slice]:
@@ -129,8 +130,8 @@ def exact_topk(
     Ties go to the smaller vec_id. Candidates are all rows but those with the
     query's own id; a repeated row may be found repeatedly. Of queries with one
     id the smallest vector is used. Vectors meet vectors of their own length
-    only; rows without id or usable vector take no part. Without candidates a
-    query has no rows.
+    only, so empty ones meet empty ones, with score 0; rows without id or usable
+    vector take no part. Without candidates a query has no rows.
     """
     usable = usable_vector("vector") & F.col("vec_id").isNotNull()
     vectors = candidates.where(usable).select("vec_id", "vector", F.size("vector").alias("dim"))

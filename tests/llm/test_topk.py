@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from grovelift.llm.topk import embedding_topk, exact_topk, quantised
 
@@ -48,6 +49,21 @@ def test_unusable_rows_take_no_part(spark):
     assert sorted(tuple(r) for r in got) == [(1, 1, 6, 4), (6, 1, 1, 4)]
 
 
+def test_empty_vectors_meet_each_other(spark):
+    rows = [(1, []), (2, [5]), (3, []), (4, []), (5, [2])]
+    got = exact_topk(frame(spark, rows), frame(spark, rows[:2]), 2).collect()
+    assert sorted(map(tuple, got)) == brute(rows, rows[:2], 2)
+
+
+def test_clashing_names_are_ignored(spark):
+    rows = [(i, [i, -i]) for i in range(9)]
+    df = frame(spark, rows)
+    for name in ("dim", "qb", "cb", "query_id", "rank", "score", "cutoff"):
+        df = df.withColumn(name, F.lit("x"))
+    got = exact_topk(df, df.where("vec_id < 3"), 2).collect()
+    assert sorted(map(tuple, got)) == brute(rows, rows[:3], 2)
+
+
 def test_empty(spark):
     none = frame(spark, [])
     assert exact_topk(none, none).collect() == []
