@@ -35,6 +35,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spelled(*values: Column) -> Column:
+    """One text that tells rows of values apart: `-` for null, else length in bytes, `:`, value."""
+
+    def part(value: Column) -> Column:
+        text = value.cast("string")
+        return F.coalesce(F.concat(F.octet_length(text), F.lit(":"), text), F.lit("-"))
+
+    return F.concat(*map(part, values))
+
+
 def fold(id_column: str | Column, folds: int) -> Column:
     """crc32 of the id as text, modulo the number of folds; null ids are in fold 0."""
     value = F.col(id_column) if isinstance(id_column, str) else id_column
