@@ -8,10 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from grovelift.llm.ann import embedding_neighbours
 from grovelift.llm.common import table
+from grovelift.llm.divergence import oracle_sql as divergence_sql
+from grovelift.llm.divergence import source_divergence
 from grovelift.llm.langid import identify_languages
 from grovelift.llm.licenses import oracle_sql as license_sql
 from grovelift.llm.licenses import scan_licenses
+from grovelift.llm.merkle import audited_manifest
+from grovelift.llm.merkle import oracle_sql as merkle_sql
 from grovelift.llm.neardup import near_duplicates
+from grovelift.llm.outliers import judge_documents
 from grovelift.llm.packing import pack_documents
 from grovelift.llm.quality import classify_quality
 from grovelift.llm.sentencepiece_codec import encoded_digests
@@ -62,6 +67,18 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audited_manifest(table(spark, sf_dir, "documents"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -75,6 +92,9 @@ QUERIES: dict[str, Query] = {
         op8_packing,
         op9_language_id,
         op10_quality,
+        op11_merkle_manifest,
+        op12_source_divergence,
+        op13_quality_rules,
     )
 }
 
@@ -130,4 +150,6 @@ ORACLES: dict[str, str] = {
         )
         SELECT query_id, rank::INT AS rank, vec_id, score FROM ranked WHERE rank <= 20
     """,
+    "op11_merkle_manifest": merkle_sql(),
+    "op12_source_divergence": divergence_sql(),
 }

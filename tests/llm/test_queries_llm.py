@@ -28,7 +28,7 @@ def test_against_sql(spark, sf_dir, name):
 
 def test_registered():
     numbers = {int(name[2:].split("_")[0]) for name in QUERIES}
-    assert numbers == set(range(1, 11)) and len(QUERIES) == 10
+    assert numbers == set(range(1, 14)) and len(QUERIES) == 13
     assert set(QUERIES) | {"pipeline"} <= set(driver.queries())
 
 
