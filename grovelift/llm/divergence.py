@@ -95,52 +95,52 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class PatternTree:
     """Rows of (source, p, z) in source order, merged where they begin alike.
 
-    A row is given by three lists of equal length; `walk` adds up, per pair of
-    sources that a row has both of, the corrections of all rows inserted.
+    `walk` adds up, per pair of sources that a row has both of, the corrections
+    of all rows inserted.
     """
 
     def __init__(self):
-        self.children: list[dict[tuple, int]] = [{}]
-        self.item: list[tuple] = [(None, 0, 0)]
-        self.rows: list[int] = [0]
+        self.places: dict[tuple, int] = {}
+        self.sources: dict[str, int] = {}
+        # Of each node its parent, depth, source, p, z and number of rows; node 0 is the root.
+        self.nodes: list[list[int]] = [[0, 0, 0, 0, 0, 0]]
         self.pairs = 0
 
     def insert(self, path: list[tuple], times: int) -> None:
         node = 0
-        for depth, item in enumerate(path):
-            below = self.children[node].get(item)
-            if below is None:
-                below = len(self.item)
-                self.children[node][item] = below
-                self.children.append({})
-                self.item.append(item)
-                self.rows.append(0)
-                self.pairs += depth
-            self.rows[below] += times
+        for depth, (source, p, z) in enumerate(path, 1):
+            number = self.sources.setdefault(source, len(self.sources))
+            below = self.places.setdefault((node, number, p), len(self.nodes))
+            if below == len(self.nodes):
+                self.nodes.append([node, depth, number, p, z, 0])
+                self.pairs += depth - 1
+            self.nodes[below][-1] += times
             node = below
 
     def walk(self) -> dict[tuple[str, str], int]:
-        """Correction per (earlier source, later source); each node meets each ancestor once."""
-        sums: dict[tuple[str, str], int] = defaultdict(int)
-        names: list[str] = []
-        p, z = np.zeros(64, np.int64), np.zeros(64, np.int64)
-        todo = [(node, 0) for node in self.children[0].values()]
-        while todo:
-            node, depth = todo.pop()
-            source, own_p, own_z = self.item[node]
-            if depth:
-                ps, zs = p[:depth], z[:depth]
-                added = np.abs(ps - own_p) - np.abs(ps - own_z) - np.abs(zs - own_p)
-                added = (added + np.abs(zs - own_z)) * self.rows[node]
-                for other, value in zip(names[:depth], added.tolist(), strict=True):
-                    sums[other, source] += value
-            if self.children[node]:
-                if depth == len(p):
-                    p, z = np.append(p, np.zeros_like(p)), np.append(z, np.zeros_like(z))
-                names[depth:] = [source]
-                p[depth], z[depth] = own_p, own_z
-                todo += [(child, depth + 1) for child in self.children[node].values()]
-        return sums
+        """Correction per (earlier source, later source); each node meets each ancestor once.
+
+        All nodes of one depth climb to their ancestors together.
+        """
+        parent, depth, source, p, z, rows = np.array(self.nodes, np.int64).T
+        sums: dict[int, int] = defaultdict(int)
+        for level in range(2, int(depth.max()) + 1):
+            own = np.flatnonzero(depth == level)
+            up = own
+            for _ in range(level - 1):
+                up = parent[up]
+                added = np.abs(p[up] - p[own]) - np.abs(p[up] - z[own]) - np.abs(z[up] - p[own])
+                added = (added + np.abs(z[up] - z[own])) * rows[own]
+                codes, which = np.unique(source[up] * len(self.sources) + source[own], return_inverse=True)
+                values = np.zeros(len(codes), np.int64)
+                np.add.at(values, which, added)
+                for code, value in zip(codes.tolist(), values.tolist(), strict=True):
+                    sums[code] += value
+        names = list(self.sources)
+        return {
+            (names[code // len(names)], names[code % len(names)]): value
+            for code, value in sums.items()
+        }
 
 
 def _corrections(lang: str, tree: PatternTree) -> pa.RecordBatch:
@@ -294,7 +294,7 @@ def _pair_values(groups: DataFrame, shares: DataFrame) -> DataFrame:
     rows = shares.groupBy("lang", "term").agg(path).where(F.size("path") > 1)
     rows = rows.groupBy("lang", "path").agg(F.count(F.lit(1)).alias("times"))
     # Rows that begin alike go to one tree.
-    rows = rows.repartitionByRange("lang", "path")
+    rows = rows.repartition("lang", F.slice("path", 1, 3))
     schema = "lang string, source string, item string, value long"
     both = rows.mapInArrow(_grow_trees, schema)
     both = checkpointed(both.groupBy("lang", "source", "item").agg(F.sum("value").alias("value")))

@@ -79,7 +79,7 @@ def test_tree_against_all_pairs_of_rows():
         for (s, p, y), (t, q, w) in combinations(row, 2):
             expected[s, t] += times * (abs(p - q) - abs(p - w) - abs(y - q) + abs(y - w))
     assert {k: v for k, v in tree.walk().items() if v} == {k: v for k, v in expected.items() if v}
-    assert len(tree.item) - 1 < sum(len(row) for row, _ in rows)  # paths are shared
+    assert len(tree.nodes) - 1 < sum(len(row) for row, _ in rows)  # paths are shared
 
 
 def test_deep_rows_of_a_tree():
