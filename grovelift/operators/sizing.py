@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
+# Memory of a key in the table of a broadcast, besides its text.
+KEY_BYTES = 48
 # Memory of one 64-bit hash in the table of a broadcast.
 HASH_BYTES = 24
 # Keys of one task's hash table, on average over the partitions.
@@ -25,14 +31,36 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", own))
 
 
+_own_folder: ContextVar[str | None] = ContextVar("own_folder", default=None)
+
+
+@contextmanager
+def own_folder(spark: SparkSession) -> Iterator[None]:
+    """Within it, what is checkpointed goes to a folder that is removed at the end."""
+    ensure_checkpoint_dir(spark)
+    folder = f"{spark.sparkContext.getCheckpointDir()}/work-{uuid.uuid4().hex}"
+    before = _own_folder.set(folder)
+    try:
+        yield
+    finally:
+        _own_folder.reset(before)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Write the rows once to the shared folder and read them from there.
 
     Needed where a second evaluation could give other rows or another order:
     range bounds are sampled, and a lost executor makes Spark evaluate again.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    folder = _own_folder.get()
+    if folder is None:
+        ensure_checkpoint_dir(df.sparkSession)
+        return df.checkpoint()
+    place = f"{folder}/{uuid.uuid4().hex}"
+    df.write.parquet(place)
+    return df.sparkSession.read.schema(df.schema).parquet(place)
 
 
 def checkpointed_with_size(df: DataFrame, column: str) -> tuple[DataFrame, Size]:
@@ -43,7 +71,7 @@ def checkpointed_with_size(df: DataFrame, column: str) -> tuple[DataFrame, Size]
     )
     kept = checkpointed(seen)
     rows = int(size.get["n"])
-    return kept, Size(rows, int(size.get["length"] or 0) + 48 * rows)
+    return kept, Size(rows, int(size.get["length"] or 0) + KEY_BYTES * rows)
 
 
 def broadcast_if_small(df: DataFrame, size: Size, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
@@ -62,7 +90,7 @@ class Size:
 def measured(df: DataFrame, column: str | Column) -> Size:
     """Rows of a narrow frame, and its bytes by the lengths of its one long column."""
     row = df.agg(F.count(F.lit(1)), F.sum(F.octet_length(column))).first()
-    return Size(row[0], int(row[1] or 0) + 48 * row[0])
+    return Size(row[0], int(row[1] or 0) + KEY_BYTES * row[0])
 
 
 def join_by_keys(wide: DataFrame, keys: DataFrame, column: str, size: Size | None) -> DataFrame:

@@ -26,6 +26,7 @@ from grovelift.operators.sizing import (
 )
 from grovelift.schemas import (
     CHILDREN,
+    FILE,
     FILE_COLUMNS,
     ID,
     MISSING_PARENTS,
@@ -97,6 +98,7 @@ def label_rows(
     excluded_id: str | None = None,
     steps: Iterable[int] = STEPS,
     queued: DataFrame | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """(id, step) of every row that the given steps would load, in one pass.
 
@@ -106,13 +108,16 @@ def label_rows(
     by several steps and keeps the lowest one.
 
     With `queued`, step 2 takes the ids in that frame instead of looking for
-    parents again.
+    parents again. If the source names the file of each row, so does the result;
+    of an id in several files `split` is true. With `buckets`, the ids are dealt
+    out as a target that is bucketed by id is, which then stays where it is.
     """
     steps = set(steps)
+    file = [FILE] if FILE in source.columns else []
     look_for_parents = MISSING_PARENTS in steps and queued is None
     parts = []
     if look_for_parents or steps - {MISSING_PARENTS}:
-        rows = source.select(ID, PARENT)
+        rows = source.select(ID, PARENT, *file)
         if ROOTS not in steps:
             rows = rows.where(F.col(PARENT).isNotNull())
         elif not look_for_parents and CHILDREN not in steps:
@@ -121,28 +126,38 @@ def label_rows(
         if look_for_parents:  # read by two branches, so written once
             scoped = checkpointed(scoped)
         own = F.when(F.col(PARENT).isNull(), ROOTS).otherwise(CHILDREN).alias("step")
-        parts.append(scoped.select(ID, own).where(F.col("step").isin(*steps)))
+        parts.append(scoped.select(ID, own, *file).where(F.col("step").isin(*steps)))
     if MISSING_PARENTS in steps:
         if look_for_parents:
-            queued = without_excluded(source.select(ID, PATH), excluded_id)
+            queued = without_excluded(source.select(ID, PATH, *file), excluded_id)
             queued = _parents_of(queued, scoped)
-        parts.append(queued.select(ID, F.lit(MISSING_PARENTS).alias("step")))
+        elif file:
+            queued = queued.withColumn(FILE, F.lit(None).cast("string"))
+        parts.append(queued.select(ID, F.lit(MISSING_PARENTS).alias("step"), *file))
     # The exchange on the id serves this aggregate and the anti join after it.
-    rows = reduce(DataFrame.unionByName, parts).groupBy(ID).agg(
-        F.min("step").cast("short").alias("step")
+    rows = reduce(DataFrame.unionByName, parts)
+    if buckets:
+        rows = rows.repartition(buckets, ID)
+    split = F.min(FILE) < F.max(FILE) if file else None
+    rows = rows.groupBy(ID).agg(
+        F.min("step").cast("short").alias("step"),
+        *[F.max(c).alias(c) for c in file],
+        *([F.coalesce(split, F.lit(False)).alias("split")] if file else []),
     )
     return _absent(rows, target)
 
 
-def fetch_rows(source: DataFrame, keys: DataFrame, size: Size | None = None) -> DataFrame:
+def fetch_rows(
+    source: DataFrame, keys: DataFrame, size: Size | None = None, even_out: bool = True
+) -> DataFrame:
     """The 14 copied columns of the rows named by `keys`, plus the other key columns.
 
     This is the only place that touches the payload. Rows found by few keys
-    (`size` is their measured size) are evened out after the join, as they come
-    from many source files.
+    (`size` is their measured size) are evened out after the join, if they come
+    from many source files; else `even_out` can be left out, and no payload moves.
     """
     extra = [c for c in keys.columns if c != ID]
     rows = join_by_keys(source.select(*FILE_COLUMNS), keys, ID, size)
     rows = rows.select(*FILE_COLUMNS, *extra)
     few = size is not None and size.bytes <= BROADCAST_LIMIT_BYTES
-    return rows.hint("rebalance") if few else rows
+    return rows.hint("rebalance") if few and even_out else rows

@@ -1,10 +1,18 @@
 """The load of one table: roots, then missing parents, then children.
 
-A load first works on narrow columns only: it finds the rows of all open steps,
-numbers them in id order and writes that list to the checkpoint folder. It then
-reads the payload once for the whole list and writes it as one target
-partition, a chunk. Logging the chunk commits it. A chunk that was written but
-not logged does not count as loaded and is replaced when the run is resumed.
+A round of a load first works on narrow columns only: it finds the rows of all
+open steps, numbers them in id order and keeps that list as a state table, with
+the source file of each row. Rows of neighbouring files make a part, which is
+copied from its files alone, with keys of its own that are broadcast; so payload
+is read once and moved by no join. Some parts at a time are written as one
+target partition, a chunk, and marked as copied. When all parts are, the batches
+are logged in id order.
+
+A chunk that was written but not marked does not count as loaded. A resumed run
+goes on with the parts of the kept list that are not marked.
+
+Each chunk is opened and closed by a claim on the target (`sources.claims`), so of
+two runs of one table at most one commits.
 
 Rows that reach the source while a load runs are found by the next run, or by
 the same run with `settle=True`.
@@ -17,15 +25,26 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 from datetime import datetime
 from functools import reduce
-from operator import or_
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from grovelift.functions import canonical_value
-from grovelift.operators.batching import batch_log, batch_of, counted_log, number_rows
+from grovelift.operators.batching import (
+    batch_log,
+    batch_of,
+    counted_log,
+    number_rows,
+    running_total,
+)
 from grovelift.operators.scope import scope_ids
-from grovelift.operators.sizing import checkpointed, measured
+from grovelift.operators.sizing import (
+    BROADCAST_LIMIT_BYTES,
+    KEY_BYTES,
+    Size,
+    checkpointed,
+    own_folder,
+)
 from grovelift.operators.steps import fetch_rows, label_rows
 from grovelift.plans.config import TableConfig, load_active
 from grovelift.plans.scripts import label_by_scripts
@@ -34,11 +53,13 @@ from grovelift.schemas import (
     DEFAULT_EXCLUDED_ID,
     FAILED,
     FAILURE_BATCH,
+    FILE,
     FILE_COLUMNS,
     ID,
     MISSING_PARENTS,
     STEPS,
 )
+from grovelift.sources.claims import CLOSED, OPEN, Claim, TableBusy
 from grovelift.sources.files import (
     TargetTable,
     read_allowed,
@@ -48,6 +69,12 @@ from grovelift.sources.files import (
 from grovelift.sources.state import StateStore
 
 _LOG_ROWS_PER_FILE = 1_000_000
+# Keys of a part, as they are broadcast; one file may hold more.
+PART_BYTES = BROADCAST_LIMIT_BYTES // 2
+# Parts, each with its broadcast, that one job copies.
+CHUNK_PARTS = 8
+# Of fewer wanted rows per source file the copies are gathered into fewer files.
+ROWS_PER_FILE = 10_000
 
 
 @dataclass
@@ -66,6 +93,7 @@ class Options:
     scripted: bool = False
     settle: bool = False
     guid_ids: bool = False
+    take_over: bool = False
     clock: Callable[[], datetime] = datetime.now
 
     def __post_init__(self):
@@ -74,12 +102,24 @@ class Options:
         self.excluded_id = canonical_value(self.excluded_id)
 
 
+@dataclass(frozen=True)
+class _Part:
+    number: int
+    size: Size
+    files: int
+
+
 @dataclass
 class _Work:
-    """Rows to load as (id, step, position), and the number of positions per step."""
+    """The list of a round: rows as (id, step, position, file, part)."""
 
+    round: int
+    version: int
+    """The last claim on the target when the list was made."""
     rows: DataFrame
     drawn: dict[int, int]
+    """Positions per step; of queued ids that have left the source there is no row."""
+    parts: list[_Part]
 
 
 @dataclass
@@ -99,12 +139,14 @@ class _Load:
         self.spark = self.state.spark
         self.run = (self.run_id, self.config.table_name, self.attempt)
         self.target = TargetTable(self.spark, self.config.target)
+        self.claims = self.state.claims(self.config.target)
+        self.opened: Claim | None = None
         self.last_batch = dict.fromkeys(STEPS, 0)
         self.total = dict.fromkeys(STEPS, 0)
 
     def execute(self) -> None:
         open_steps = list(STEPS)
-        self.chunk, self.queue_drawn, _ = self.state.commit_marks(*self.run)
+        self.round, self.queue_drawn, _ = self.state.commit_marks(*self.run)
         for step, row in self.state.resume_rows(*self.run).items():
             self.last_batch[step] = row["batch_number"]
             self.total[step] = row["total_rows_inserted"]
@@ -112,43 +154,153 @@ class _Load:
                 open_steps.remove(step)
 
         steps, settled = set(open_steps), not open_steps
+        if open_steps:
+            self._enter()
         while not settled:
             self.step, self.batch_started_at = open_steps[0], self.options.clock()
-            work = self._find(steps)
+            work = self._kept(self.round + 1) or self._listed(steps, self.round + 1)
             settled = not self.options.settle or not any(work.drawn.values())
-            self._write(work, closing=open_steps if settled else [])
+            self._copy(work)
+            self._log_round(work, closing=open_steps if settled else [])
+            self.state.drop_work(*self.run, upto=self.round)
             # The queue is filled once per run; arrivals are looked for by the others.
             steps.discard(MISSING_PARENTS)
             self.spark.catalog.refreshTable(self.config.source)
 
+    # -- claims on the target
+
+    def _enter(self) -> None:
+        """See that no other run is at the target, and clear what was not committed."""
+        head = self.claims.head()
+        own = head.of(self.run_id, self.attempt)
+        if head.kind == OPEN and not own and not self.options.take_over:
+            raise TableBusy(
+                f"{self.config.target} is being loaded by run {head.run_id!r}; "
+                "if that run has died, resume it or pass take_over=True"
+            )
+        if head.kind == OPEN:
+            # From here on the one that opened it cannot close it.
+            self.version = head.version + 1
+            if not self.claims.make(Claim(self.version, CLOSED, self.run_id, self.attempt)):
+                raise TableBusy(f"{self.config.target} is being loaded by another run")
+            if not own and head.run_id:
+                self.target.drop_chunk(head.run_id, head.attempt, head.chunk)
+        self.version = self.claims.head().version
+        marked = self.state.copied(*self.run).select("chunk").distinct().collect()
+        for chunk in sorted(self.target.chunks(*self.run[::2]) - {r["chunk"] for r in marked}):
+            self.target.drop_chunk(self.run_id, self.attempt, chunk)
+        self.target.complete_ids()
+
+    def _open(self) -> int:
+        """Claim the next chunk; it has the number of the claim."""
+        claim = Claim(self.version + 1, OPEN, self.run_id, self.attempt, self.version + 1)
+        if not self.claims.make(claim):
+            raise TableBusy(f"another run has loaded {self.config.target} meanwhile")
+        self.opened, self.version = claim, claim.version
+        return claim.chunk
+
+    def _close_claim(self) -> None:
+        claim = Claim(self.version + 1, CLOSED, self.run_id, self.attempt, self.opened.chunk)
+        if not self.claims.make(claim):
+            raise TableBusy(f"another run has taken over {self.config.target}")
+        self.opened, self.version = None, claim.version
+
+    def give_up(self) -> None:
+        """After an error: take away what was not committed, and let other runs in."""
+        if self.opened is not None:
+            self.target.drop_chunk(self.run_id, self.attempt, self.opened.chunk)
+            self.claims.make(Claim(self.version + 1, CLOSED, self.run_id, self.attempt))
+
     # -- finding rows, on narrow columns
 
-    def _find(self, steps: set[int]) -> _Work:
-        held = self.target.committed_ids(self.run_id, self.attempt, self.chunk + 1)
+    def _kept(self, round_: int) -> _Work | None:
+        """The list of a round that was begun, so that nothing is looked for again."""
+        found = self.state.round(*self.run, round_)
+        if found is None:
+            return None
+        rows = self.state.work(*self.run, round_)
+        drawn = {s: found[f"drawn_{s}"] for s in STEPS}
+        return _Work(round_, found["version"], rows, drawn, self._parts(rows))
+
+    @staticmethod
+    def _parts(rows: DataFrame) -> list[_Part]:
+        """One row per part; a part has the keys of a broadcast, so there are not many."""
+        found = rows.groupBy("part").agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum(F.octet_length(ID) + KEY_BYTES).alias("bytes"),
+            F.count_distinct(FILE).alias("files"),
+            F.count_if(F.col(FILE).isNull()).alias("loose"),
+        )
+        return [
+            _Part(r["part"], Size(r["n"], r["bytes"]), 0 if r["loose"] else r["files"])
+            for r in found.orderBy("part").collect()
+        ]
+
+    def _listed(self, steps: set[int], round_: int) -> _Work:
+        """Find and number the rows of the steps, and keep the list."""
+        rows, drawn = self._find(steps)
+        self.state.write_round(*self.run, round_, self._in_parts(rows), self.version, drawn)
+        return self._kept(round_)
+
+    def _find(self, steps: set[int]) -> tuple[DataFrame, dict[int, int]]:
         queued = None
         if MISSING_PARENTS in steps:
             queue = self.state.queued(*self.run)
             if not queue.isEmpty():
                 queued = queue.where(F.col("position") > self.queue_drawn)
-        labels = self._label(steps, held, queued)
+        labels = self._label(steps, queued)
         if queued is None:
             rows = number_rows(labels, within="step")
             drawn = self._count(rows)
             if drawn.get(MISSING_PARENTS):
                 self._fill_queue(rows)
-            return _Work(rows, drawn)
+            return rows, drawn
 
         labels = checkpointed(labels)
         is_queued = F.col("step") == MISSING_PARENTS
         place = (F.col("position") - self.queue_drawn).alias("position")
         rows = number_rows(labels.where(~is_queued), within="step").unionByName(
-            labels.where(is_queued).join(queued, ID).select(ID, "step", place)
+            labels.where(is_queued).join(queued, ID).select(*labels.columns, place)
         )
-        return _Work(rows, {**self._count(rows), MISSING_PARENTS: queued.count()})
+        return rows, {**self._count(rows), MISSING_PARENTS: queued.count()}
 
-    def _label(self, steps: set[int], held: DataFrame, queued: DataFrame | None) -> DataFrame:
+    def _in_parts(self, rows: DataFrame) -> DataFrame:
+        """Rows with their part: neighbouring files whose keys can be broadcast.
+
+        Rows whose file is not known make parts by position.
+        """
+        per_file = rows.groupBy(FILE).agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum(F.octet_length(ID) + KEY_BYTES).alias("bytes"),
+            F.max("split").alias("split"),
+        )
+        per_file = checkpointed(per_file)
+        total = per_file.agg(F.sum("n"), F.sum("bytes"), F.max("split")).first()
+        if total[2]:
+            raise ValueError("the source holds several rows with one id")
+        wanted = [ID, "step", "position", FILE]
+        n_rows, n_bytes = total[0] or 0, total[1] or 0
+        limit = PART_BYTES
+        if self.options.chunk_rows and n_rows:
+            limit = min(limit, max(1, self.options.chunk_rows * n_bytes // n_rows))
+        if n_bytes <= limit:
+            return rows.select(*wanted, F.lit(0).cast("long").alias("part"))
+
+        width = max(1, limit * n_rows // n_bytes)
+        loose = rows.where(F.col(FILE).isNull()).select(
+            *wanted, (-1 - F.floor((F.col("position") - 1) / width)).cast("long").alias("part")
+        )
+        files = per_file.where(F.col(FILE).isNotNull()).select(FILE, "bytes")
+        files = running_total(files, FILE, "bytes", "upto")
+        part = F.floor((F.col("upto") - F.col("bytes")) / limit).cast("long").alias("part")
+        # One row per file that holds a wanted row.
+        placed = rows.join(files.select(FILE, part), FILE).select(*wanted, "part")
+        return placed.unionByName(loose).repartitionByRange("part").sortWithinPartitions("part")
+
+    def _label(self, steps: set[int], queued: DataFrame | None) -> DataFrame:
+        """(id, step, file, split) of the rows that the target lacks."""
         options, config = self.options, self.config
-        source = self._source()
+        source, held = self._source(), self.target.held_ids()
         meta = read_metadata(
             self.spark, config.metadata, config.metadata_id_column, options.guid_ids
         )
@@ -161,12 +313,17 @@ class _Load:
                 "table_name": config.table_name,
                 "batch_size": options.batch_size,
             }
-            return label_by_scripts(self.state, config.table_name, frames, args, steps, queued)
+            frames["src"] = source.drop(FILE)
+            labels = label_by_scripts(self.state, config.table_name, frames, args, steps, queued)
+            files = source.groupBy(ID).agg(F.min(FILE).alias("first"), F.max(FILE).alias(FILE))
+            split = F.coalesce(F.col("first") < F.col(FILE), F.lit(False)).alias("split")
+            return labels.join(files, ID, "left").select(*labels.columns, FILE, split)
         scope = scope_ids(meta, self.allowed, config.metadata_id_column)
-        return label_rows(source, scope, held, options.excluded_id, steps, queued)
+        buckets = self.target.buckets()
+        return label_rows(source, scope, held, options.excluded_id, steps, queued, buckets)
 
     def _source(self) -> DataFrame:
-        return read_source(self.spark, self.config.source, self.options.guid_ids)
+        return read_source(self.spark, self.config.source, self.options.guid_ids, with_file=True)
 
     @staticmethod
     def _count(rows: DataFrame) -> dict[int, int]:
@@ -178,89 +335,114 @@ class _Load:
         queue = rows.where(F.col("step") == MISSING_PARENTS).select(ID, "position", now)
         self.state.write_queue(*self.run, queue)
 
-    # -- writing chunks
-
-    def _chunks(self, work: _Work, steps: Iterable[int]) -> list[dict[int, tuple[int, int]]]:
-        """Spans of positions per step; one chunk, or several of whole batches."""
-        spans = [(s, 0, work.drawn[s]) for s in steps if work.drawn.get(s)]
-        if self.options.chunk_rows is None:
-            return [{s: (start, end) for s, start, end in spans}]
-        size = self.options.batch_size
-        width = max(1, self.options.chunk_rows // size) * size
-        return [
-            {s: (start, min(start + width, end))}
-            for s, _, end in spans
-            for start in range(0, end, width)
-        ] or [{}]
-
-    def _write(self, work: _Work, closing: list[int]) -> None:
-        chunks = self._chunks(work, STEPS)
-        logged_batch = dict(self.last_batch)
-        for number, spans in enumerate(chunks):
-            started = self.batch_started_at = self.options.clock()
-            self.step = min(spans, default=self.step)
-            chunk = self.chunk + 1
-            written = self._write_rows(work, spans, chunk)
-            log = []
-            for step, span in spans.items():
-                log.append(self._log(step, span, written[step], chunk))
-                logged_batch[step] = self.last_batch[step] + -(-span[1] // self.options.batch_size)
-            # Steps close in order: with the last chunk of their own and earlier rows.
-            ahead = min((s for rest in chunks[number + 1 :] for s in rest), default=len(STEPS) + 1)
-            for step in [s for s in closing if s < ahead]:
-                closing = [s for s in closing if s != step]
-                log.append(self._close(step, logged_batch[step]))
-            if log:
-                rows = reduce(DataFrame.unionByName, log)
-                self._commit(rows, chunk, started, sum(e - b for b, e in spans.values()))
-                self.chunk = chunk
-        self.last_batch = logged_batch
-
-    def _write_rows(self, work: _Work, spans: dict, chunk: int) -> dict[int, int]:
-        place = (self.run_id, self.attempt, chunk)
-        n_keys = sum(end - start for start, end in spans.values())
-        if not n_keys:
-            none = self._source().where(F.lit(False)).select(
-                *FILE_COLUMNS,
-                F.lit(None).cast("short").alias("_step"),
-                F.lit(None).cast("int").alias("_batch"),
+    # -- copying parts
+
+    def _copy(self, work: _Work) -> None:
+        """Copy the parts that are not marked as copied, some at a time."""
+        done = self.state.copied(*self.run).where(F.col("round") == work.round)
+        done = {r["part"] for r in done.select("part").collect()}
+        todo = [p for p in work.parts if p.number not in done]
+        while todo:
+            parts, rows = [], 0
+            while todo and len(parts) < CHUNK_PARTS:
+                rows += todo[0].size.rows
+                if parts and self.options.chunk_rows and rows > self.options.chunk_rows:
+                    break
+                parts.append(todo.pop(0))
+            chunk = self._open()
+            written = self._write_rows(work, parts, chunk)
+            self._close_claim()
+            self._commit(work, parts, chunk, written)
+
+    def _commit(self, work: _Work, parts: list[_Part], chunk: int, written: dict[int, int]) -> None:
+        numbers = [p.number for p in parts]
+        self.state.mark_copied(*self.run, chunk, work.round, numbers, written)
+
+    def _keys(self, work: _Work, parts: list[_Part]) -> DataFrame:
+        """(id, step, batch, part) of the rows to copy."""
+        step = F.col("step")
+        first = F.create_map(*[F.lit(v) for s in STEPS for v in (s, self.last_batch[s])])
+        batch = first[step.cast("int")] + batch_of(F.col("position"), self.options.batch_size)
+        rows = work.rows.where(F.col("part").isin([p.number for p in parts]))
+        if self._others_came(work):
+            rows = rows.join(self.target.held_ids(), ID, "left_anti")
+        return rows.select(ID, step.alias("_step"), batch.cast("int").alias("_batch"), FILE, "part")
+
+    def _others_came(self, work: _Work) -> bool:
+        """Whether other runs have loaded rows since the list was made."""
+        own = self.state.copied(*self.run).where(F.col("round") == work.round)
+        mine = own.select("chunk").distinct().count() + (self.opened is not None)
+        # Two claims per chunk of this run, the last one being open.
+        return self.version - work.version > 2 * mine
+
+    def _write_rows(self, work: _Work, parts: list[_Part], chunk: int) -> dict[int, int]:
+        """Write the rows of some parts as a chunk; gives the rows written per step.
+
+        Rows are looked for in the files that had them when the list was made. If
+        not all are there, the whole source is searched: it may have been
+        rewritten. Ids that have left the source are not written.
+        """
+        keys = self._keys(work, parts)
+        if self._others_came(work):
+            keys = checkpointed(keys)
+        asked = keys.agg(F.count(F.lit(1)), _id_sum()).first()
+        written = {}
+        for in_files in (True, False):
+            rows = [self._rows_of(part, keys, in_files) for part in parts]
+            found = Observation()
+            rows = reduce(DataFrame.unionByName, rows).observe(
+                found,
+                F.count(F.lit(1)).alias("n"),
+                _id_sum().alias("sum"),
+                *[F.count_if(F.col("_step") == s).alias(f"step_{s}") for s in STEPS],
             )
-            self.target.write_chunk(*place, none)
-            return {}
-
-        position, step = F.col("position"), F.col("step")
-        inside = reduce(
-            or_,
-            [(step == s) & (position > b) & (position <= e) for s, (b, e) in spans.items()],
-        )
-        first = F.create_map(*[F.lit(v) for s in spans for v in (s, self.last_batch[s])])
-        batch = first[step.cast("int")] + batch_of(position, self.options.batch_size)
-        keys = work.rows.where(inside).select(
-            ID, step.alias("_step"), batch.cast("int").alias("_batch")
-        )
-        counted = Observation()
-        rows = fetch_rows(self._source(), keys, measured(keys, ID)).observe(
-            counted,
-            *[F.count(F.when(F.col("_step") == s, 1)).alias(f"step_{s}") for s in spans],
-        )
-        self.target.write_chunk(*place, rows)
-        written = {s: counted.get[f"step_{s}"] for s in spans}
-        for s, (start, end) in spans.items():
-            if written[s] > end - start:  # not logged, so not committed
-                raise ValueError(f"step {s}: the source holds several rows with one id")
+            self.target.write_chunk(self.run_id, self.attempt, chunk, rows)
+            written = {s: found.get[f"step_{s}"] for s in STEPS}
+            # Equal numbers and sums of ids: no id is missing and none is there twice.
+            if (found.get["n"], found.get["sum"]) == tuple(asked):
+                return written
+        if self.target.repeated_ids(self.run_id, self.attempt, chunk).head(1):
+            raise ValueError("the source holds several rows with one id")
         return written
 
+    def _rows_of(self, part: _Part, keys: DataFrame, in_files: bool) -> DataFrame:
+        own, source = keys.where(F.col("part") == part.number), self._source()
+        if in_files and part.files:
+            files = [r[0] for r in own.select(FILE).distinct().collect()]
+            source = source.where(F.col(FILE).isin(files))
+        few_per_file = part.size.rows < ROWS_PER_FILE * max(1, part.files)
+        return fetch_rows(source, own.drop(FILE, "part"), part.size, even_out=few_per_file)
+
     # -- the progress log
 
-    def _log(self, step: int, span: tuple[int, int], written: int, chunk: int) -> DataFrame:
+    def _log_round(self, work: _Work, closing: list[int]) -> None:
+        """Log the batches of a round, and close its steps if it is the last one."""
+        done = self.state.copied(*self.run).where(F.col("round") == work.round)
+        sums = [F.max(f"written_{s}").alias(f"written_{s}") for s in STEPS]
+        done = done.groupBy("chunk").agg(*sums).collect()  # one row per chunk
+        written = {s: sum(r[f"written_{s}"] for r in done) for s in STEPS}
+        chunks, log = [r["chunk"] for r in done], []
+        for step in STEPS:
+            if work.drawn.get(step):
+                log.append(self._log(step, work.drawn[step], written[step], chunks))
+                self.last_batch[step] += -(-work.drawn[step] // self.options.batch_size)
+            if step in closing:
+                log.append(self._close(step, self.last_batch[step]))
+        if log:
+            rows = reduce(DataFrame.unionByName, log)
+            files = 1 + sum(work.drawn.values()) // self.options.batch_size // _LOG_ROWS_PER_FILE
+            started = self.batch_started_at
+            self._log_rows(rows.coalesce(files), work.round, started, failure=0, message=None)
+        self.round = work.round
+
+    def _log(self, step: int, n_rows: int, written: int, chunks: list[int]) -> DataFrame:
         size = self.options.batch_size
-        n_rows = span[1] - span[0]
-        at = {"first": self.last_batch[step] + span[0] // size + 1, "base": self.total[step]}
+        at = {"first": self.last_batch[step] + 1, "base": self.total[step]}
         if written == n_rows:
             log = batch_log(self.spark, step, n_rows, size, close=False, **at)
         else:
-            counts = self.target.chunk_counts(self.run_id, self.attempt, chunk)
-            counts = counts.where(F.col("step") == step)
+            counts = self.target.chunk_counts(self.run_id, self.attempt, chunks)
+            counts = checkpointed(counts.where(F.col("step") == step))
             log = counted_log(counts, self.spark, step, n_rows, size, **at)
         self.total[step] += written
         self.rows[step] += written
@@ -270,10 +452,6 @@ class _Load:
         size, total = self.options.batch_size, self.total[step]
         return batch_log(self.spark, step, 0, size, first=last_batch + 1, base=total)
 
-    def _commit(self, log: DataFrame, chunk: int, started: datetime, n_rows: int) -> None:
-        files = 1 + n_rows // self.options.batch_size // _LOG_ROWS_PER_FILE
-        self._log_rows(log.coalesce(files), chunk, started, failure=0, message=None)
-
     def _log_rows(self, log, chunk, started, failure, message) -> None:
         def at(value: datetime):
             return F.lit(value).cast("timestamp_ntz")
@@ -304,6 +482,11 @@ class _Load:
         self._log_rows(row, -number, started, failure=number, message=str(error))
 
 
+def _id_sum():
+    """A sum of hashes of ids that does not depend on their order."""
+    return F.coalesce(F.sum(F.xxhash64(ID).cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)"))
+
+
 def run_table(
     state: StateStore,
     table_name: str,
@@ -321,14 +504,16 @@ def run_table(
     of that run first; rows already loaded stay, and so does its start time.
 
     Options: `batch_size` rows per logged batch; `excluded_id`, one id that is
-    never loaded (None for none); `chunk_rows`, rows per commit, if a run should
-    be resumable within a step, at the price of one source scan per chunk;
+    never loaded (None for none); `chunk_rows`, rows per commit, about, if a run
+    should be resumable in smaller pieces (groups of source files);
     `scripted` to take the steps from the stored scripts; `settle` to look again
     until no new rows arrive; `guid_ids` if ids in the tables have several
-    spellings of one GUID; `clock`. The excluded id and the run id are taken by
-    value, in any spelling of a GUID.
+    spellings of one GUID; `take_over` to go on although another run has not
+    ended, which then cannot commit any more; `clock`. The excluded id and the
+    run id are taken by value, in any spelling of a GUID.
 
-    Two runs of the same table must not run at the same time.
+    Of two runs of one table at the same time one fails with `TableBusy`, before
+    it commits.
     """
     settings = Options(**options)
     config = load_active(state, table_name)
@@ -342,12 +527,14 @@ def run_table(
     frame = read_allowed(state.spark, allowed) if isinstance(allowed, str) else allowed
     load = _Load(state, config, frame, run_id, attempt, started_at, settings)
     try:
-        load.execute()
+        with own_folder(state.spark):
+            load.execute()
     except Exception as error:
-        try:
-            load.log_failure(error)
-        except Exception as second:  # the first error is the one to show
-            error.add_note(f"The failure could not be logged: {second}")
+        for after in (load.give_up, lambda: load.log_failure(error)):
+            try:
+                after()
+            except Exception as second:  # the first error is the one to show
+                error.add_note(f"The failure could not be logged: {second}")
         raise
     return RunResult(run_id, table_name, load.rows)
 

@@ -120,6 +120,48 @@ QUEUE_SCHEMA = T.StructType(
 QUEUE_COLUMNS = ["run_id", "table_name", "stream_id", "processed", "created_at"]
 QUEUE_KEY = ["run_id", "table_name", "stream_id"]
 
+# The file that holds a source row, next to the columns of a source.
+FILE = "_file"
+
+_RUN_FIELDS = [
+    T.StructField("run_id", T.StringType(), False),
+    T.StructField("table_name", T.StringType(), False),
+    T.StructField("attempt", T.IntegerType(), False),
+]
+# The rows to load in one round, numbered; a part is what is copied with keys of its own.
+WORK_SCHEMA = T.StructType(
+    [
+        T.StructField("stream_id", T.StringType(), False),
+        T.StructField("step", T.ShortType(), False),
+        T.StructField("position", T.LongType(), False),
+        T.StructField(FILE, T.StringType()),
+        T.StructField("part", T.LongType(), False),
+        *_RUN_FIELDS,
+        T.StructField("round", T.IntegerType(), False),
+    ]
+)
+# One row per round once its list is whole: the version of the target it was made
+# for, and the positions drawn per step.
+ROUND_SCHEMA = T.StructType(
+    [
+        T.StructField("version", T.LongType(), False),
+        *[T.StructField(f"drawn_{step}", T.LongType(), False) for step in STEPS],
+        *_RUN_FIELDS,
+        T.StructField("round", T.IntegerType(), False),
+    ]
+)
+# One row per part of a chunk once the chunk is committed, with the rows written
+# per step by the whole chunk.
+COPIED_SCHEMA = T.StructType(
+    [
+        T.StructField("round", T.IntegerType(), False),
+        T.StructField("part", T.LongType(), False),
+        *[T.StructField(f"written_{step}", T.LongType(), False) for step in STEPS],
+        *_RUN_FIELDS,
+        T.StructField("chunk", T.IntegerType(), False),
+    ]
+)
+
 RESET_SCHEMA = T.StructType(
     [
         T.StructField("run_id", T.StringType(), False),

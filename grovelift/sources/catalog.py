@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from typing import Any
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -28,8 +29,9 @@ def create_table(
     schema: T.StructType,
     partitions: Sequence[str] = (),
     location: str | None = None,
+    buckets: tuple[str, int] | None = None,
 ) -> None:
-    """Create a Parquet table unless it exists.
+    """Create a Parquet table unless it exists; `buckets` is a column and a number.
 
     With a location the files outlive the catalog: a session that finds them
     there registers their partitions again.
@@ -38,6 +40,8 @@ def create_table(
     text = f"CREATE TABLE IF NOT EXISTS {table_path(name)} ({columns}) USING parquet"
     if partitions:
         text += f" PARTITIONED BY ({', '.join(quoted(p) for p in partitions)})"
+    if buckets:
+        text += f" CLUSTERED BY ({quoted(buckets[0])}) INTO {buckets[1]} BUCKETS"
     if location:
         text += f" LOCATION {literal(location)}"
     spark.sql(text)
@@ -71,6 +75,18 @@ def partition_values(spark: SparkSession, name: str, column: str) -> list[str]:
     return sorted(found)
 
 
+def partitions_of(spark: SparkSession, name: str, columns: Sequence[str]) -> set[tuple]:
+    """All partitions as tuples of the values' texts, from the catalog; no file is read."""
+    rows = spark.sql(f"SHOW PARTITIONS {table_path(name)}").collect()
+    found = [dict(p.split("=", 1) for p in r[0].split("/")) for r in rows]
+    return {tuple(unquote(values[c]) for c in columns) for values in found}
+
+
+def table_location(spark: SparkSession, name: str) -> str:
+    rows = spark.sql(f"DESCRIBE EXTENDED {table_path(name)}").collect()
+    return next(r["data_type"] for r in rows if r["col_name"] == "Location")
+
+
 def overwrite_partition(
     spark: SparkSession, name: str, partition: Mapping[str, Any], rows: DataFrame
 ) -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,13 +10,20 @@ from pyspark.sql import types as T
 from grovelift.functions import canonical_id
 from grovelift.schemas import (
     ALLOWED_OWNER,
+    FILE,
     FILE_COLUMNS,
     ID,
     OWNER,
     PARENT,
     TARGET_SCHEMA,
 )
-from grovelift.sources.catalog import create_table, overwrite_partition, table_path
+from grovelift.sources.catalog import (
+    create_table,
+    drop_partition,
+    overwrite_partition,
+    partitions_of,
+    table_path,
+)
 
 INITIAL_RUN = "initial"
 
@@ -24,16 +32,24 @@ def _id(column: str, guid_ids: bool):
     return (canonical_id(column) if guid_ids else F.col(column)).alias(column)
 
 
-def read_source(spark: SparkSession, name: str, guid_ids: bool = False) -> DataFrame:
+def read_source(
+    spark: SparkSession, name: str, guid_ids: bool = False, with_file: bool = False
+) -> DataFrame:
     """Source rows with their parent path.
 
     Unused columns are pruned by the plan. With `guid_ids` ids are read in one
     spelling, at the price that conditions on them do not reach the files.
+    `with_file` adds the file that holds the row, null for a source that is not
+    made of files; a condition on it leaves out whole files.
     """
     rows = spark.table(table_path(name))
-    return rows.select(
-        *[_id(c, guid_ids) if c == ID else F.col(c) for c in [*FILE_COLUMNS, PARENT]]
-    )
+    columns = [_id(c, guid_ids) if c == ID else F.col(c) for c in [*FILE_COLUMNS, PARENT]]
+    if not with_file:
+        return rows.select(*columns)
+    try:
+        return rows.select(*columns, F.col("_metadata.file_path").alias(FILE))
+    except AnalysisException:
+        return rows.select(*columns, F.lit(None).cast("string").alias(FILE))
 
 
 def read_metadata(
@@ -47,30 +63,44 @@ def read_allowed(spark: SparkSession, name: str) -> DataFrame:
 
 
 class TargetTable:
-    """The table that receives rows, one partition per commit of a run.
+    """The table that receives rows, one partition per chunk of a run.
 
     Next to the 14 copied columns a row keeps the step and batch that brought
     it. Readers use `rows()`.
+
+    A second table, `<name>_ids`, holds the ids of the same partitions, bucketed
+    by id: what is new is found by an anti join with it that does not move it.
+    Its partitions are written after, and dropped before, those of the target;
+    `complete_ids` adds what a failure in between has left out.
     """
 
     PARTITIONS = ("_run_id", "_attempt", "_chunk")
+    ID_BUCKETS = 16
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.name = name
+        self.ids_name = f"{name}_ids"
 
-    def create(self, location: str | None = None) -> TargetTable:
-        schema = T.StructType(
-            [
-                *TARGET_SCHEMA.fields,
-                T.StructField("_step", T.ShortType()),
-                T.StructField("_batch", T.IntegerType()),
-                T.StructField("_run_id", T.StringType()),
-                T.StructField("_attempt", T.IntegerType()),
-                T.StructField("_chunk", T.IntegerType()),
-            ]
-        )
+    def create(self, location: str | None = None, id_buckets: int = ID_BUCKETS) -> TargetTable:
+        """Create both tables unless they exist.
+
+        `id_buckets` should grow with the target: a bucket is joined by one task,
+        and some tens of millions of ids in each are a good size.
+        """
+        place = [
+            T.StructField("_run_id", T.StringType()),
+            T.StructField("_attempt", T.IntegerType()),
+            T.StructField("_chunk", T.IntegerType()),
+        ]
+        brought = [T.StructField("_step", T.ShortType()), T.StructField("_batch", T.IntegerType())]
+        schema = T.StructType([*TARGET_SCHEMA.fields, *brought, *place])
         create_table(self.spark, self.name, schema, self.PARTITIONS, location)
+        ids = T.StructType([TARGET_SCHEMA[ID], *place])
+        ids_location = f"{location.rstrip('/')}_ids" if location else None
+        create_table(
+            self.spark, self.ids_name, ids, self.PARTITIONS, ids_location, buckets=(ID, id_buckets)
+        )
         return self
 
     def load_initial(self, rows: DataFrame, guid_ids: bool = False) -> None:
@@ -80,7 +110,7 @@ class TargetTable:
             F.lit(0).cast("short").alias("_step"),
             F.lit(0).alias("_batch"),
         )
-        self._write(INITIAL_RUN, 0, 0, rows)
+        self.write_chunk(INITIAL_RUN, 0, 0, rows)
 
     def rows(self) -> DataFrame:
         return self.spark.table(table_path(self.name)).select(*FILE_COLUMNS)
@@ -90,26 +120,82 @@ class TargetTable:
         return self.spark.table(table_path(self.name)).where(~own | (F.col("_chunk") < chunk))
 
     def committed_ids(self, run_id: str, attempt: int, chunk: int) -> DataFrame:
-        """Ids held, without what this attempt wrote but did not log.
+        """Ids held, without what this attempt wrote from this chunk on.
 
-        Those chunks are about to be replaced. The condition is on partition
-        columns, so their files are not even listed for the scan.
+        The condition is on partition columns, so files of those chunks are not
+        even listed for the scan.
         """
         return self._without_open_chunks(run_id, attempt, chunk).select(ID)
 
-    def chunk_counts(self, run_id: str, attempt: int, chunk: int) -> DataFrame:
-        """Rows per (step, batch) of one chunk, from two narrow columns."""
+    # -- the table of ids
+
+    def held_ids(self) -> DataFrame:
+        """Ids held, in `buckets()` partitions by id."""
+        return self.spark.table(table_path(self.ids_name)).select(ID)
+
+    def buckets(self) -> int:
+        rows = self.spark.sql(f"DESCRIBE EXTENDED {table_path(self.ids_name)}").collect()
+        return next(int(r["data_type"]) for r in rows if r["col_name"] == "Num Buckets")
+
+    def complete_ids(self) -> None:
+        """Make the table of ids hold the partitions of the target and no others.
+
+        A target from before this table was kept gets it here.
+        """
+        if not self.spark.catalog.tableExists(table_path(self.ids_name)):
+            self.create()
+        held = partitions_of(self.spark, self.name, self.PARTITIONS)
+        listed = partitions_of(self.spark, self.ids_name, self.PARTITIONS)
+        for place in sorted(listed - held):
+            drop_partition(self.spark, self.ids_name, self._spec(place))
+        for place in sorted(held - listed):
+            self._write_ids(place)
+
+    def _spec(self, place: tuple[str, str, str]) -> dict:
+        run_id, attempt, chunk = place
+        return {"_run_id": run_id, "_attempt": int(attempt), "_chunk": int(chunk)}
+
+    def _in(self, place: tuple) -> DataFrame:
+        rows = self.spark.table(table_path(self.name))
+        for column, value in self._spec(place).items():
+            rows = rows.where(F.col(column) == F.lit(value))
+        return rows
+
+    def _write_ids(self, place: tuple) -> None:
+        ids = self._in(place).select(ID).repartition(self.buckets(), ID)  # a file per bucket
+        overwrite_partition(self.spark, self.ids_name, self._spec(place), ids)
+
+    # -- chunks
+
+    def chunks(self, run_id: str, attempt: int) -> set[int]:
+        """Chunks of an attempt that are there, committed or not."""
+        held = partitions_of(self.spark, self.name, self.PARTITIONS)
+        return {int(c) for run, number, c in held if (run, int(number)) == (run_id, attempt)}
+
+    def repeated_ids(self, run_id: str, attempt: int, chunk: int) -> DataFrame:
+        """Ids of a chunk that it holds more than once."""
+        ids = self._in((run_id, attempt, chunk)).groupBy(ID).agg(F.count(F.lit(1)).alias("n"))
+        return ids.where(F.col("n") > 1)
+
+    def chunk_counts(self, run_id: str, attempt: int, chunks: list[int]) -> DataFrame:
+        """Rows per (step, batch) of some chunks, from two narrow columns."""
         held = (F.col("_run_id") == run_id) & (F.col("_attempt") == attempt)
         return (
             self.spark.table(table_path(self.name))
-            .where(held & (F.col("_chunk") == chunk))
+            .where(held & F.col("_chunk").isin(chunks))
             .groupBy(F.col("_step").alias("step"), F.col("_batch").alias("batch_number"))
             .agg(F.count(F.lit(1)).alias("rows_inserted"))
         )
 
     def write_chunk(self, run_id: str, attempt: int, chunk: int, rows: DataFrame) -> None:
-        self._write(run_id, attempt, chunk, rows)
-
-    def _write(self, run_id: str, attempt: int, chunk: int, rows: DataFrame) -> None:
-        spec = {"_run_id": run_id, "_attempt": attempt, "_chunk": chunk}
-        overwrite_partition(self.spark, self.name, spec, rows)
+        """Make `rows` the content of a chunk, first in the target, then in the table of ids."""
+        place = (run_id, attempt, chunk)
+        overwrite_partition(self.spark, self.name, self._spec(place), rows)
+        self._write_ids(place)
+
+    def drop_chunk(self, run_id: str, attempt: int, chunk: int) -> None:
+        """Take a chunk away that was not committed."""
+        place = (run_id, str(attempt), str(chunk))
+        for name in (self.ids_name, self.name):
+            if place in partitions_of(self.spark, name, self.PARTITIONS):
+                drop_partition(self.spark, name, self._spec(place))

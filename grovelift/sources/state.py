@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 from datetime import datetime
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,8 +23,11 @@ from grovelift.sources.catalog import (
     drop_rows,
     overwrite_partition,
     partition_values,
+    partitions_of,
+    table_location,
     table_path,
 )
+from grovelift.sources.claims import Claims
 
 _VERSION = "version"
 
@@ -31,8 +35,9 @@ _VERSION = "version"
 class StateStore:
     """State tables in one database.
 
-    `progress`, `work_queue` and `resets` are partitioned by run and table, so
-    a run reads and replaces only its own partitions. The keyed definition
+    `progress`, `work_queue`, `resets` and the tables of work to do and done are
+    partitioned by run and table, so a run reads and replaces only its own
+    partitions. The keyed definition
     tables (`table_config`, `step_scripts`, `queue_scripts`) are rewritten as a
     new version on each upsert and read in their latest version, so that a
     writer that dies halfway loses nothing.
@@ -42,6 +47,9 @@ class StateStore:
         "progress": (S.PROGRESS_SCHEMA, ("run_id", "table_name", "attempt", "chunk")),
         "work_queue": (S.QUEUE_SCHEMA, ("run_id", "table_name", "attempt")),
         "resets": (S.RESET_SCHEMA, ("run_id", "table_name", "attempt")),
+        "work_list": (S.WORK_SCHEMA, ("run_id", "table_name", "attempt", "round")),
+        "work_rounds": (S.ROUND_SCHEMA, ("run_id", "table_name", "attempt", "round")),
+        "copied": (S.COPIED_SCHEMA, ("run_id", "table_name", "attempt", "chunk")),
     }
     KEYED_TABLES = {
         "table_config": (S.CONFIG_SCHEMA, S.CONFIG_KEY),
@@ -184,6 +192,62 @@ class StateStore:
         spec = {"run_id": run_id, "table_name": table_name, "attempt": attempt}
         overwrite_partition(self.spark, self.name("work_queue"), spec, rows)
 
+    # -- the work of a round, and what of it is done
+
+    def claims(self, target: str) -> Claims:
+        """Claims on a target, next to the state tables."""
+        folder = table_location(self.spark, self.name("progress")).rstrip("/").rsplit("/", 1)[0]
+        return Claims(self.spark, f"{folder}/_claims/{quote(target, safe='.')}")
+
+    def work(self, run_id: str, table_name: str, attempt: int, round_: int) -> DataFrame:
+        rows = self._run_rows("work_list", run_id, table_name, attempt)
+        return rows.where(F.col("round") == round_)
+
+    def round(self, run_id: str, table_name: str, attempt: int, round_: int) -> dict | None:
+        """What a round was listed for; None if its list is not whole."""
+        rows = self._run_rows("work_rounds", run_id, table_name, attempt)
+        row = rows.where(F.col("round") == round_).first()
+        return row.asDict() if row else None
+
+    def write_round(
+        self, run_id: str, table_name: str, attempt: int, round_: int,
+        work: DataFrame, version: int, drawn: Mapping[int, int],
+    ) -> None:
+        """Keep the list of a round; the row in `work_rounds` makes it valid."""
+        spec = {"run_id": run_id, "table_name": table_name, "attempt": attempt, "round": round_}
+        overwrite_partition(self.spark, self.name("work_list"), spec, work)
+        row = self.spark.range(1).select(
+            F.lit(version).cast("long").alias("version"),
+            *[F.lit(drawn.get(s, 0)).cast("long").alias(f"drawn_{s}") for s in S.STEPS],
+        )
+        overwrite_partition(self.spark, self.name("work_rounds"), spec, row)
+
+    def drop_work(self, run_id: str, table_name: str, attempt: int, upto: int) -> None:
+        """Remove the lists of rounds that are logged."""
+        columns = ("run_id", "table_name", "attempt", "round")
+        for table in ("work_list", "work_rounds"):
+            for place in partitions_of(self.spark, self.name(table), columns):
+                if place[:3] == (run_id, table_name, str(attempt)) and int(place[3]) <= upto:
+                    spec = dict(zip(columns, (run_id, table_name, attempt, int(place[3])), strict=True))
+                    drop_partition(self.spark, self.name(table), spec)
+
+    def mark_copied(
+        self, run_id: str, table_name: str, attempt: int, chunk: int,
+        round_: int, parts: Iterable[int], written: Mapping[int, int],
+    ) -> None:
+        """Commit a chunk: from here on it counts as loaded."""
+        spec = {"run_id": run_id, "table_name": table_name, "attempt": attempt, "chunk": chunk}
+        rows = self.spark.createDataFrame([(p,) for p in parts], "part long").select(
+            F.lit(round_).alias("round"),
+            "part",
+            *[F.lit(written.get(s, 0)).cast("long").alias(f"written_{s}") for s in S.STEPS],
+        )
+        overwrite_partition(self.spark, self.name("copied"), spec, rows)
+
+    def copied(self, run_id: str, table_name: str, attempt: int) -> DataFrame:
+        """Parts of the rounds that are committed, with their chunk."""
+        return self._run_rows("copied", run_id, table_name, attempt)
+
     def reset(self, run_id: str, table_name: str, now: datetime) -> int:
         """Forget the log and queue of a run of a table; loaded rows stay.
 
@@ -195,7 +259,7 @@ class StateStore:
         row = self.spark.range(1).select(F.lit(now).cast("timestamp_ntz").alias("reset_at"))
         spec = {"run_id": run_id, "table_name": table_name, "attempt": old + 1}
         overwrite_partition(self.spark, self.name("resets"), spec, row)
-        for table in ("progress", "work_queue"):
+        for table in ("progress", "work_queue", "work_list", "work_rounds", "copied"):
             held = {"run_id": run_id, "table_name": table_name}
             if not self._run_rows(table, run_id, table_name, old).isEmpty():
                 drop_rows(self.spark, self.name(table), held)
