@@ -24,6 +24,7 @@ import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 from datetime import datetime
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation
@@ -107,6 +108,8 @@ class _Part:
     number: int
     size: Size
     files: int
+    """Files that hold its rows; 0 if not all are known."""
+    id_sum: Decimal
 
 
 @dataclass
@@ -131,6 +134,8 @@ class _Load:
     attempt: int
     started_at: datetime
     options: Options
+    fresh: bool = False
+    """Whether the run has a new id, so that nothing of it can be there."""
     step: int = 0
     batch_started_at: datetime | None = None
     rows: dict[int, int] = field(default_factory=lambda: dict.fromkeys(STEPS, 0))
@@ -141,17 +146,23 @@ class _Load:
         self.target = TargetTable(self.spark, self.config.target)
         self.claims = self.state.claims(self.config.target)
         self.opened: Claim | None = None
+        self.unmarked: int | None = None
+        """A chunk that may be written and is not marked as copied."""
+        self.round = self.queue_drawn = 0
+        self.marks: list[dict] = []  # one per committed part
         self.last_batch = dict.fromkeys(STEPS, 0)
         self.total = dict.fromkeys(STEPS, 0)
 
     def execute(self) -> None:
         open_steps = list(STEPS)
-        self.round, self.queue_drawn, _ = self.state.commit_marks(*self.run)
-        for step, row in self.state.resume_rows(*self.run).items():
-            self.last_batch[step] = row["batch_number"]
-            self.total[step] = row["total_rows_inserted"]
-            if row["completed"]:
-                open_steps.remove(step)
+        if not self.fresh:
+            self.round, self.queue_drawn, _ = self.state.commit_marks(*self.run)
+            for step, row in self.state.resume_rows(*self.run).items():
+                self.last_batch[step] = row["batch_number"]
+                self.total[step] = row["total_rows_inserted"]
+                if row["completed"]:
+                    open_steps.remove(step)
+            self.marks = [r.asDict() for r in self.state.copied(*self.run).collect()]
 
         steps, settled = set(open_steps), not open_steps
         if open_steps:
@@ -186,8 +197,8 @@ class _Load:
             if not own and head.run_id:
                 self.target.drop_chunk(head.run_id, head.attempt, head.chunk)
         self.version = self.claims.head().version
-        marked = self.state.copied(*self.run).select("chunk").distinct().collect()
-        for chunk in sorted(self.target.chunks(*self.run[::2]) - {r["chunk"] for r in marked}):
+        marked = {m["chunk"] for m in self.marks}
+        for chunk in sorted(self.target.chunks(*self.run[::2]) - marked):
             self.target.drop_chunk(self.run_id, self.attempt, chunk)
         self.target.complete_ids()
 
@@ -196,7 +207,7 @@ class _Load:
         claim = Claim(self.version + 1, OPEN, self.run_id, self.attempt, self.version + 1)
         if not self.claims.make(claim):
             raise TableBusy(f"another run has loaded {self.config.target} meanwhile")
-        self.opened, self.version = claim, claim.version
+        self.opened, self.version, self.unmarked = claim, claim.version, claim.chunk
         return claim.chunk
 
     def _close_claim(self) -> None:
@@ -207,15 +218,16 @@ class _Load:
 
     def give_up(self) -> None:
         """After an error: take away what was not committed, and let other runs in."""
+        if self.unmarked is not None:
+            self.target.drop_chunk(self.run_id, self.attempt, self.unmarked)
         if self.opened is not None:
-            self.target.drop_chunk(self.run_id, self.attempt, self.opened.chunk)
             self.claims.make(Claim(self.version + 1, CLOSED, self.run_id, self.attempt))
 
     # -- finding rows, on narrow columns
 
     def _kept(self, round_: int) -> _Work | None:
         """The list of a round that was begun, so that nothing is looked for again."""
-        found = self.state.round(*self.run, round_)
+        found = None if self.fresh else self.state.round(*self.run, round_)
         if found is None:
             return None
         rows = self.state.work(*self.run, round_)
@@ -226,35 +238,62 @@ class _Load:
     def _parts(rows: DataFrame) -> list[_Part]:
         """One row per part; a part has the keys of a broadcast, so there are not many."""
         found = rows.groupBy("part").agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum(F.octet_length(ID) + KEY_BYTES).alias("bytes"),
-            F.count_distinct(FILE).alias("files"),
-            F.count_if(F.col(FILE).isNull()).alias("loose"),
+            *_sizes(), F.count_distinct(FILE).alias("files"), F.count_if(F.col(FILE).isNull()).alias("loose")
         )
         return [
-            _Part(r["part"], Size(r["n"], r["bytes"]), 0 if r["loose"] else r["files"])
+            _Part(r["part"], Size(r["n"], r["bytes"]), 0 if r["loose"] else r["files"], r["id_sum"])
             for r in found.orderBy("part").collect()
         ]
 
     def _listed(self, steps: set[int], round_: int) -> _Work:
         """Find and number the rows of the steps, and keep the list."""
-        rows, drawn = self._find(steps)
-        self.state.write_round(*self.run, round_, self._in_parts(rows), self.version, drawn)
-        return self._kept(round_)
+        rows, queued = self._find(steps)
+        per_file = checkpointed(
+            rows.groupBy(FILE, "step").agg(*_sizes(), F.max("split").alias("split"))
+        )
+        steps_found = per_file.groupBy("step").agg(
+            F.sum("n").alias("n"),
+            F.sum("bytes").alias("bytes"),
+            F.sum("id_sum").alias("id_sum"),
+            F.max("split").alias("split"),
+            F.count_if(F.col(FILE).isNull()).alias("loose"),
+        )
+        found = steps_found.collect()  # at most one row per step
+        if any(r["split"] for r in found):
+            raise ValueError("the source holds several rows with one id")
+        drawn = {r["step"]: r["n"] for r in found}
+        if queued is not None:
+            drawn[MISSING_PARENTS] = queued.count()
+        elif drawn.get(MISSING_PARENTS):
+            self._fill_queue(rows)
 
-    def _find(self, steps: set[int]) -> tuple[DataFrame, dict[int, int]]:
+        size = Size(sum(r["n"] for r in found), sum(r["bytes"] for r in found))
+        limit = PART_BYTES
+        if self.options.chunk_rows and size.rows:
+            limit = min(limit, max(1, self.options.chunk_rows * size.bytes // size.rows))
+        one = size.bytes <= limit
+        if one:
+            work = rows.select(ID, "step", "position", FILE, F.lit(0).cast("long").alias("part"))
+        else:
+            work = self._in_parts(rows, per_file, size, limit)
+        self.state.write_round(*self.run, round_, work, self.version, drawn)
+        rows = self.state.work(*self.run, round_)
+        if not one:
+            return _Work(round_, self.version, rows, drawn, self._parts(rows))
+        files = 0 if any(r["loose"] for r in found) else per_file.select(FILE).distinct().count()
+        part = _Part(0, size, files, sum((r["id_sum"] for r in found), Decimal(0)))
+        return _Work(round_, self.version, rows, drawn, [part] if size.rows else [])
+
+    def _find(self, steps: set[int]) -> tuple[DataFrame, DataFrame | None]:
+        """The numbered rows, and the queue that step 2 goes by if it is filled already."""
         queued = None
-        if MISSING_PARENTS in steps:
+        if MISSING_PARENTS in steps and not self.fresh:
             queue = self.state.queued(*self.run)
             if not queue.isEmpty():
                 queued = queue.where(F.col("position") > self.queue_drawn)
         labels = self._label(steps, queued)
         if queued is None:
-            rows = number_rows(labels, within="step")
-            drawn = self._count(rows)
-            if drawn.get(MISSING_PARENTS):
-                self._fill_queue(rows)
-            return rows, drawn
+            return number_rows(labels, within="step"), None
 
         labels = checkpointed(labels)
         is_queued = F.col("step") == MISSING_PARENTS
@@ -262,35 +301,20 @@ class _Load:
         rows = number_rows(labels.where(~is_queued), within="step").unionByName(
             labels.where(is_queued).join(queued, ID).select(*labels.columns, place)
         )
-        return rows, {**self._count(rows), MISSING_PARENTS: queued.count()}
+        return rows, queued
 
-    def _in_parts(self, rows: DataFrame) -> DataFrame:
+    @staticmethod
+    def _in_parts(rows: DataFrame, per_file: DataFrame, size: Size, limit: int) -> DataFrame:
         """Rows with their part: neighbouring files whose keys can be broadcast.
 
         Rows whose file is not known make parts by position.
         """
-        per_file = rows.groupBy(FILE).agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum(F.octet_length(ID) + KEY_BYTES).alias("bytes"),
-            F.max("split").alias("split"),
-        )
-        per_file = checkpointed(per_file)
-        total = per_file.agg(F.sum("n"), F.sum("bytes"), F.max("split")).first()
-        if total[2]:
-            raise ValueError("the source holds several rows with one id")
         wanted = [ID, "step", "position", FILE]
-        n_rows, n_bytes = total[0] or 0, total[1] or 0
-        limit = PART_BYTES
-        if self.options.chunk_rows and n_rows:
-            limit = min(limit, max(1, self.options.chunk_rows * n_bytes // n_rows))
-        if n_bytes <= limit:
-            return rows.select(*wanted, F.lit(0).cast("long").alias("part"))
-
-        width = max(1, limit * n_rows // n_bytes)
-        loose = rows.where(F.col(FILE).isNull()).select(
-            *wanted, (-1 - F.floor((F.col("position") - 1) / width)).cast("long").alias("part")
-        )
-        files = per_file.where(F.col(FILE).isNotNull()).select(FILE, "bytes")
+        width = max(1, limit * size.rows // size.bytes)
+        span = F.floor((F.col("position") - 1) / width) * (len(STEPS) + 1) + F.col("step")
+        loose = rows.where(F.col(FILE).isNull())
+        loose = loose.select(*wanted, (-span).cast("long").alias("part"))
+        files = per_file.where(F.col(FILE).isNotNull()).groupBy(FILE).agg(F.sum("bytes").alias("bytes"))
         files = running_total(files, FILE, "bytes", "upto")
         part = F.floor((F.col("upto") - F.col("bytes")) / limit).cast("long").alias("part")
         # One row per file that holds a wanted row.
@@ -325,11 +349,6 @@ class _Load:
     def _source(self) -> DataFrame:
         return read_source(self.spark, self.config.source, self.options.guid_ids, with_file=True)
 
-    @staticmethod
-    def _count(rows: DataFrame) -> dict[int, int]:
-        counts = rows.groupBy("step").agg(F.count(F.lit(1)).alias("n")).collect()
-        return {r["step"]: r["n"] for r in counts}
-
     def _fill_queue(self, rows: DataFrame) -> None:
         now = F.lit(self.options.clock()).cast("timestamp_ntz").alias("created_at")
         queue = rows.where(F.col("step") == MISSING_PARENTS).select(ID, "position", now)
@@ -339,8 +358,7 @@ class _Load:
 
     def _copy(self, work: _Work) -> None:
         """Copy the parts that are not marked as copied, some at a time."""
-        done = self.state.copied(*self.run).where(F.col("round") == work.round)
-        done = {r["part"] for r in done.select("part").collect()}
+        done = {m["part"] for m in self._marks(work)}
         todo = [p for p in work.parts if p.number not in done]
         while todo:
             parts, rows = [], 0
@@ -353,10 +371,16 @@ class _Load:
             written = self._write_rows(work, parts, chunk)
             self._close_claim()
             self._commit(work, parts, chunk, written)
+            self.unmarked = None
+
+    def _marks(self, work: _Work) -> list[dict]:
+        return [m for m in self.marks if m["round"] == work.round]
 
     def _commit(self, work: _Work, parts: list[_Part], chunk: int, written: dict[int, int]) -> None:
         numbers = [p.number for p in parts]
         self.state.mark_copied(*self.run, chunk, work.round, numbers, written)
+        sums = {f"written_{s}": written.get(s, 0) for s in STEPS}
+        self.marks += [{"round": work.round, "part": p, "chunk": chunk, **sums} for p in numbers]
 
     def _keys(self, work: _Work, parts: list[_Part]) -> DataFrame:
         """(id, step, batch, part) of the rows to copy."""
@@ -370,10 +394,10 @@ class _Load:
 
     def _others_came(self, work: _Work) -> bool:
         """Whether other runs have loaded rows since the list was made."""
-        own = self.state.copied(*self.run).where(F.col("round") == work.round)
-        mine = own.select("chunk").distinct().count() + (self.opened is not None)
-        # Two claims per chunk of this run, the last one being open.
-        return self.version - work.version > 2 * mine
+        mine = len({m["chunk"] for m in self._marks(work)})
+        # Two claims per chunk of this run, and the open one. A chunk that was given
+        # up has made claims too; its rows are then looked for once more.
+        return self.version - work.version > 2 * mine + 1
 
     def _write_rows(self, work: _Work, parts: list[_Part], chunk: int) -> dict[int, int]:
         """Write the rows of some parts as a chunk; gives the rows written per step.
@@ -383,9 +407,10 @@ class _Load:
         rewritten. Ids that have left the source are not written.
         """
         keys = self._keys(work, parts)
+        asked = sum(p.size.rows for p in parts), sum((p.id_sum for p in parts), Decimal(0))
         if self._others_came(work):
             keys = checkpointed(keys)
-        asked = keys.agg(F.count(F.lit(1)), _id_sum()).first()
+            asked = tuple(keys.agg(F.count(F.lit(1)), _id_sum()).first())
         written = {}
         for in_files in (True, False):
             rows = [self._rows_of(part, keys, in_files) for part in parts]
@@ -399,7 +424,7 @@ class _Load:
             self.target.write_chunk(self.run_id, self.attempt, chunk, rows)
             written = {s: found.get[f"step_{s}"] for s in STEPS}
             # Equal numbers and sums of ids: no id is missing and none is there twice.
-            if (found.get["n"], found.get["sum"]) == tuple(asked):
+            if (found.get["n"], found.get["sum"]) == asked:
                 return written
         if self.target.repeated_ids(self.run_id, self.attempt, chunk).head(1):
             raise ValueError("the source holds several rows with one id")
@@ -417,11 +442,9 @@ class _Load:
 
     def _log_round(self, work: _Work, closing: list[int]) -> None:
         """Log the batches of a round, and close its steps if it is the last one."""
-        done = self.state.copied(*self.run).where(F.col("round") == work.round)
-        sums = [F.max(f"written_{s}").alias(f"written_{s}") for s in STEPS]
-        done = done.groupBy("chunk").agg(*sums).collect()  # one row per chunk
-        written = {s: sum(r[f"written_{s}"] for r in done) for s in STEPS}
-        chunks, log = [r["chunk"] for r in done], []
+        done = {m["chunk"]: m for m in self._marks(work)}
+        written = {s: sum(m[f"written_{s}"] for m in done.values()) for s in STEPS}
+        chunks, log = sorted(done), []
         for step in STEPS:
             if work.drawn.get(step):
                 log.append(self._log(step, work.drawn[step], written[step], chunks))
@@ -487,6 +510,14 @@ def _id_sum():
     return F.coalesce(F.sum(F.xxhash64(ID).cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)"))
 
 
+def _sizes() -> list:
+    return [
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.octet_length(ID) + KEY_BYTES).alias("bytes"),
+        _id_sum().alias("id_sum"),
+    ]
+
+
 def run_table(
     state: StateStore,
     table_name: str,
@@ -519,13 +550,17 @@ def run_table(
     config = load_active(state, table_name)
     if reset and run_id is None:
         raise ValueError("a reset needs the id of the run to reset")
+    fresh = run_id is None
     run_id = canonical_value(run_id) or str(uuid.uuid4()).upper()
-    attempt = state.attempt(run_id, table_name)
-    started_at = state.started_at(run_id, table_name, attempt) or settings.clock()
+    attempt, started_at = 1, None
+    if not fresh:
+        attempt = state.attempt(run_id, table_name)
+        started_at = state.started_at(run_id, table_name, attempt)
+    started_at = started_at or settings.clock()
     if reset:
         attempt = state.reset(run_id, table_name, settings.clock())
     frame = read_allowed(state.spark, allowed) if isinstance(allowed, str) else allowed
-    load = _Load(state, config, frame, run_id, attempt, started_at, settings)
+    load = _Load(state, config, frame, run_id, attempt, started_at, settings, fresh)
     try:
         with own_folder(state.spark):
             load.execute()

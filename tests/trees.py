@@ -95,7 +95,7 @@ class Lake:
         self.put(f"{table}_meta", metadata_frame(self.spark, tree))
         self.put("allowed", allowed_frame(self.spark, allowed))
         upsert_config(self.state, self.config_rows(table), datetime(2026, 1, 1))
-        target = TargetTable(self.spark, self.name(f"{table}_tgt")).create()
+        target = TargetTable(self.spark, self.name(f"{table}_tgt")).create(id_buckets=2)
         target.load_initial(source.where(F.col("stream_id").isin(list(held))))
         return target
 
