@@ -10,13 +10,15 @@
 3. In each inverted list the most central member, a pivot, is paired with all
    others. Pairs are filtered by set size and by the similarity that the
    sketch of the union estimates, and then confirmed on the full sets.
-4. Each node has a home, the pivot it met most often. Two similar nodes of one
-   home p share a value outside p, or else all they share lies in p. The
-   first kind meets in lists of the values that p lacks, rarest first; for the
-   second the parts of both that lie in p must be large for their sizes, which
-   few pairs not yet connected satisfy. Similar nodes of different homes meet in
-   the lists of step 2. So n near copies of a text, similar enough to it or not,
-   take about n pairs, and still no link between components is left out.
+4. Each node has a home, the pivot it met most often. What tells a node from its
+   home is its difference, and what tells two nodes of one home apart follows
+   from both differences and what these share. Pairs that are similar whatever
+   their differences share all lead to one node of the home, the one with the
+   most room; each node is paired with that one. Other similar pairs share enough
+   of their differences to meet in lists of the rarest values of these. Similar
+   nodes of different homes meet in the lists of step 2. So n near copies of a
+   text, similar enough to it or not, take about n pairs, and still no link
+   between components is left out.
 """
 
 from __future__ import annotations
@@ -167,32 +169,47 @@ def _cross_pairs(lists: DataFrame, nodes: DataFrame, kind: str, percent: int, ne
     return _ordered(paired.select(F.col("a.node").alias("x"), F.col("b.node").alias("y")))
 
 
-def _size_band(size):
-    return F.floor(F.log(size) / F.log(F.lit(1.02))).cast("int")
+def _slack(n: str, d: str, percent: int):
+    """What the difference `d` to the home leaves of the difference that a link allows.
 
+    Sets of n and m values are linked if (100 + percent) * (values of one of them
+    only) <= (100 - percent) * (n + m). With c values that their differences
+    share this says: slack + other slack + 2 * (100 + percent) * c >= 0.
+    """
+    return (100 - percent) * F.col(n) - (100 + percent) * F.col(d)
 
-def _inside_pairs(relative: DataFrame, percent: int) -> DataFrame:
-    """Unconnected pairs of one home whose parts inside it are large enough for both."""
-    # Shared shingles must be at least percent / (100 + percent) of both sizes together.
-    reach = F.floor(F.col("inside") * (100 + percent) / percent) - F.col("n")
-    able = relative.withColumn("reach", reach).where(F.col("reach") * 100 >= F.col("n") * percent)
-    # The larger of a pair asks for sizes that it can reach, at most its own.
-    bands = F.sequence(
-        _size_band(F.greatest(F.lit(1), F.floor(F.col("n") * percent / 100))),
-        _size_band(F.least("n", "reach")),
-    )
-    asking = able.select("home", "part", F.col("node").alias("x"), "n", "reach", F.explode(bands).alias("band"))
-    asked = able.select(
-        "home",
-        F.col("part").alias("other"),
-        F.col("node").alias("y"),
-        F.col("n").alias("m"),
-        F.col("reach").alias("other_reach"),
-        _size_band(F.col("n")).alias("band"),
+
+def _roomy_pairs(relative: DataFrame) -> DataFrame:
+    """Each node with the node of its home that has most slack, if that makes a link.
+
+    Two nodes that are linked although their differences share nothing are both
+    linked with that one, as it has at least the slack of either.
+    """
+    own = F.max(F.struct("slack", "node")).alias("own")
+    homes = relative.groupBy("home", "home_slack").agg(own)
+    roomy = F.greatest(F.col("own"), F.struct(F.col("home_slack").alias("slack"), F.col("home").alias("node")))
+    homes = homes.select("home", roomy.alias("most"))
+    pairs = relative.join(homes, "home").where(F.col("slack") + F.col("most.slack") >= 0)
+    pairs = pairs.select(F.col("node").alias("x"), F.col("most.node").alias("y"))
+    return _ordered(pairs.where(F.col("x") != F.col("y")))
+
+
+def _difference_lists(relative: DataFrame, percent: int) -> DataFrame:
+    """Inverted lists, per home, of the rarest values of each node's difference."""
+    homes = relative.groupBy("home").agg(F.max(F.greatest("slack", "home_slack")).alias("most"))
+    step, size = 2 * (100 + percent), F.col("d")
+    by_slack = F.ceil(-(F.col("slack") + F.col("most")) / step)
+    # A partner of at most so many values can only be so far from the home.
+    largest = F.col("n") + F.floor(F.col("n") * 100 / percent)
+    by_size = size - F.floor(largest * (100 - percent) / (100 + percent))
+    need = F.greatest(F.lit(1), by_slack, by_size)
+    entries = relative.join(homes, "home").withColumn("need", need).where(F.col("need") <= size)
+    return _rarest(
+        entries.select(
+            "node", "n", "slack", size.alias("size"), "need",
+            F.explode(F.transform("diff", lambda v: F.xxhash64("home", v))).alias("value"),
+        )
     )
-    fit = (F.col("m") <= F.col("reach")) & (F.col("n") <= F.col("other_reach"))
-    paired = asking.join(asked, ["home", "band"])
-    return _ordered(paired.where((F.col("part") != F.col("other")) & fit & _sizes_fit(percent)))
 
 
 def linked_nodes(sketches: DataFrame, sets_of, percent: int, k: int) -> DataFrame | None:
@@ -219,45 +236,41 @@ def linked_nodes(sketches: DataFrame, sets_of, percent: int, k: int) -> DataFram
 
     homes = met.groupBy(F.col("x").alias("node")).agg(F.max(F.struct("times", "y")).alias("most"))
     homes = homes.select("node", F.col("most.y").alias("home"))
-    nodes = checkpointed(
-        active.select("node", "n")
-        .join(homes, "node")
-        .join(components(links), "node", "left")
-        .select("node", "n", "home", F.coalesce("component", "node").alias("part"))
-    )
+    placed = active.select("node", "n").join(homes, "node")
+
+    def in_parts(links: DataFrame) -> DataFrame:
+        return checkpointed(
+            placed.join(components(links), "node", "left").select(
+                "node", "n", "home", F.coalesce("component", "node").alias("part")
+            )
+        )
+
+    nodes = in_parts(links)
     apart = _cross_pairs(lists, nodes, "home", percent, F.least("a.need", "b.need"))
 
-    # Of each node what its home lacks, unless all of the home is one component.
+    # Of each node its difference from its home, unless all of the home is one component.
     open_homes = nodes.groupBy("home").agg(F.min("part").alias("p"), F.max("part").alias("q"))
     open_homes = open_homes.where(F.col("p") != F.col("q")).select("home")
+    difference = F.concat(F.array_except("items", "base"), F.array_except("base", "items"))
     relative = (
         nodes.where(F.col("node") != F.col("home"))
         .join(open_homes, "home")
         .join(sets, "node")
         .join(sets.select(F.col("node").alias("home"), F.col("items").alias("base")), "home")
-        .select("node", "n", "home", "part", F.array_except("items", "base").alias("extra"))
-        .withColumn("inside", F.col("n") - F.size("extra"))
+        .select("node", "n", "home", F.size("base").cast("long").alias("m"), difference.alias("diff"))
+        .withColumn("d", F.size("diff").cast("long"))
+        .withColumn("slack", _slack("n", "d", percent))
+        .withColumn("home_slack", (100 - percent) * F.col("m"))
     )
     relative = checkpointed(relative)
-    size = F.size("extra")
-    need = F.greatest(F.lit(1), F.ceil(F.col("n") * percent / 100) - F.col("inside"))
-    entries = relative.where(need <= size).select(
-        "node",
-        "n",
-        "home",
-        "inside",
-        size.alias("size"),
-        need.alias("need"),
-        F.explode("extra").alias("value"),
-    )
-    outside = _rarest(entries.withColumn("value", F.xxhash64("home", "value")).drop("home"))
-    # What two sets of these sizes must share, less what they can share within the home.
-    shared = F.ceil((F.col("a.n") + F.col("b.n")) * percent / (100 + percent))
-    missing = shared - F.least("a.inside", "b.inside")
-    outside = _cross_pairs(outside, nodes, "part", percent, missing)
-    inside = _inside_pairs(relative.drop("extra"), percent)
-
-    more = apart.unionByName(outside).unionByName(inside).distinct()
+    roomy = _roomy_pairs(relative).join(tested, ["a", "b"], "left_anti")
+    links = checkpointed(links.unionByName(_confirmed(roomy, sets, percent)))
+    nodes = in_parts(links)
+    lists = _difference_lists(relative, percent)
+    shared = F.ceil(-(F.col("a.slack") + F.col("b.slack")) / (2 * (100 + percent)))
+    outside = _cross_pairs(lists, nodes, "part", percent, shared)
+
+    more = apart.unionByName(outside).distinct()
     more = checkpointed(more.join(tested, ["a", "b"], "left_anti"))
     found = _confirmed(_estimated(more, active, k, least), sets, percent)
     return components(checkpointed(links.unionByName(found)))
