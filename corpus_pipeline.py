@@ -16,16 +16,18 @@ from grovelift.llm.neardup import BROADCAST_IDS, near_duplicates
 from grovelift.llm.packing import pack_documents
 from grovelift.llm.toxicity import fit_toxicity
 
-# A text goes if no language is likelier than all others together.
-LEAST_LANGUAGE_SCORE = 0.5
 TOXIC_SCORE = 0.5
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language; `und` and undecided ones go."""
+    """Documents in languages that were learnt; those of which nothing can be told go.
+
+    These are texts without a letter, and texts none of whose characters occurs
+    in a learnt language (score 0). A text in several languages stays.
+    """
     predicted = predict_languages(docs, fit_on_folds(docs), docs.columns)
-    clear = (F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= LEAST_LANGUAGE_SCORE)
-    return predicted.where(clear).select("row.*")
+    told = (F.col("lang_pred") != UNDETERMINED) & (F.col("score") > 0)
+    return predicted.where(told).select("row.*")
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
