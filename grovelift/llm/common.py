@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,8 +23,19 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 
 def with_text(rows: DataFrame, kept: list[str]) -> DataFrame:
-    """`row`, a struct of the kept columns, and `text`: no kept name can clash with others."""
-    return rows.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), "text")
+    """`row`, a struct of the kept columns, and `text`: no kept name can clash with others.
+
+    A text that is kept is there once, in the struct (see `texts_of`).
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row")
+    return rows.select(row) if "text" in kept else rows.select(row, "text")
+
+
+def texts_of(batch: pa.RecordBatch) -> pa.Array:
+    """The texts of a batch of rows made by `with_text`."""
+    if "text" in batch.schema.names:
+        return batch.column("text")
+    return batch.column("row").field("text")
 
 
 def with_columns(rows: DataFrame, **types: T.DataType) -> T.StructType:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from grovelift.llm.common import checkpointed, fold, with_columns, with_text
+from grovelift.llm.common import checkpointed, fold, texts_of, with_columns, with_text
 
 MODEL_WORDS = 50_000
 MODEL_NGRAMS = 50_000
@@ -35,8 +35,8 @@ PENALTY = -7.0
 UNDETERMINED = "und"
 HELD_OUT_FOLD, FOLDS = 1, 3
 # Distinct (language, word) pairs that a task holds before it passes counts on.
-_HELD_COUNTS = 400_000
-_CACHED_WORDS = 200_000
+_HELD_COUNTS = 150_000
+_CACHED_WORDS = 50_000
 _BUCKETS = 64
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -162,9 +162,9 @@ def _scores(terms: dict[str, dict[str, int]], langs: list[str], totals: list[int
 class LanguageModel:
     """Scores of words and n-grams per language, made of `parts` that tasks can be sent."""
 
-    def __init__(self, langs, words, word_scores, grams, gram_scores, longest):
-        self.parts = (langs, words, word_scores, grams, gram_scores, longest)
-        self.langs, self.longest = langs, longest
+    def __init__(self, langs, usual, words, word_scores, grams, gram_scores, longest):
+        self.parts = (langs, usual, words, word_scores, grams, gram_scores, longest)
+        self.langs, self.usual, self.longest = langs, usual, longest
         self.words = {w: i for i, w in enumerate(words)}
         self.grams = {g: i for i, g in enumerate(grams)}
         self.word_scores, self.gram_scores = word_scores, gram_scores
@@ -195,7 +195,11 @@ class LanguageModel:
         return [i for i in map(self.seen.get, words) if i is not None]
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        """The language and, from 0 to 1, how far its mean word is likelier there."""
+        """The language and, from 0 to 1, how far its mean word is likelier there.
+
+        Of words without any known character nothing can be said: they get the
+        language with most words, with score 0.
+        """
         words = words_of(text) if text else []
         if not words or not self.langs:
             return UNDETERMINED, 0.0
@@ -208,7 +212,7 @@ class LanguageModel:
             total += self.seen_scores[rows].sum(axis=0, dtype=np.float64)
             n += len(rows)
         if not n:
-            return UNDETERMINED, 0.0
+            return self.usual, 0.0
         mean = total / n * math.log(10)
         chances = np.exp(mean - mean.max())
         best = int(np.argmax(mean))
@@ -246,14 +250,17 @@ def fit_languages(
     for n in range(1, longest + 1):
         some = {g: by for g, by in top_grams.items() if len(g) == n}
         gram_scores[kinds == n] = _scores(some, langs, [gram_sizes.get((x, n), 1) for x in langs])
-    return LanguageModel(langs, list(top_words), word_scores, list(top_grams), gram_scores, longest)
+    usual = max(langs, key=lambda x: (sizes[x], x), default=UNDETERMINED)
+    return LanguageModel(
+        langs, usual, list(top_words), word_scores, list(top_grams), gram_scores, longest
+    )
 
 
 def _predict_batches(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = LanguageModel(*shared.value)
         for batch in batches:
-            found = [model.predict(t.as_py()) for t in batch.column("text")]
+            found = [model.predict(t.as_py()) for t in texts_of(batch)]
             names = pa.array([f[0] for f in found], pa.string())
             scores = pa.array([f[1] for f in found], pa.float64())
             columns = [batch.column("row"), names, scores]
@@ -280,7 +287,8 @@ def identify_languages(documents: DataFrame) -> DataFrame:
 
     Rows with a null text or lang are not learnt from. A text that is null or
     has no letter is `und` with score 0, and so is every text if nothing could
-    be learnt or none of its characters was ever seen. Equally likely languages
+    be learnt. A text none of whose characters was ever seen gets the language
+    with most words learnt, with score 0. Equally likely languages
     are taken in alphabetical order. A row without doc_id is learnt from and
     predicted like others; repeated rows count as often as they occur.
     """

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from grovelift.llm.common import checkpointed, spelled, with_columns, with_text
+from grovelift.llm.common import checkpointed, spelled, texts_of, with_columns, with_text
 from grovelift.operators.sizing import BROADCAST_LIMIT_BYTES
 
 LEAST_WORDS = 50
@@ -100,7 +100,7 @@ def text_counts(text: str | None) -> tuple[int, ...]:
 
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [text_counts(t.as_py()) for t in batch.column("text")]
+        found = [text_counts(t.as_py()) for t in texts_of(batch)]
         columns = [pa.array([f[i] for f in found], pa.int64()) for i in range(len(_COUNTS))]
         yield pa.RecordBatch.from_arrays([batch.column("row"), *columns], ["row", *_COUNTS])
 

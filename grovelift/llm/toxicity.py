@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from grovelift.llm.common import checkpointed, fold, with_columns, with_text
+from grovelift.llm.common import checkpointed, fold, texts_of, with_columns, with_text
 
 HELD_OUT_FOLD, FOLDS = 0, 5
 # Labelled rows per class that are learnt from.
@@ -193,7 +193,7 @@ def _feature_batches(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicons = shared.value
         for batch in batches:
-            rows = [features_of(t.as_py(), lexicons["word"], lexicons["stem"]) for t in batch.column("text")]
+            rows = [features_of(t.as_py(), lexicons["word"], lexicons["stem"]) for t in texts_of(batch)]
             matrix = np.array(rows, np.float64).reshape(-1, len(FEATURES))
             columns = [batch.column("row"), *(pa.array(matrix[:, j]) for j in range(len(FEATURES)))]
             yield pa.RecordBatch.from_arrays(columns, ["row", *FEATURES])
