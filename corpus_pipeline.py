@@ -17,6 +17,12 @@ from grovelift.llm.packing import pack_documents
 from grovelift.llm.toxicity import fit_toxicity
 
 TOXIC_SCORE = 0.5
+# Rows that a Python worker gets at once: whole documents, some of them very long.
+ROWS_PER_BATCH = 1_000
+
+
+def _in_small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_PER_BATCH)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,6 +31,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     These are texts without a letter, and texts none of whose characters occurs
     in a learnt language (score 0). A text in several languages stays.
     """
+    _in_small_batches(spark)
     predicted = predict_languages(docs, fit_on_folds(docs), docs.columns)
     told = (F.col("lang_pred") != UNDETERMINED) & (F.col("score") > 0)
     return predicted.where(told).select("row.*")
@@ -32,6 +39,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not toxic."""
+    _in_small_batches(spark)
     model = fit_toxicity(docs, table(spark, sf_dir, "labels"))
     return model.score(docs, docs.columns).where(F.col("score") < TOXIC_SCORE).select("row.*")
 
@@ -43,6 +51,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     one stays; an id with several texts goes if none of them is kept. A row
     without id belongs to no group and stays.
     """
+    _in_small_batches(spark)
     found = checkpointed(near_duplicates(docs)).where(F.col("doc_id").isNotNull())
     ids = found.groupBy("doc_id").agg(
         F.max(F.col("kept").cast("int")).alias("kept"), F.count(F.lit(1)).alias("n")
@@ -62,6 +71,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their places in sequences."""
+    _in_small_batches(spark)
     return pack_documents(docs)
 
 
