@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +33,12 @@ def with_text(rows: DataFrame, kept: list[str]) -> DataFrame:
     return rows.select(row) if "text" in kept else rows.select(row, "text")
 
 
+def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same batches; at their end the worker, which goes on, gives unused memory back."""
+    yield from batches
+    pa.default_memory_pool().release_unused()
+
+
 def texts_of(batch: pa.RecordBatch) -> pa.Array:
     """The texts of a batch of rows made by `with_text`."""
     if "text" in batch.schema.names:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from grovelift.llm.common import checkpointed, fold, texts_of, with_columns, with_text
+from grovelift.llm.common import checkpointed, fold, released, texts_of, with_columns, with_text
 
 MODEL_WORDS = 50_000
 MODEL_NGRAMS = 50_000
@@ -274,7 +274,8 @@ def predict_languages(documents: DataFrame, model: LanguageModel, kept: list[str
     shared = documents.sparkSession.sparkContext.broadcast(model.parts)
     rows = with_text(documents, kept)
     schema = with_columns(rows, lang_pred=T.StringType(), score=T.DoubleType())
-    return rows.mapInArrow(_predict_batches(shared), schema)
+    predict = _predict_batches(shared)
+    return rows.mapInArrow(lambda batches: released(predict(batches)), schema)
 
 
 def fit_on_folds(documents: DataFrame) -> LanguageModel:

@@ -213,7 +213,7 @@ def _difference_lists(relative: DataFrame, percent: int) -> DataFrame:
 
 
 def linked_nodes(sketches: DataFrame, sets_of, percent: int, k: int) -> DataFrame | None:
-    """(node, component) of every node linked with another; None if no list has two."""
+    """(node, component) of every node that meets another; None if no list has two."""
     least = least_overlap(k, percent)
     size = F.size("sketch")
     need = F.greatest(F.lit(1), F.floor(size * least / k))
@@ -236,16 +236,12 @@ def linked_nodes(sketches: DataFrame, sets_of, percent: int, k: int) -> DataFram
 
     homes = met.groupBy(F.col("x").alias("node")).agg(F.max(F.struct("times", "y")).alias("most"))
     homes = homes.select("node", F.col("most.y").alias("home"))
-    placed = active.select("node", "n").join(homes, "node")
-
-    def in_parts(links: DataFrame) -> DataFrame:
-        return checkpointed(
-            placed.join(components(links), "node", "left").select(
-                "node", "n", "home", F.coalesce("component", "node").alias("part")
-            )
-        )
-
-    nodes = in_parts(links)
+    nodes = checkpointed(
+        active.select("node", "n")
+        .join(homes, "node")
+        .join(components(links), "node", "left")
+        .select("node", "n", "home", F.coalesce("component", "node").alias("part"))
+    )
     apart = _cross_pairs(lists, nodes, "home", percent, F.least("a.need", "b.need"))
 
     # Of each node its difference from its home, unless all of the home is one component.
@@ -263,17 +259,23 @@ def linked_nodes(sketches: DataFrame, sets_of, percent: int, k: int) -> DataFram
         .withColumn("home_slack", (100 - percent) * F.col("m"))
     )
     relative = checkpointed(relative)
-    roomy = _roomy_pairs(relative).join(tested, ["a", "b"], "left_anti")
-    links = checkpointed(links.unionByName(_confirmed(roomy, sets, percent)))
-    nodes = in_parts(links)
     lists = _difference_lists(relative, percent)
     shared = F.ceil(-(F.col("a.slack") + F.col("b.slack")) / (2 * (100 + percent)))
     outside = _cross_pairs(lists, nodes, "part", percent, shared)
 
-    more = apart.unionByName(outside).distinct()
+    more = apart.unionByName(outside).unionByName(_roomy_pairs(relative)).distinct()
     more = checkpointed(more.join(tested, ["a", "b"], "left_anti"))
     found = _confirmed(_estimated(more, active, k, least), sets, percent)
-    return components(checkpointed(links.unionByName(found)))
+    # What was found joins components that are known, so only these are gone through again.
+    parts = nodes.select("node", "part")
+    for side in "ab":
+        own = parts.select(F.col("node").alias(side), F.col("part").alias(f"{side}_part"))
+        found = found.join(own, side)
+    whole = components(found, "a_part", "b_part")
+    whole = whole.select(F.col("node").alias("part"), F.col("component").alias("whole"))
+    return parts.join(whole, "part", "left").select(
+        "node", F.coalesce("whole", "part").alias("component")
+    )
 
 
 def near_duplicates(
