@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -24,6 +25,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def free_finished(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of steps that nothing refers to any more.
+
+    It does so when the driver collects its garbage, which a driver with little
+    to do may not for hours, while many rounds leave their files on the executors.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def with_text(rows: DataFrame, kept: list[str]) -> DataFrame:
     """`row`, a struct of the kept columns, and `text`: no kept name can clash with others.
 

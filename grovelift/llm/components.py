@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grovelift.llm.common import checkpointed
+from grovelift.llm.common import checkpointed, free_finished
 
 
 def _minimum(edges: DataFrame) -> DataFrame:
@@ -48,6 +48,7 @@ def components(pairs: DataFrame, first: str = "a", second: str = "b") -> DataFra
             .distinct()
         )
         edges = checkpointed(small)
+        free_finished(edges.sparkSession)
         new = _state(edges)
         if new == state:
             break

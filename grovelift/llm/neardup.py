@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from grovelift.llm.common import checkpointed
+from grovelift.llm.common import checkpointed, free_finished
 from grovelift.llm.components import components
 from grovelift.llm.shingles import digest, shingle_sets
 
@@ -225,6 +225,7 @@ def linked_nodes(sketches: DataFrame, sets_of, percent: int, k: int) -> DataFram
     if active.isEmpty():
         return None
     sets = checkpointed(sets_of(active))
+    free_finished(sets.sparkSession)
 
     pivots = lists.groupBy("value").agg(F.max(F.struct("central", "node", "n")).alias("best"))
     hubs = pivots.select("value", F.col("best.node").alias("y"), F.col("best.n").alias("m"))
@@ -259,12 +260,14 @@ def linked_nodes(sketches: DataFrame, sets_of, percent: int, k: int) -> DataFram
         .withColumn("home_slack", (100 - percent) * F.col("m"))
     )
     relative = checkpointed(relative)
+    free_finished(relative.sparkSession)
     lists = _difference_lists(relative, percent)
     shared = F.ceil(-(F.col("a.slack") + F.col("b.slack")) / (2 * (100 + percent)))
     outside = _cross_pairs(lists, nodes, "part", percent, shared)
 
     more = apart.unionByName(outside).unionByName(_roomy_pairs(relative)).distinct()
     more = checkpointed(more.join(tested, ["a", "b"], "left_anti"))
+    free_finished(more.sparkSession)
     found = _confirmed(_estimated(more, active, k, least), sets, percent)
     # What was found joins components that are known, so only these are gone through again.
     parts = nodes.select("node", "part")
