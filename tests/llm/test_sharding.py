@@ -89,3 +89,15 @@ def test_null_text_has_no_bytes(documents):
 
 def test_empty(documents):
     assert sharded_documents(documents([]), 3).collect() == []
+
+
+def test_whole_rows_move(spark):
+    """Rows arrive as they were, also very long ones and ones that differ by where a null stands."""
+    rows = [(1, "a", None), (1, None, "a"), (2, "long " * 200_000, "x"), (2, "", None)] + [(3, "b", "c")] * 30
+    frame = spark.createDataFrame(rows, "doc_id long, text string, slot_of string")
+    out = shard_rows(frame, 4).collect()
+    assert Counter((r.doc_id, r.text, r.slot_of) for r in out) == Counter(rows)
+    assert sorted(Counter(r.shard for r in out).values()) == [8, 8, 9, 9]
+    for shard in range(4):
+        slots = sorted(r.slot for r in out if r.shard == shard)
+        assert slots == list(range(len(slots)))
