@@ -34,29 +34,36 @@ LEAST_BUCKETS = 32
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 _PIECES_PER_BATCH = 50_000
+_IDS_PER_BATCH = 1_000_000
+_BYTES_PER_ID = 4
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
-def _piece_batches(capacity: int, tokenizer: str, ranks: str | None, pattern: str | None):
-    names = [f.split()[0] for f in _PIECES.split(", ")]
+def _piece_batches(capacity: int, tokenizer: str, ranks: str | None, pattern: str | None, ids: bool):
+    schema = pa.schema([(f.split()[0], pa.int64()) for f in _PIECES.split(", ")])
+    if ids:
+        schema = schema.append(pa.field("ids", pa.binary()))
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-        columns = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)]
-        return pa.RecordBatch.from_arrays(columns, names)
+        columns = zip(*rows, strict=True)
+        arrays = [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)]
+        return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, rows = ByteBpe(tokenizer, ranks, pattern), []
+        encoder, rows, held = ByteBpe(tokenizer, ranks, pattern), [], 0
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
-                ids = np.append(encoder.encode(text.as_py() or ""), np.uint32(END_ID))
-                ids = ids.astype("<u4")
-                for start in range(0, len(ids), capacity):
-                    piece = ids[start : start + capacity]
-                    crc = zlib.crc32(piece.tobytes())
-                    rows.append((doc_id.as_py(), start, len(piece), crc, len(ids)))
-                if len(rows) >= _PIECES_PER_BATCH:
-                    yield batch_of(rows)
-                    rows = []
+                found = np.append(encoder.encode(text.as_py() or ""), np.uint32(END_ID))
+                found = found.astype("<u4")
+                for start in range(0, len(found), capacity):
+                    piece = found[start : start + capacity].tobytes()
+                    length = len(piece) // _BYTES_PER_ID
+                    row = (doc_id.as_py(), start, length, zlib.crc32(piece), len(found))
+                    rows.append((*row, piece) if ids else row)
+                    held += length
+                    if len(rows) >= _PIECES_PER_BATCH or ids and held >= _IDS_PER_BATCH:
+                        yield batch_of(rows)
+                        rows, held = [], 0
         if rows:
             yield batch_of(rows)
 
@@ -69,10 +76,15 @@ def token_pieces(
     tokenizer: str = TOKENIZER,
     ranks: str | None = RANKS,
     pattern: str | None = public_tokenizers.PATTERN,
+    with_ids: bool = False,
 ) -> DataFrame:
-    """The ids of each document and an end id, cut at multiples of `capacity`."""
+    """The ids of each document and an end id, cut at multiples of `capacity`.
+
+    With `with_ids` a column `ids` holds them, as little-endian unsigned 32-bit values.
+    """
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(_piece_batches(capacity, tokenizer, ranks, pattern), _PIECES)
+    schema = _PIECES + ", ids binary" if with_ids else _PIECES
+    return rows.mapInArrow(_piece_batches(capacity, tokenizer, ranks, pattern, with_ids), schema)
 
 
 def _runs(patterns: list[tuple[int, dict[int, int]]]) -> dict[int, list[tuple[int, int, int]]]:
@@ -140,3 +152,47 @@ def pack_documents(documents: DataFrame) -> DataFrame:
     Very long texts are cut into many pieces. Without documents there are no rows.
     """
     return pack_pieces(token_pieces(documents))
+
+
+def packed_sequences(documents: DataFrame, capacity: int = CAPACITY, unit: int = UNIT) -> DataFrame:
+    """One row per sequence: sequence_id, n_tokens, ids and pieces.
+
+    `ids` are the ids of all pieces, one after another, as little-endian unsigned
+    32-bit values, filled up with zeros to `capacity`; `n_tokens` of them are not
+    filling. `pieces` tells, in order, what lies where: (offset, doc_id, start,
+    length, doc_tokens). Odd rows are treated as in `pack_documents`.
+    """
+    placed = pack_pieces(token_pieces(documents, capacity, with_ids=True), capacity, unit)
+    piece = F.struct("offset", "doc_id", "start", "length", "doc_tokens", "ids")
+    # A sequence has at most `capacity` pieces.
+    sequences = placed.groupBy("sequence_id").agg(
+        F.sum("length").alias("n_tokens"), F.array_sort(F.collect_list(piece)).alias("pieces")
+    )
+    nothing = F.lit(b"")
+    ids = F.aggregate("pieces", nothing, lambda held, p: F.concat(held, p["ids"]))
+    fields = ("offset", "doc_id", "start", "length", "doc_tokens")
+    return sequences.select(
+        "sequence_id",
+        "n_tokens",
+        F.rpad(ids, F.lit(capacity * _BYTES_PER_ID), F.lit(bytes(1))).alias("ids"),
+        F.transform("pieces", lambda p: F.struct(*[p[f].alias(f) for f in fields])).alias("pieces"),
+    )
+
+
+def piece_digests(sequences: DataFrame) -> DataFrame:
+    """The rows of `pack_documents`, read back from whole sequences."""
+    rows = sequences.select("sequence_id", "ids", F.explode("pieces").alias("piece"))
+    own = F.substring(
+        "ids",
+        (F.col("piece.offset") * _BYTES_PER_ID + 1).cast("int"),
+        (F.col("piece.length") * _BYTES_PER_ID).cast("int"),
+    )
+    return rows.select(
+        "piece.doc_id",
+        "piece.start",
+        "piece.length",
+        F.crc32(own).alias("ids_crc32"),
+        "piece.doc_tokens",
+        "sequence_id",
+        "piece.offset",
+    )

@@ -17,7 +17,7 @@ from grovelift.llm.merkle import audited_manifest
 from grovelift.llm.merkle import oracle_sql as merkle_sql
 from grovelift.llm.neardup import near_duplicates
 from grovelift.llm.outliers import judge_documents
-from grovelift.llm.packing import pack_documents
+from grovelift.llm.packing import packed_sequences, piece_digests
 from grovelift.llm.quality import classify_quality
 from grovelift.llm.sentencepiece_codec import encoded_digests
 from grovelift.llm.sharding import sharded_documents
@@ -56,7 +56,7 @@ def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(table(spark, sf_dir, "documents"))
+    return piece_digests(packed_sequences(table(spark, sf_dir, "documents")))
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,15 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from grovelift.llm.cutting_stock import plan
-from grovelift.llm.packing import CAPACITY, RANKS, TOKENIZER, pack_documents, pack_pieces
+from grovelift.llm.packing import (
+    CAPACITY,
+    RANKS,
+    TOKENIZER,
+    pack_documents,
+    pack_pieces,
+    packed_sequences,
+    piece_digests,
+)
 from grovelift.llm.tokens import ByteBpe
 
 ENCODER = ByteBpe(TOKENIZER, RANKS, public_tokenizers.PATTERN)
@@ -66,6 +74,22 @@ def test_odd_documents(documents):
     checked(rows, pack_documents(documents(rows)).toPandas())
 
 
+def test_sequences_hold_the_ids(documents):
+    rows = [(1, None), (2, ""), (3, "word " * 5000), (4, "<|endoftext|>"), (5, "some more words")]
+    sequences = packed_sequences(documents(rows))
+    checked(rows, piece_digests(sequences).toPandas())
+    found = {}
+    for s in sequences.collect():
+        ids = np.frombuffer(s.ids, "<u4")
+        assert len(ids) == CAPACITY and not ids[s.n_tokens :].any()
+        for p in s.pieces:
+            found[p.doc_id, p.start] = ids[p.offset : p.offset + p.length].tolist()
+    for doc_id, text in rows:
+        own = [ids for (d, _), ids in sorted(found.items()) if d == doc_id]
+        assert sum(own, []) == ids_of(text)
+    assert packed_sequences(documents([])).collect() == []
+
+
 def test_repeated_rows_and_missing_ids(documents):
     out = pack_documents(documents([(1, "a"), (1, "a"), (None, "a")])).toPandas()
     assert out.length.tolist() == [2, 2, 2] and out.doc_id.isna().sum() == 1
