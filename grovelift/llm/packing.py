@@ -39,9 +39,16 @@ _BYTES_PER_ID = 4
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
-def _piece_batches(capacity: int, tokenizer: str, ranks: str | None, pattern: str | None, ids: bool):
+def _id_bytes(tokenizer: str) -> int:
+    """Bytes that each id takes on its way: 2 if all ids of the vocabulary fit."""
+    from tokenizers import Tokenizer
+
+    return 2 if Tokenizer.from_file(tokenizer).get_vocab_size() <= 1 << 16 else _BYTES_PER_ID
+
+
+def _piece_batches(capacity: int, tokenizer: str, ranks: str | None, pattern: str | None, width: int):
     schema = pa.schema([(f.split()[0], pa.int64()) for f in _PIECES.split(", ")])
-    if ids:
+    if width:
         schema = schema.append(pa.field("ids", pa.binary()))
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
@@ -56,12 +63,12 @@ def _piece_batches(capacity: int, tokenizer: str, ranks: str | None, pattern: st
                 found = np.append(encoder.encode(text.as_py() or ""), np.uint32(END_ID))
                 found = found.astype("<u4")
                 for start in range(0, len(found), capacity):
-                    piece = found[start : start + capacity].tobytes()
-                    length = len(piece) // _BYTES_PER_ID
-                    row = (doc_id.as_py(), start, length, zlib.crc32(piece), len(found))
-                    rows.append((*row, piece) if ids else row)
-                    held += length
-                    if len(rows) >= _PIECES_PER_BATCH or ids and held >= _IDS_PER_BATCH:
+                    piece = found[start : start + capacity]
+                    crc = zlib.crc32(piece.tobytes())
+                    row = (doc_id.as_py(), start, len(piece), crc, len(found))
+                    rows.append((*row, piece.astype(f"<u{width}").tobytes()) if width else row)
+                    held += len(piece)
+                    if len(rows) >= _PIECES_PER_BATCH or width and held >= _IDS_PER_BATCH:
                         yield batch_of(rows)
                         rows, held = [], 0
         if rows:
@@ -76,15 +83,15 @@ def token_pieces(
     tokenizer: str = TOKENIZER,
     ranks: str | None = RANKS,
     pattern: str | None = public_tokenizers.PATTERN,
-    with_ids: bool = False,
+    id_bytes: int = 0,
 ) -> DataFrame:
     """The ids of each document and an end id, cut at multiples of `capacity`.
 
-    With `with_ids` a column `ids` holds them, as little-endian unsigned 32-bit values.
+    With `id_bytes` a column `ids` holds them, as little-endian values of so many bytes.
     """
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    schema = _PIECES + ", ids binary" if with_ids else _PIECES
-    return rows.mapInArrow(_piece_batches(capacity, tokenizer, ranks, pattern, with_ids), schema)
+    schema = _PIECES + ", ids binary" if id_bytes else _PIECES
+    return rows.mapInArrow(_piece_batches(capacity, tokenizer, ranks, pattern, id_bytes), schema)
 
 
 def _runs(patterns: list[tuple[int, dict[int, int]]]) -> dict[int, list[tuple[int, int, int]]]:
@@ -154,29 +161,47 @@ def pack_documents(documents: DataFrame) -> DataFrame:
     return pack_pieces(token_pieces(documents))
 
 
+def _filled_up(capacity: int, width: int):
+    """Ids of `width` bytes as 32-bit values, with zeros up to `capacity`."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.schema.get_field_index("ids")
+            filled = []
+            for ids in batch.column(at):
+                held = np.frombuffer(ids.as_py(), f"<u{width}").astype("<u4")
+                filled.append(np.pad(held, (0, capacity - len(held))).tobytes())
+            yield batch.set_column(at, "ids", pa.array(filled, pa.binary()))
+
+    return run
+
+
 def packed_sequences(documents: DataFrame, capacity: int = CAPACITY, unit: int = UNIT) -> DataFrame:
-    """One row per sequence: sequence_id, n_tokens, ids and pieces.
+    """One row per sequence: sequence_id, n_tokens, pieces and ids.
 
     `ids` are the ids of all pieces, one after another, as little-endian unsigned
     32-bit values, filled up with zeros to `capacity`; `n_tokens` of them are not
     filling. `pieces` tells, in order, what lies where: (offset, doc_id, start,
-    length, doc_tokens). Odd rows are treated as in `pack_documents`.
+    length, doc_tokens). Odd rows are treated as in `pack_documents`. On their way
+    ids are as short as the vocabulary allows.
     """
-    placed = pack_pieces(token_pieces(documents, capacity, with_ids=True), capacity, unit)
+    width = _id_bytes(TOKENIZER)
+    pieces = token_pieces(documents, capacity, id_bytes=width).drop("ids_crc32")
+    placed = pack_pieces(pieces, capacity, unit)
     piece = F.struct("offset", "doc_id", "start", "length", "doc_tokens", "ids")
     # A sequence has at most `capacity` pieces.
     sequences = placed.groupBy("sequence_id").agg(
         F.sum("length").alias("n_tokens"), F.array_sort(F.collect_list(piece)).alias("pieces")
     )
-    nothing = F.lit(b"")
-    ids = F.aggregate("pieces", nothing, lambda held, p: F.concat(held, p["ids"]))
+    ids = F.aggregate("pieces", F.lit(b""), lambda held, p: F.concat(held, p["ids"]))
     fields = ("offset", "doc_id", "start", "length", "doc_tokens")
-    return sequences.select(
+    whole = sequences.select(
         "sequence_id",
         "n_tokens",
-        F.rpad(ids, F.lit(capacity * _BYTES_PER_ID), F.lit(bytes(1))).alias("ids"),
         F.transform("pieces", lambda p: F.struct(*[p[f].alias(f) for f in fields])).alias("pieces"),
+        ids.alias("ids"),
     )
+    return whole.mapInArrow(_filled_up(capacity, width), whole.schema)
 
 
 def piece_digests(sequences: DataFrame) -> DataFrame:
