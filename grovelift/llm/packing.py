@@ -29,8 +29,8 @@ from grovelift.llm.tokens import ByteBpe
 CAPACITY = 1024
 UNIT = 8
 END_ID = 0
-ROWS_PER_BUCKET = 200_000
-LEAST_BUCKETS = 32
+# Rows of 32 bytes, one per partition and length class, that are broadcast.
+BROADCAST_RUNS = 500_000
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 _PIECES_PER_BATCH = 50_000
@@ -111,32 +111,34 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, unit: int = UNIT) -
     """Adds sequence_id and offset to pieces with a `length` from 1 to `capacity`.
 
     Sequence ids are gapless from 0. Pieces of one length are interchangeable
-    and ranked by a hash and the doc_id; an empty frame stays empty.
+    and ranked by where they lie: each partition is sorted by length once, so a
+    rank follows from the place in the partition and the counts of the partitions
+    before it, and only the way into sequences moves pieces. An empty frame stays
+    empty.
     """
     spark, columns = pieces.sparkSession, pieces.columns
-    kind, bucket, rank, row = "__kind", "__bucket", "__rank", "__row"
+    kind, part, rank, row, shift = "__kind", "__part", "__rank", "__row", "__shift"
     kept = checkpointed(
-        pieces.withColumn(kind, F.ceil(F.col("length") / unit).cast("int")).withColumn(
-            row, F.monotonically_increasing_id()
-        )
+        pieces.withColumn(kind, F.ceil(F.col("length") / unit).cast("int"))
+        .sortWithinPartitions(kind)
+        .withColumn(row, F.monotonically_increasing_id())
     )
-    demand = {r[0]: r[1] for r in kept.groupBy(kind).count().collect()}
+    # The upper bits of these ids number the partitions.
+    kept = kept.withColumn(part, F.shiftright(row, 33).cast("int"))
+    counts = kept.groupBy(part, kind).agg(F.min(row).alias(shift), F.count(F.lit(1)).alias("n"))
+    counts = checkpointed(counts)
+    demand = {r[0]: r[1] for r in counts.groupBy(kind).agg(F.sum("n")).collect()}
     runs = _runs(plan(demand, -(-capacity // unit)))
     table = [(k, *map(list, zip(*r, strict=True))) for k, r in runs.items()]
     schema = f"{kind} int, firsts array<long>, shares array<long>, sequences array<long>"
     runs = spark.createDataFrame(table, schema)
 
-    n_buckets = max(LEAST_BUCKETS, -(-sum(demand.values()) // ROWS_PER_BUCKET))
-    dealt = kept.withColumn(bucket, F.pmod(F.xxhash64(row), F.lit(n_buckets)))
-    earlier = Window.partitionBy(kind).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    before = (
-        dealt.groupBy(kind, bucket)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(kind, bucket, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    )
-    inside = Window.partitionBy(kind, bucket).orderBy("doc_id", row)
-    ranked = dealt.withColumn(rank, F.row_number().over(inside)).join(before, [kind, bucket])
-    ranked = ranked.withColumn(rank, F.col("before") + F.col(rank) - 1)
+    earlier = Window.partitionBy(kind).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("n").over(earlier), F.lit(0))
+    shifts = counts.select(part, kind, (before - F.col(shift)).alias(shift))
+    if counts.count() <= BROADCAST_RUNS:
+        shifts = F.broadcast(shifts)
+    ranked = kept.join(shifts, [part, kind]).withColumn(rank, F.col(row) + F.col(shift))
     # One row per length class, at most capacity / unit of them.
     placed = ranked.join(F.broadcast(runs), kind)
     run = F.size(F.filter("firsts", lambda f: f <= F.col(rank)))
