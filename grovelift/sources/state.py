@@ -28,6 +28,7 @@ from grovelift.sources.catalog import (
     table_path,
 )
 from grovelift.sources.claims import Claims
+from grovelift.sources.widen import widen_key
 
 _VERSION = "version"
 
@@ -57,6 +58,8 @@ class StateStore:
         "queue_scripts": (S.QUEUE_SCRIPT_SCHEMA, S.QUEUE_SCRIPT_KEY),
     }
 
+    KEYS = {"progress": S.PROGRESS_KEY, "work_queue": S.QUEUE_KEY}
+
     def __init__(self, spark: SparkSession, database: str):
         self.spark = spark
         self.database = database
@@ -88,6 +91,19 @@ class StateStore:
                 add_table_column(self.spark, self.name(table), f.name, kind, default)
         return self
 
+    def widen(self, table: str, values: Mapping[str, object], location: str | None = None) -> bool:
+        """Move the log or the queue, kept with fewer key columns, to the key it has now.
+
+        `values` has what the stored rows lack, such as their table name. To be called
+        before the first load; `location` is that of `create`. See `widen_key`.
+        """
+        schema, partitions = self.RUN_TABLES[table]
+        place = f"{location}/{table}" if location else None
+        given = {"attempt": 1, "chunk": 1} | self.BACKFILL | dict(values)
+        given = {c: v for c, v in given.items() if c in schema.names}
+        key = [*self.KEYS[table], "attempt"]
+        return widen_key(self.spark, self.name(table), schema, partitions, key, given, place)
+
     # -- keyed definition tables
 
     def _version(self, table: str) -> int:
