@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from sentencepiece import sentencepiece_model_pb2
 
-from grovelift.llm.licenses import KNOWN, scan_licenses
+from grovelift.llm.licenses import HEADERS, KNOWN, LICENSES, scan_licenses
 from grovelift.llm.sentencepiece_codec import (
     MODEL,
     SPACE,
@@ -154,3 +154,29 @@ def test_repeated_rows_and_missing_ids(documents):
         "(None, 'GPL-3.0', 'GPL-3.0', 1)",
     ]
     assert scan_licenses(documents([])).collect() == []
+
+
+def test_licenses_inside_documents(documents):
+    """A whole licence between other paragraphs, a notice over two lines, a holder without a year."""
+    mit, bsd = dict(LICENSES)["MIT"], dict(HEADERS)["BSD-3-Clause"]
+    apache = dict(HEADERS)["Apache-2.0"]
+    assert scan(
+        documents,
+        [
+            f"Some program\n\n{mit}\n\nMore text.",
+            "Copyright Jane Doe\n\n" + mit,
+            "Some words.\n\nThis work is licensed under the GNU General\nPublic License, version 3.\n\nMore.",
+            f"Copyright 2001 A. Body\nAll rights reserved.\n\n{bsd}",
+            f"Title\n\n{apache}\n\n\n{mit.split(chr(10), 2)[2]}\n\nEnd",
+            mit.replace("MIT License\n\n", "Program\nby somebody\n\n"),
+            "copyright notice and this permission\n\nwords",
+        ],
+    ) == [
+        (None, "MIT", 1),
+        ("MIT", "", 0),
+        (None, "GPL-3.0", 1),
+        ("BSD-3-Clause", "", 0),
+        (None, "Apache-2.0,MIT", 2),
+        (None, "MIT", 1),
+        (None, "", 0),
+    ]
