@@ -11,6 +11,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from grovelift.operators.bloom import maybe_in
+
 BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
 # Memory of a key in the table of a broadcast, besides its text.
 KEY_BYTES = 48
@@ -98,8 +100,9 @@ def join_by_keys(wide: DataFrame, keys: DataFrame, column: str, size: Size | Non
 
     Few keys are broadcast. Of more keys 64-bit hashes are broadcast first, so
     that only wanted rows, but for rare collisions, reach the shuffle of the
-    exact join. Keys too many for that, or of unknown size, are joined as Spark
-    chooses; its runtime filters still apply.
+    exact join; of still more, a Bloom filter, which lets about one in a hundred
+    unwanted rows pass. Keys too many for that, or of unknown size, are joined as
+    Spark chooses; its runtime filters still apply.
     """
     if size is None:
         return wide.join(keys, column)
@@ -109,6 +112,8 @@ def join_by_keys(wide: DataFrame, keys: DataFrame, column: str, size: Size | Non
         hashes = keys.select(F.xxhash64(column).alias("_hash")).distinct()
         same = F.xxhash64(wide[column]) == F.col("_hash")
         wide = wide.join(F.broadcast(hashes), same, "left_semi")
+    else:
+        wide = maybe_in(wide, keys, column, size.rows)
     partitions = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     fits = size.bytes <= HASHED_LIMIT_BYTES * partitions
     return wide.join(keys.hint("shuffle_hash") if fits else keys, column)

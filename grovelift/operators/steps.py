@@ -15,6 +15,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from grovelift.operators.bloom import maybe_in
 from grovelift.operators.scope import in_scope, without_excluded
 from grovelift.operators.sizing import (
     BROADCAST_LIMIT_BYTES,
@@ -64,10 +65,13 @@ def _parents_of(source: DataFrame, scoped: DataFrame) -> DataFrame:
     is combined before the shuffle. They are then written once, so that their
     size is known. Few paths are broadcast and the source is not shuffled. Many
     paths are a plain shuffle input, where AQE may split a partition of source
-    rows with one path; below an aggregate it would not.
+    rows with one path; below an aggregate it would not. A Bloom filter of them
+    is broadcast first, so that hardly any other source rows are shuffled.
     """
     paths = scoped.where(F.col(PARENT).isNotNull()).select(F.col(PARENT).alias(PATH)).distinct()
     paths, size = checkpointed_with_size(paths, PATH)
+    if size.bytes > BROADCAST_LIMIT_BYTES:
+        source = maybe_in(source, paths, PATH, size.rows)
     return source.join(broadcast_if_small(paths, size), PATH, "left_semi")
 
 
