@@ -173,6 +173,7 @@ class _Load:
             settled = not self.options.settle or not any(work.drawn.values())
             self._copy(work)
             self._log_round(work, closing=open_steps if settled else [])
+            self.state.merge_marks(*self.run)
             self.state.drop_work(*self.run, upto=self.round)
             # The queue is filled once per run; arrivals are looked for by the others.
             steps.discard(MISSING_PARENTS)
@@ -201,6 +202,11 @@ class _Load:
         for chunk in sorted(self.target.chunks(*self.run[::2]) - marked):
             self.target.drop_chunk(self.run_id, self.attempt, chunk)
         self.target.complete_ids()
+        if self.target.many_ids():
+            self._open()
+            self.target.merge_ids()
+            self._close_claim()
+            self.unmarked = None
 
     def _open(self) -> int:
         """Claim the next chunk; it has the number of the claim."""

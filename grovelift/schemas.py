@@ -157,6 +157,7 @@ COPIED_SCHEMA = T.StructType(
         T.StructField("round", T.IntegerType(), False),
         T.StructField("part", T.LongType(), False),
         *[T.StructField(f"written_{step}", T.LongType(), False) for step in STEPS],
+        T.StructField("merged_chunk", T.IntegerType()),
         *_RUN_FIELDS,
         T.StructField("chunk", T.IntegerType(), False),
     ]

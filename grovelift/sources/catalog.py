@@ -105,9 +105,26 @@ def overwrite_partition(
 
 
 def drop_rows(spark: SparkSession, name: str, partition: Mapping[str, Any]) -> None:
-    """Remove all partitions below a prefix of the partition columns."""
+    """Remove all partitions below a prefix of the partition columns.
+
+    Tables with a location are external to Spark, which leaves their files to others;
+    so folders of partitions are removed here.
+    """
     spec = ", ".join(f"{quoted(k)} = {literal(v)}" for k, v in partition.items())
-    spark.sql(f"TRUNCATE TABLE {table_path(name)} PARTITION ({spec})")
+    if not is_external(spark, name):
+        spark.sql(f"TRUNCATE TABLE {table_path(name)} PARTITION ({spec})")
+        return
+    location = table_location(spark, name).rstrip("/")
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    for row in spark.sql(f"SHOW PARTITIONS {table_path(name)} PARTITION ({spec})").collect():
+        folder = path(f"{location}/{row[0]}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    spark.catalog.refreshTable(table_path(name))
+
+
+def is_external(spark: SparkSession, name: str) -> bool:
+    rows = spark.sql(f"DESCRIBE EXTENDED {table_path(name)}").collect()
+    return any(r["col_name"] == "Type" and r["data_type"] == "EXTERNAL" for r in rows)
 
 
 def drop_partition(spark: SparkSession, name: str, partition: Mapping[str, Any]) -> None:

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterable
+from functools import reduce
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,10 +24,13 @@ from grovelift.schemas import (
 from grovelift.sources.catalog import (
     create_table,
     drop_partition,
+    is_external,
     overwrite_partition,
     partitions_of,
+    table_location,
     table_path,
 )
+from grovelift.sources.merged_ids import FAN_IN, MergedIds, Place, level_of, next_place
 
 INITIAL_RUN = "initial"
 
@@ -71,7 +78,8 @@ class TargetTable:
     A second table, `<name>_ids`, holds the ids of the same partitions, bucketed
     by id: what is new is found by an anti join with it that does not move it.
     Its partitions are written after, and dropped before, those of the target;
-    `complete_ids` adds what a failure in between has left out.
+    `complete_ids` adds what a failure in between has left out. Many partitions
+    of ids are merged into few (`merge_ids`).
     """
 
     PARTITIONS = ("_run_id", "_attempt", "_chunk")
@@ -81,6 +89,7 @@ class TargetTable:
         self.spark = spark
         self.name = name
         self.ids_name = f"{name}_ids"
+        self.merged = MergedIds(spark, self.ids_name)
 
     def create(self, location: str | None = None, id_buckets: int = ID_BUCKETS) -> TargetTable:
         """Create both tables unless they exist.
@@ -101,6 +110,7 @@ class TargetTable:
         create_table(
             self.spark, self.ids_name, ids, self.PARTITIONS, ids_location, buckets=(ID, id_buckets)
         )
+        self.merged.create(f"{ids_location}_merged" if ids_location else None)
         return self
 
     def load_initial(self, rows: DataFrame, guid_ids: bool = False) -> None:
@@ -138,31 +148,89 @@ class TargetTable:
         return next(int(r["data_type"]) for r in rows if r["col_name"] == "Num Buckets")
 
     def complete_ids(self) -> None:
-        """Make the table of ids hold the partitions of the target and no others.
+        """Make the table of ids hold the chunks of the target and no others.
 
         A target from before this table was kept gets it here.
         """
         if not self.spark.catalog.tableExists(table_path(self.ids_name)):
             self.create()
-        held = partitions_of(self.spark, self.name, self.PARTITIONS)
+        chunks_in = self._chunks_in()
         listed = partitions_of(self.spark, self.ids_name, self.PARTITIONS)
-        for place in sorted(listed - held):
+        for place in sorted(listed - chunks_in.keys()):
             drop_partition(self.spark, self.ids_name, self._spec(place))
-        for place in sorted(held - listed):
-            self._write_ids(place)
+        for place in sorted(chunks_in.keys() - listed):
+            self._write_ids(place, chunks_in[place])
+
+    def many_ids(self, fan_in: int = FAN_IN) -> bool:
+        """Whether `merge_ids` would find something to do."""
+        levels = Counter(level_of(p) for p in self._chunks_in() if p[0] != INITIAL_RUN)
+        return max(levels.values(), default=0) >= fan_in
 
-    def _spec(self, place: tuple[str, str, str]) -> dict:
+    def merge_ids(self, fan_in: int = FAN_IN) -> None:
+        """Write many small partitions of ids anew as few larger ones.
+
+        Nobody else may write to the target meanwhile. New partitions count from when
+        the list of them is kept, and what they stand for goes after that; after a
+        failure `complete_ids` takes away what is too much. The rows that were there
+        before the first run stay as they are.
+        """
+        chunks_in = self._chunks_in()
+        taken, level, merged = set(chunks_in), 0, False
+        while level <= max(map(level_of, chunks_in), default=0):
+            of_level = [p for p in chunks_in if level_of(p) == level and p[0] != INITIAL_RUN]
+            if len(of_level) >= fan_in:
+                chunks = [c for p in of_level for c in chunks_in.pop(p)]
+                place = next_place(level + 1, taken)
+                self._write_ids(place, chunks)
+                chunks_in[place], merged = chunks, True
+                taken.add(place)
+            level += 1
+        if not merged:
+            return
+        stands = {c: p for p, chunks in chunks_in.items() for c in chunks if level_of(p)}
+        self.merged.create(self._merged_location())
+        self.merged.write(stands)
+        self.complete_ids()
+
+    def _merged_location(self) -> str | None:
+        """Next to the table of ids, if that has a place of its own."""
+        if not is_external(self.spark, self.ids_name):
+            return None
+        return table_location(self.spark, self.ids_name).rstrip("/") + "_merged"
+
+    def _chunks_in(self) -> dict[Place, list[Place]]:
+        """Partitions that the table of ids must have, with the chunks that each stands for.
+
+        If a merged chunk has left the target, those merged with it stand for themselves.
+        """
+        held = partitions_of(self.spark, self.name, self.PARTITIONS)
+        merged = self.merged.read()
+        broken = {to for chunk, to in merged.items() if chunk not in held}
+        found: dict[Place, list[Place]] = {}
+        for chunk in sorted(held):
+            to = merged.get(chunk, chunk)
+            found.setdefault(chunk if to in broken else to, []).append(chunk)
+        return found
+
+    def _spec(self, place: Place) -> dict:
         run_id, attempt, chunk = place
         return {"_run_id": run_id, "_attempt": int(attempt), "_chunk": int(chunk)}
 
-    def _in(self, place: tuple) -> DataFrame:
-        rows = self.spark.table(table_path(self.name))
-        for column, value in self._spec(place).items():
-            rows = rows.where(F.col(column) == F.lit(value))
-        return rows
+    def _in(self, *places: Place) -> DataFrame:
+        """Rows of some chunks, by conditions on partition columns alone."""
+        runs: dict[tuple[str, int], list[int]] = {}
+        for run_id, attempt, chunk in places:
+            runs.setdefault((run_id, int(attempt)), []).append(int(chunk))
+        own = [
+            (F.col("_run_id") == run_id) & (F.col("_attempt") == attempt) & F.col("_chunk").isin(chunks)
+            for (run_id, attempt), chunks in runs.items()
+        ]
+        return self.spark.table(table_path(self.name)).where(reduce(Column.__or__, own))
 
-    def _write_ids(self, place: tuple) -> None:
-        ids = self._in(place).select(ID).repartition(self.buckets(), ID)  # a file per bucket
+    def _write_ids(self, place: Place, chunks: Iterable[Place] = ()) -> None:
+        """Write the ids of a chunk, or of several, as one partition."""
+        ids = self._in(*(chunks or [place])).select(ID)
+        ids = ids.repartition(self.buckets(), ID)  # a file per bucket
         overwrite_partition(self.spark, self.ids_name, self._spec(place), ids)
 
     # -- chunks
@@ -174,7 +242,7 @@ class TargetTable:
 
     def repeated_ids(self, run_id: str, attempt: int, chunk: int) -> DataFrame:
         """Ids of a chunk that it holds more than once."""
-        ids = self._in((run_id, attempt, chunk)).groupBy(ID).agg(F.count(F.lit(1)).alias("n"))
+        ids = self._in((run_id, str(attempt), str(chunk))).groupBy(ID).agg(F.count(F.lit(1)).alias("n"))
         return ids.where(F.col("n") > 1)
 
     def chunk_counts(self, run_id: str, attempt: int, chunks: list[int]) -> DataFrame:
@@ -189,7 +257,7 @@ class TargetTable:
 
     def write_chunk(self, run_id: str, attempt: int, chunk: int, rows: DataFrame) -> None:
         """Make `rows` the content of a chunk, first in the target, then in the table of ids."""
-        place = (run_id, attempt, chunk)
+        place = (run_id, str(attempt), str(chunk))
         overwrite_partition(self.spark, self.name, self._spec(place), rows)
         self._write_ids(place)
 

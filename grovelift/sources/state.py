@@ -28,6 +28,7 @@ from grovelift.sources.catalog import (
     table_path,
 )
 from grovelift.sources.claims import Claims
+from grovelift.sources.merged_ids import FAN_IN
 from grovelift.sources.widen import widen_key
 
 _VERSION = "version"
@@ -257,12 +258,36 @@ class StateStore:
             F.lit(round_).alias("round"),
             "part",
             *[F.lit(written.get(s, 0)).cast("long").alias(f"written_{s}") for s in S.STEPS],
+            F.lit(None).cast("int").alias("merged_chunk"),
         )
         overwrite_partition(self.spark, self.name("copied"), spec, rows)
 
     def copied(self, run_id: str, table_name: str, attempt: int) -> DataFrame:
         """Parts of the rounds that are committed, with their chunk."""
-        return self._run_rows("copied", run_id, table_name, attempt)
+        rows = self._run_rows("copied", run_id, table_name, attempt)
+        rows = rows.withColumn("chunk", F.coalesce("merged_chunk", "chunk")).drop("merged_chunk")
+        # A mark is there twice if merging was broken off.
+        return rows.distinct()
+
+    def merge_marks(self, run_id: str, table_name: str, attempt: int) -> None:
+        """Put the marks of many chunks into one partition, below those of chunks.
+
+        The marks of the chunks go when the merged ones are there, so none is ever missing.
+        """
+        columns = ("run_id", "table_name", "attempt", "chunk")
+        own = (run_id, table_name, str(attempt))
+        places = partitions_of(self.spark, self.name("copied"), columns)
+        held = [int(p[3]) for p in places if p[:3] == own]
+        chunks = sorted(c for c in held if c > 0)
+        if len(chunks) < FAN_IN:
+            return
+        run = dict(zip(columns, (run_id, table_name, attempt), strict=False))
+        marks = self._run_rows("copied", run_id, table_name, attempt).where(F.col("chunk").isin(chunks))
+        marks = checkpointed(marks.withColumn("merged_chunk", F.col("chunk")).coalesce(1))
+        spec = run | {"chunk": min(0, *held) - 1}
+        overwrite_partition(self.spark, self.name("copied"), spec, marks)
+        for chunk in chunks:
+            drop_partition(self.spark, self.name("copied"), run | {"chunk": chunk})
 
     def reset(self, run_id: str, table_name: str, now: datetime) -> int:
         """Forget the log and queue of a run of a table; loaded rows stay.
