@@ -119,6 +119,25 @@ limitations under the License.""",
 UNTITLED = tuple((name, text.split("\n\n", 1)[1]) for name, text in LICENSES)
 KNOWN = NOTICES + UNTITLED + HEADERS + LICENSES
 
+# Digests of the canonical form of long licences, whole texts as published,
+# with their title and appendix.
+LONG_DIGESTS = (
+    ("Apache-2.0", "e32aea965561f41a8390221b29af2726"),
+    ("Artistic-1.0", "2fe792d1191a708e71b9beca097682bd"),
+    ("BSD-3-Clause", "a2a671f577cbf1292faaee2c8edc149f"),
+    ("CC0-1.0", "93a180096f6cfcf2c0dd24f75c2eec48"),
+    ("GFDL-1.2", "0ddc974af2022d1eb483df77268fc903"),
+    ("GFDL-1.3", "6dcd514fc8d59959d92fedf319737026"),
+    ("GPL-1.0", "b37a688f44419d3168b23775b65749eb"),
+    ("GPL-2.0", "422f821c6c0b1812cbde7c1c3be04922"),
+    ("GPL-3.0", "f8de4ee042e7af7040c9c77af4e24d6f"),
+    ("LGPL-2.0", "ebf358251bfe9161668a8c8251261977"),
+    ("LGPL-2.1", "1ff066c677365f47fea81c911a7c822e"),
+    ("LGPL-3.0", "b31b7335bc37919e8cdd79154e04d88d"),
+    ("MPL-1.1", "252dfbcf46f9012c7c356a9252f1c30c"),
+    ("MPL-2.0", "b5b7a0cf4994910cd0204fba4637d6ec"),
+)
+
 # Spellings that count as equal, and the form they get.
 SPELLINGS = (
     ("©", "(c)"),
@@ -189,12 +208,20 @@ def _known_rows(known) -> list[tuple[str, str, bool]]:
     return [(name, text, rest not in texts) for (name, text), rest in zip(known, untitled, strict=True)]
 
 
-def known_digests(documents: DataFrame, known=KNOWN) -> DataFrame:
-    """(digest, license, inside) of the known texts, each digest once."""
+def known_digests(documents: DataFrame, known=KNOWN, long_digests=LONG_DIGESTS) -> DataFrame:
+    """(digest, license, inside) of the known texts, each digest once.
+
+    `long_digests` has licences of which the digest alone is known; they are not
+    looked for inside documents.
+    """
+    spark = documents.sparkSession
     schema = "license string, text string, inside boolean"
-    rows = documents.sparkSession.createDataFrame(_known_rows(known), schema)
+    rows = spark.createDataFrame(_known_rows(known), schema)
     digest = canonical_digest(canonical_lines(F.col("text")))
-    return rows.select("license", "inside", digest.alias("digest")).groupBy("digest").agg(
+    rows = rows.select("license", "inside", digest.alias("digest"))
+    whole = [(name, False, digest) for name, digest in long_digests]
+    rows = rows.union(spark.createDataFrame(whole, "license string, inside boolean, digest string"))
+    return rows.groupBy("digest").agg(
         F.min("license").alias("license"), F.bool_or("inside").alias("inside")
     )
 
@@ -267,6 +294,7 @@ def oracle_sql() -> str:
     pattern = r"[^\p{L}\p{N}" + "' || chr(10) || '" + "]+"
     lines = f"string_split(regexp_replace({plain}, '{pattern}', ' ', 'g'), chr(10))"
     values = ", ".join(f"({_sql_text(k)}, {_sql_text(t)}, {i})" for k, t, i in _known_rows(KNOWN))
+    digests = ", ".join(f"({_sql_text(d)}, {_sql_text(k)}, false)" for k, d in LONG_DIGESTS)
 
     marked = f"""[trim(x) FOR x IN {lines}
                   IF NOT (regexp_matches(trim(x), '{COPYRIGHT_LINE}')
@@ -289,10 +317,13 @@ def oracle_sql() -> str:
           FROM (SELECT *, {marked} AS marked FROM {source})"""
 
     return f"""
-        WITH given(license, text, inside) AS (VALUES {values}), known AS (
-          SELECT md5(array_to_string(lines, ' ')) AS digest, min(license) AS license,
-                 bool_or(inside) AS inside
-          FROM ({canonical("given")}) GROUP BY 1
+        WITH given(license, text, inside) AS (VALUES {values}),
+        long(digest, license, inside) AS (VALUES {digests}), known AS (
+          SELECT digest, min(license) AS license, bool_or(inside) AS inside
+          FROM (SELECT md5(array_to_string(lines, ' ')) AS digest, license, inside
+                FROM ({canonical("given")})
+                UNION ALL SELECT digest, license, inside FROM long)
+          GROUP BY 1
         ), docs AS MATERIALIZED ({canonical("documents")}),
         by_line AS (
           SELECT doc_id, unnest(lines) AS line, false AS run FROM docs

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import zlib
+from pathlib import Path
 
+import duckdb
 import numpy as np
 import pytest
 import sentencepiece
@@ -11,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from sentencepiece import sentencepiece_model_pb2
 
-from grovelift.llm.licenses import HEADERS, KNOWN, LICENSES, scan_licenses
+from grovelift.llm.licenses import HEADERS, KNOWN, LICENSES, oracle_sql, scan_licenses
 from grovelift.llm.sentencepiece_codec import (
     MODEL,
     SPACE,
@@ -180,3 +182,36 @@ def test_licenses_inside_documents(documents):
         (None, "MIT", 1),
         (None, "", 0),
     ]
+
+
+LICENSE_FILES = {
+    "Apache-2.0": "Apache-2.0", "Artistic": "Artistic-1.0", "BSD": "BSD-3-Clause",
+    "CC0-1.0": "CC0-1.0", "GFDL-1.2": "GFDL-1.2", "GFDL-1.3": "GFDL-1.3", "GPL-1": "GPL-1.0",
+    "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2": "LGPL-2.0", "LGPL-2.1": "LGPL-2.1",
+    "LGPL-3": "LGPL-3.0", "MPL-1.1": "MPL-1.1", "MPL-2.0": "MPL-2.0",
+}
+
+
+def test_long_licenses_as_whole_documents(spark, documents):
+    """As published, and wrapped and cased in another way; one word more is no licence.
+
+    The scan is held against its SQL, too.
+    """
+    folder = Path("/usr/share/common-licenses")
+    if not all((folder / name).exists() for name in LICENSE_FILES):
+        pytest.skip("the texts are not here")
+    texts = {name: (folder / name).read_text() for name in LICENSE_FILES}
+    whole = []
+    for name, text in texts.items():
+        paragraphs = [" ".join(p.split("\n")).upper() for p in text.split("\n\n")]
+        # a copyright line stays a line of its own
+        loose = "\n\n".join(paragraphs) if "opyright" not in text else text.upper()
+        whole += [text, loose, text + "\nword"]
+    rows = documents(list(enumerate(whole)))
+    found = {r["doc_id"]: r["license"] for r in scan_licenses(rows).collect()}
+    for i, license_ in enumerate(LICENSE_FILES.values()):
+        assert [found[3 * i + k] for k in range(3)] == [license_, license_, None]
+    db = duckdb.connect()
+    db.register("documents", rows.toPandas())
+    expected = {r[0]: r[1:] for r in db.execute(oracle_sql()).fetchall()}
+    assert {r["doc_id"]: tuple(r)[1:] for r in scan_licenses(rows).collect()} == expected
