@@ -70,7 +70,10 @@ class MergedIds:
         """One entry per merged chunk, about as many as the target has partitions."""
         if not self.spark.catalog.tableExists(table_path(self.name)):
             return {}
-        rows = self.spark.table(table_path(self.name)).where(F.col(_VERSION) == self._version())
+        version = self._version()
+        if not version:
+            return {}
+        rows = self.spark.table(table_path(self.name)).where(F.col(_VERSION) == version)
         return {
             (r["run_id"], str(r["attempt"]), str(r["chunk"])): merged_place(r["level"], r["serial"])
             for r in rows.collect()
