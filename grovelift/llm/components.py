@@ -13,9 +13,22 @@ def _minimum(edges: DataFrame) -> DataFrame:
     return edges.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
 
 
-def _state(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-    return tuple(row)
+def _rows(frame: DataFrame, *rows: tuple) -> DataFrame:
+    """(u, v) for each of the given pairs of columns, all from one pass over the frame."""
+    pairs = [F.struct(F.col(u).alias("u"), F.col(v).alias("v")) for u, v in rows]
+    return frame.select(F.explode(F.array(*pairs)).alias("e")).select("e.u", "e.v")
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """True if every larger end `u` has one edge and is nowhere a smaller end `v`.
+
+    The rounds below leave such edges as they are, and come to an end only there.
+    """
+    larger = F.struct(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    smaller = F.struct(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    ends = edges.select(F.explode(F.array(larger, smaller)).alias("e")).select("e.*")
+    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return nodes.where(F.col("up") + F.col("down") > 1).where(F.col("up") > 0).isEmpty()
 
 
 def components(pairs: DataFrame, first: str = "a", second: str = "b") -> DataFrame:
@@ -31,9 +44,8 @@ def components(pairs: DataFrame, first: str = "a", second: str = "b") -> DataFra
     # Every edge points from the larger to the smaller node.
     edges = ends.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     edges = checkpointed(edges.distinct())
-    state = _state(edges)
-    while True:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    while not _are_stars(edges):
+        both = _rows(edges, ("u", "v"), ("v", "u"))
         large = (
             both.join(_minimum(both), "u")
             .where(F.col("v") > F.col("u"))
@@ -41,17 +53,8 @@ def components(pairs: DataFrame, first: str = "a", second: str = "b") -> DataFra
             .distinct()
         )
         near = large.join(_minimum(large), "u")
-        small = (
-            near.select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .unionByName(near.select("u", F.col("m").alias("v")))
-            .where(F.col("u") != F.col("v"))
-            .distinct()
-        )
+        small = _rows(near, ("v", "m"), ("u", "m")).where(F.col("u") != F.col("v")).distinct()
         edges = checkpointed(small)
         free_finished(edges.sparkSession)
-        new = _state(edges)
-        if new == state:
-            break
-        state = new
     tops = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(tops)

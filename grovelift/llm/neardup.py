@@ -90,7 +90,7 @@ def _set_batches(words: int):
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
 
 def _sizes_fit(percent: int, x: str = "n", y: str = "m"):
@@ -147,7 +147,7 @@ def _rarest(entries: DataFrame) -> DataFrame:
 
 
 def _cross_pairs(lists: DataFrame, nodes: DataFrame, kind: str, percent: int, need) -> DataFrame:
-    """Pairs of a list that differ in `kind` and are in different components.
+    """Pairs of a list that differ in `kind` and are in different components; some repeat.
 
     Only members outside the most frequent kind of their list are paired with
     its members, so a list of one kind gives nothing. `need` tells how many
@@ -222,6 +222,7 @@ def linked_nodes(sketches: DataFrame, sets_of, percent: int, k: int) -> DataFram
     )
     active = sketches.join(lists.select("node").distinct(), "node", "left_semi")
     active = checkpointed(active.select("node", "digest", "doc_id", "n", "sketch"))
+    free_finished(active.sparkSession)
     if active.isEmpty():
         return None
     sets = checkpointed(sets_of(active))
@@ -232,8 +233,10 @@ def linked_nodes(sketches: DataFrame, sets_of, percent: int, k: int) -> DataFram
     met = lists.select("value", F.col("node").alias("x"), "n").join(hubs, "value")
     # How often each node meets each pivot.
     met = checkpointed(met.groupBy("x", "n", "y", "m").agg(F.count(F.lit(1)).alias("times")))
-    tested = checkpointed(_ordered(met.where((F.col("x") != F.col("y")) & _sizes_fit(percent))))
+    tested = _ordered(met.where((F.col("x") != F.col("y")) & _sizes_fit(percent)))
+    tested = checkpointed(tested.distinct())
     links = checkpointed(_confirmed(_estimated(tested, active, k, least), sets, percent))
+    free_finished(links.sparkSession)
 
     homes = met.groupBy(F.col("x").alias("node")).agg(F.max(F.struct("times", "y")).alias("most"))
     homes = homes.select("node", F.col("most.y").alias("home"))
@@ -262,6 +265,7 @@ def linked_nodes(sketches: DataFrame, sets_of, percent: int, k: int) -> DataFram
     relative = checkpointed(relative)
     free_finished(relative.sparkSession)
     lists = _difference_lists(relative, percent)
+    free_finished(lists.sparkSession)
     shared = F.ceil(-(F.col("a.slack") + F.col("b.slack")) / (2 * (100 + percent)))
     outside = _cross_pairs(lists, nodes, "part", percent, shared)
 

@@ -40,6 +40,7 @@ LEAST_G = 30.0
 STEMS = (4, 5)
 NEAR = 4
 TREES, DEPTH = 20, 4
+ROWS_PER_TASK = 1_000
 CALIBRATION_SHARE = 4
 _HELD_TERMS = 400_000
 
@@ -268,15 +269,16 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, per_class: int = SAMPL
     The classes count by their shares among all labelled learning rows.
     """
     sample = labelled_sample(documents, labels, per_class)
-    classes = {r[0] for r in sample.select("y").distinct().collect()}
-    learn, check = sample.where("part > 0"), sample.where("part = 0")
-    both = {r[0] for r in learn.select("y").distinct().collect()}
-    if both != {0, 1} or check.isEmpty():
+    there = {tuple(r) for r in sample.select("y", F.col("part") > 0).distinct().collect()}
+    classes, uses = {y for y, _ in there}, {learns for _, learns in there}
+    if {y for y, learns in there if learns} != {0, 1} or False not in uses:
         return ToxicityModel({}, constant=1.0 if classes == {1} else 0.0)
     # Lexicons are learnt on other texts than the trees, which else would trust them too far.
     split = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2))
     lexicons = learn_lexicons(sample.where("part > 0").where(split == 0))
     rows = checkpointed(featured(sample, lexicons, ["y", "part", "weight"]))
+    # A few numbers per row by now: each of the many passes takes a task for so many rows.
+    rows = rows.coalesce(math.ceil(2 * per_class / ROWS_PER_TASK))
     assembled = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(
         rows.where("row.part > 0").withColumn("label", F.col("row.y").cast("double"))
     )
